@@ -26,6 +26,23 @@ def pair_stats(d: DataFrame, sym: str = "sym", n: str = "n", first: str = "first
     )
 
 
+def pair_stats_with_total(d: DataFrame, sym: str = "sym", n: str = "n", first: str = "first") -> DataFrame:
+    """:func:`pair_stats` plus one row with the empty pair ``''`` whose count is the
+    total number of pair occurrences, ranked before every real pair, so that
+    one top-k job returns both the best pairs and the total."""
+    ex = d.select(
+        F.col(n).alias("w"),
+        F.col(first).alias("f"),
+        F.posexplode(adjacent_pairs(F.col(sym))).alias("offset", "pair"),
+    ).select("pair", "w", F.struct(F.col("f.doc_id").cast("long").alias("doc_id"),
+                                   F.col("f.chunk_pos").cast("long").alias("chunk_pos"),
+                                   F.col("offset").cast("long").alias("offset")).alias("pos"))
+    tot = d.select(F.lit("").alias("pair"), (F.col(n) * (F.length(sym) - 1)).alias("w"),
+                   F.struct(F.lit(-1).cast("long").alias("doc_id"), F.lit(-1).cast("long").alias("chunk_pos"),
+                            F.lit(-1).cast("long").alias("offset")).alias("pos"))
+    return ex.unionByName(tot).groupBy("pair").agg(F.sum("w").alias("n"), F.min("pos").alias("pos"))
+
+
 def ranked(stats: DataFrame) -> DataFrame:
     """Most frequent first; ties → first seen in corpus order."""
     return stats.orderBy(F.col("n").desc(), F.col("pos").asc())

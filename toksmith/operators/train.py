@@ -27,6 +27,7 @@ from toksmith.model import MAX_MODEL_ROWS, Merge, Model
 from toksmith.operators import pairs as P
 from toksmith.operators import pretokenize as PT
 from toksmith.session import cut_lineage
+from toksmith.sources.corpus import spread
 
 
 def select_batch(top: list, cautious: bool = False) -> list:
@@ -63,21 +64,21 @@ def train_rounds(
     """
     if n_merges > MAX_MODEL_ROWS:
         raise ValueError("too many merges")
-    d = d.select("sym", "n", "first").persist(StorageLevel.MEMORY_AND_DISK)
-    n_seq = d.where(F.length("sym") > 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    base = spread(d.select("sym", "n", "first"), "sym").persist(StorageLevel.MEMORY_AND_DISK)
+    n_seq = base.where(F.length("sym") > 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # sequences of one symbol have no pairs and never change: drop them
+    d = base.where(F.length("sym") > 1).persist(StorageLevel.MEMORY_AND_DISK)
     merges: list[Merge] = []
     rounds = 0
     prev = None
     while len(merges) < n_merges:
-        stats = P.pair_stats(d).persist(StorageLevel.MEMORY_AND_DISK)
-        top = P.top_pairs(stats, min(batch, n_merges - len(merges))).collect()
+        got = P.top_pairs(P.pair_stats_with_total(d), min(batch, n_merges - len(merges)) + 1).collect()
         if prev is not None:
             prev.unpersist()
+        top = [r for r in got if r["pair"] != ""]
+        pair_total = sum(r["n"] for r in got if r["pair"] == "")
         if not top:
-            stats.unpersist()
             break
-        pair_total = stats.agg(F.sum("n")).first()[0]
-        stats.unpersist()
         total = pair_total + n_seq
         if merges and merges[-1].total_tokens is None:
             merges[-1].total_tokens = total
@@ -97,14 +98,28 @@ def train_rounds(
                       f" -> {new_id} freq={row['n']}")
         rounds += 1
         prev = d
-        d = d.select(expr.alias("sym"), "n", "first").persist(StorageLevel.MEMORY_AND_DISK)
+        d = d.select(expr.alias("sym"), "n", "first").where(F.length("sym") > 1).persist(
+            StorageLevel.MEMORY_AND_DISK)
         if rounds % checkpoint_every == 0:
             d = cut_lineage(d)
     if merges and merges[-1].total_tokens is None:
-        merges[-1].total_tokens = d.agg(F.sum(F.col("n") * F.length("sym"))).first()[0]
+        pt = d.agg(F.sum(F.col("n") * (F.length("sym") - 1))).first()[0] or 0
+        merges[-1].total_tokens = pt + n_seq
     if prev is not None:
         prev.unpersist()
-    return merges, d
+    final = base.select("sym", "n", "first")
+    if merges:
+        final = base.select(_fold_all(merges).alias("sym"), "n", "first")
+    d.unpersist()
+    base.unpersist()
+    return merges, final
+
+
+def _fold_all(merges: list[Merge]):
+    """Final symbols of the training dictionary: all merges folded in rank order."""
+    from toksmith.operators.encode import fold
+
+    return fold(F.col("sym"), Model("basic", merges))
 
 
 # -- the three model kinds ---------------------------------------------------
