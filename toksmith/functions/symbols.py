@@ -14,7 +14,21 @@ from pyspark.sql import functions as F
 
 SURROGATE_START = 0xD800
 SURROGATE_SPAN = 0x800
-MAX_ID = 0x10FFFF - SURROGATE_SPAN
+# The top 16 code points are reserved as separators and placeholders.
+RESERVED_START = 0x10FFF0
+MAX_ID = RESERVED_START - 1 - SURROGATE_SPAN
+LIST_SEP = chr(0x10FFFD)  # separates the items of a constant list literal
+CHUNK_SEP = chr(0x10FFFC)  # separates chunks inside one row's symbol string
+OOV_MARK = chr(0x10FFFB)  # placeholder for characters outside a char alphabet
+
+
+def const_list(items: list[str]):
+    """A constant ``array<string>`` built as ``split(literal, sep)`` (folded once by Catalyst)."""
+    from pyspark.sql import functions as F
+
+    if not items:
+        return F.array().cast("array<string>")
+    return F.split(F.lit(LIST_SEP.join(items)), LIST_SEP)
 
 
 def id_to_cp(i: int) -> int:

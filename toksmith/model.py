@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from toksmith.functions import patterns
-from toksmith.functions.symbols import sym
+from toksmith.functions.symbols import const_list, sym
 
 # Upper bound on model rows turned into literals (a vocabulary far larger than any in use).
 MAX_MODEL_ROWS = 2_000_000
@@ -92,23 +92,23 @@ class Model:
                 raise ValueError(f"special token {t!r} id {i} collides with the vocabulary")
 
     # -- constant expressions --------------------------------------------
-    def merge_array(self) -> Column:
-        """``array<struct<p,r>>`` of (pair symbols, new symbol) in rank order."""
+    def merge_arrays(self) -> tuple[Column, Column]:
+        """Constant arrays (pair symbols, new symbol) in rank order."""
         self.check()
-        data = [{"p": sym(m.left_id) + sym(m.right_id), "r": sym(m.new_id)} for m in self.merges]
-        return F.from_json(F.lit(json.dumps(data)), "array<struct<p:string,r:string>>")
+        return (const_list([sym(m.left_id) + sym(m.right_id) for m in self.merges]),
+                const_list([sym(m.new_id) for m in self.merges]))
 
     def piece_array(self) -> Column:
-        """``array<string>`` indexed by ID+1; byte pieces as ISO-8859-1 symbol strings,
-        char pieces as text; holes are NULL."""
+        """Constant ``array<string>`` indexed by ID+1; byte pieces as ISO-8859-1
+        symbol strings, char pieces as text; holes are empty strings."""
         self.check()
         v = self.pieces()
         top = max(v) if v else -1
         if self.byte_level:
-            arr = [v[i].decode("latin-1") if i in v else None for i in range(top + 1)]
+            arr = [v[i].decode("latin-1") if i in v else "" for i in range(top + 1)]
         else:
-            arr = [v.get(i) for i in range(top + 1)]
-        return F.from_json(F.lit(json.dumps(arr)), "array<string>")
+            arr = [v.get(i, "") for i in range(top + 1)]
+        return const_list(arr)
 
     # -- tables ------------------------------------------------------------
     def merges_df(self, spark: SparkSession) -> DataFrame:

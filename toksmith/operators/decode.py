@@ -18,7 +18,7 @@ def _c(c) -> Column:
 
 
 def _piece(pieces: Column, i: Column) -> Column:
-    return F.when(i >= 0, F.try_element_at(pieces, i + 1))
+    return F.when(i >= 0, F.nullif(F.try_element_at(pieces, i + 1), F.lit("")))
 
 
 def unknown_ids(ids, model: Model) -> Column:

@@ -284,3 +284,161 @@ def entropy(spark, sf):
 def mutual_info(spark, sf):
     """Q10/Q11: mutual information and conditional entropy of adjacent tokens."""
     return MX.mutual_information(_enc_docs(spark, sf, ()))
+
+
+# == decode, round trip, vocabulary audits ==============================================
+
+from toksmith.operators import audit as AU  # noqa: E402
+from toksmith.operators import decode as DE  # noqa: E402
+
+_DEC = (_ENC + ",\n" + O.expand_cte("dec_syms", "(SELECT doc_id AS key, S AS s FROM enc)", "merges", K_REGEX) + ",\n"
+        f"dec AS (SELECT key AS doc_id, decode(unhex({O.sym_hex('s')})) AS text FROM dec_syms)")
+
+
+@query("decode_bytes", "WITH RECURSIVE " + _DEC + " SELECT doc_id, text FROM dec")
+def decode_bytes(spark, sf):
+    """Encoded documents decoded back to text (constant piece array, no join)."""
+    m = regex_model(spark, sf)
+    return DE.decode(_enc_docs(spark, sf, ()), m)
+
+
+@query("roundtrip", "WITH RECURSIVE " + _DEC + """
+ SELECT d.lang, count(*)::BIGINT AS n_docs, sum(CASE WHEN x.text = d.text THEN 1 ELSE 0 END)::BIGINT AS n_ok
+ FROM documents d JOIN dec x ON d.doc_id = x.doc_id GROUP BY d.lang""")
+def roundtrip(spark, sf):
+    """Q1: decode(encode(text)) = text on every document, by language."""
+    return AU.roundtrip(_docs(spark, sf), regex_model(spark, sf), "lang")
+
+
+_VOCAB_SQL = (_REGEX + ",\n" + O.expand_cte("mpieces", "(SELECT new_id AS key, chr((256 + new_id)::INTEGER) AS s FROM merges)",
+                                             "merges", K_REGEX) + ",\n"
+              "vocab AS (SELECT i::BIGINT AS id, printf('%02X', i) AS piece_hex, 'byte' AS kind FROM range(256) t(i)\n"
+              f"          UNION ALL SELECT key::BIGINT, {O.sym_hex('s')}, 'merge' FROM mpieces)")
+
+
+@query("vocab", "WITH RECURSIVE " + _VOCAB_SQL + " SELECT id, piece_hex, kind FROM vocab")
+def vocab(spark, sf):
+    """IO4/A7/L3: the regex model's vocabulary rebuilt from its merges."""
+    return AU.vocab_table(spark, regex_model(spark, sf))
+
+
+@query("vocab_listing")
+def vocab_listing(spark, sf):
+    """IO5/P9: printable ``[%6d] token`` lines of the vocabulary."""
+    return AU.vocab_listing(spark, regex_model(spark, sf))
+
+
+@query("unknown_ids", "WITH RECURSIVE " + _ENC + """
+ SELECT doc_id, id::BIGINT AS id FROM enc_ids WHERE id < 0 OR id >= 256 + """ + str(K_REGEX))
+def unknown_ids(spark, sf):
+    """Token IDs of the encoded corpus that are not in the vocabulary."""
+    m = regex_model(spark, sf)
+    return AU.unknown_ids(_enc_docs(spark, sf, ()), m).select("doc_id", F.col("id").cast("bigint"))
+
+
+def _freq_vocab(spark, sf):
+    m = regex_model(spark, sf)
+    freq = MX.token_freq(_enc_docs(spark, sf, ()))
+    return freq, AU.vocab_table(spark, m)
+
+
+_FREQ_VOCAB = "WITH RECURSIVE " + _VOCAB_SQL + ",\n" + _ENC.split("WITH RECURSIVE ")[-1].replace(_REGEX + ",\n", "") + \
+    ",\n f AS (SELECT id::BIGINT AS id, count(*)::BIGINT AS n FROM enc_ids GROUP BY id)\n"
+
+
+@query("rare_tokens", _FREQ_VOCAB + """
+ SELECT v.id, v.piece_hex, v.kind, coalesce(f.n, 0)::BIGINT AS n FROM vocab v LEFT JOIN f ON v.id = f.id
+ WHERE coalesce(f.n, 0) < 100""")
+def rare_tokens(spark, sf):
+    """Q7: vocabulary entries seen fewer than 100 times in the corpus."""
+    freq, voc = _freq_vocab(spark, sf)
+    return AU.rare_tokens(freq, voc, 100)
+
+
+@query("unused_tokens", _FREQ_VOCAB + """
+ SELECT v.id, v.piece_hex, v.kind FROM vocab v ANTI JOIN f ON v.id = f.id""")
+def unused_tokens(spark, sf):
+    """Vocabulary entries the encoded corpus never uses (glitch-token candidates)."""
+    freq, voc = _freq_vocab(spark, sf)
+    return AU.unused_tokens(freq, voc)
+
+
+@query("boundary_check", "WITH RECURSIVE " + _VOCAB_SQL + """
+ SELECT id, piece_hex FROM vocab
+ WHERE regexp_matches(decode(unhex(piece_hex), 'replace'), '\\p{L}.*\\p{N}|\\p{N}.*\\p{L}') AND kind = 'merge'""")
+def boundary_check(spark, sf):
+    """Q14: merged pieces mixing letters and digits (none for a pre-split model)."""
+    m = regex_model(spark, sf)
+    v = m.vocab_df(spark).where(F.col("kind") == "merge")
+    return AU.mixed_letter_digit(v).select(F.col("id").cast("bigint"), F.hex("piece").alias("piece_hex"))
+
+
+# == char model (space → ▁) ======================================================================
+
+_CONV_ID = "conv_id * 1000 + turn"
+_CHAR = O.char_train_ctes(CHAR_VOCAB, "conversations", _CONV_ID)
+
+
+@query("train_char", "WITH RECURSIVE " + _CHAR + _MERGES_SELECT + "cmerges")
+def train_char(spark, sf):
+    """Char BPE with ▁ on whole conversation turns; IDs after specials and alphabet."""
+    return _merges_out(spark, char_model(spark, sf))
+
+
+@query("char_alphabet", "WITH RECURSIVE " + _CHAR + " SELECT id::BIGINT AS id, c AS piece FROM alpha")
+def char_alphabet(spark, sf):
+    """The char model's alphabet with dense IDs from 3 in code-point order."""
+    m = char_model(spark, sf)
+    rows = [(3 + i, c) for i, c in enumerate(m.alphabet)]
+    return spark.createDataFrame(rows, "id BIGINT, piece STRING") if rows else \
+        spark.createDataFrame([], "id BIGINT, piece STRING")
+
+
+def _char_docs_sql():
+    # documents → ▁ → alphabet IDs (unknown → 0) → char model merges in rank order
+    return (_CHAR + ",\n"
+            "_dm AS (SELECT doc_id, replace(text, ' ', '▁') AS t FROM documents WHERE text IS NOT NULL),\n"
+            "_dch AS (SELECT doc_id, p, ch FROM _dm, LATERAL (SELECT generate_subscripts(string_split(t, ''), 1) AS p, "
+            "unnest(string_split(t, '')) AS ch) u WHERE ch <> ''),\n"
+            "_dsym AS (SELECT doc_id, string_agg(chr((256 + coalesce(a.id, 0))::INTEGER), '' ORDER BY p) AS s FROM _dch "
+            "LEFT JOIN alpha a ON a.c = _dch.ch GROUP BY doc_id),\n"
+            "_dfold(i, doc_id, s) AS (SELECT 0, doc_id, s FROM _dsym UNION ALL\n"
+            "  SELECT x.i + 1, x.doc_id, replace(x.s, m.pr, chr((256 + m.new_id)::INTEGER)) FROM _dfold x JOIN cmerges m ON m.rank = x.i),\n"
+            "cenc AS (SELECT d.doc_id, d.lang, coalesce(f.s, '') AS s FROM documents d LEFT JOIN "
+            "(SELECT doc_id, s FROM _dfold WHERE i = (SELECT count(*) FROM cmerges)) f ON d.doc_id = f.doc_id)")
+
+
+@query("encode_char", "WITH RECURSIVE " + _char_docs_sql() +
+       f" SELECT doc_id, (length(s) + 2)::BIGINT AS n_tokens, '1 ' || {O.ids_of('s')} || ' 2' AS ids FROM cenc")
+def encode_char(spark, sf):
+    """Documents encoded with the char model, with BOS and EOS."""
+    m = char_model(spark, sf)
+    m2 = type(m)(**{**m.__dict__, "add_bos": True, "add_eos": True})
+    e = EN.encode(_docs(spark, sf), m2)
+    # IDs joined with single spaces; an empty text gives "1  2" in both engines
+    return e.select("doc_id", F.col("n_tokens").cast("bigint"),
+                    F.concat(F.lit("1 "), F.array_join(F.slice("ids", 2, F.size("ids") - 2), " "), F.lit(" 2")).alias("ids"))
+
+
+@query("oov_rate", "WITH RECURSIVE " + _char_docs_sql() + """,
+ _u AS (SELECT d.lang, _dch.ch, a.id FROM _dch JOIN documents d ON d.doc_id = _dch.doc_id LEFT JOIN alpha a ON a.c = _dch.ch)
+ SELECT lang, count(*)::BIGINT AS n_chars, count(*) FILTER (WHERE id IS NULL)::BIGINT AS n_unk,
+        round(count(*) FILTER (WHERE id IS NULL) / count(*), 6) AS oov_rate FROM _u GROUP BY lang""")
+def oov_rate(spark, sf):
+    """Q19: share of characters unknown to the char model, by language."""
+    return AU.oov_rate(_docs(spark, sf), char_model(spark, sf), "lang")
+
+
+@query("decode_char", "WITH RECURSIVE " + _char_docs_sql() + """,
+ """ + O.expand_cte("cdec", "(SELECT doc_id AS key, s FROM cenc)", "cmerges") + """,
+ _pc AS (SELECT key AS doc_id, p, unicode(x) - 256 AS id FROM cdec,
+         LATERAL (SELECT generate_subscripts(string_split(s, ''), 1) AS p, unnest(string_split(s, '')) AS x) u WHERE x <> ''),
+ _txt AS (SELECT doc_id, string_agg(CASE WHEN _pc.id = 0 THEN '<unk>' ELSE a.c END, '' ORDER BY p) AS t
+          FROM _pc LEFT JOIN alpha a ON a.id = _pc.id GROUP BY doc_id)
+ SELECT d.doc_id, regexp_replace(replace(coalesce(t, ''), '▁', ' '), '^[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f \\x{85}\\x{a0}]+|[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f \\x{85}\\x{a0}]+$', '', 'g') AS text
+ FROM documents d LEFT JOIN _txt ON d.doc_id = _txt.doc_id""")
+def decode_char(spark, sf):
+    """Char-model decode of the encoded documents (unknown → <unk>, ▁ → space, stripped)."""
+    m = char_model(spark, sf)
+    e = EN.encode(_docs(spark, sf), m)
+    return DE.decode(e, m)

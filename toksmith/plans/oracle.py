@@ -50,7 +50,7 @@ def chunks_cte(table: str = "documents", id_col: str = "doc_id", text_col: str =
     )
 
 
-def train_cte(k: int, source: str, first_id: int = 256, name: str = "merges") -> str:
+def train_cte(k, source: str, first_id=256, name: str = "merges") -> str:
     """Recursive training over ``source(c, s, n, f)`` (key, symbol string, weight, first position HUGEINT).
 
     Produces CTEs ``name(rank, pr, left_id, right_id, new_id, freq, total_tokens)`` and
@@ -61,20 +61,20 @@ def train_cte(k: int, source: str, first_id: int = 256, name: str = "merges") ->
     return f"""{w}(i, c, n, f, s, pr, k) AS (
     SELECT 0, c, n, f, s, NULL::VARCHAR, NULL::BIGINT FROM {source}
     UNION ALL
-    SELECT i + 1, c, n, f, replace(s, t.pr, chr(256 + {first_id} + i)), t.pr, t.k FROM {w},
+    SELECT i + 1, c, n, f, replace(s, t.pr, chr((256 + ({first_id}) + i)::INTEGER)), t.pr, t.k FROM {w},
       (SELECT pr, k FROM (SELECT l[j] || l[j + 1] AS pr, sum(n)::BIGINT AS k,
                                  min(f * 1000000000 + j) AS pos
                           FROM (SELECT n, f, string_split(s, '') AS l FROM {w} WHERE length(s) > 1) ww,
                                LATERAL (SELECT unnest(range(1, len(l))) AS j) q
                           GROUP BY 1) z
        ORDER BY k DESC, pos LIMIT 1) t
-    WHERE i < {k}),
+    WHERE i < ({k})),
 _last_{name} AS (SELECT max(i) AS i FROM {w}),
 {name}_final AS (SELECT c, s, n FROM {w} WHERE i = (SELECT i FROM _last_{name})),
 {name} AS (SELECT i - 1 AS rank, any_value(pr) AS pr,
         (unicode(substr(any_value(pr), 1, 1)) - 256) AS left_id,
         (unicode(substr(any_value(pr), 2, 1)) - 256) AS right_id,
-        ({first_id} + i - 1) AS new_id, any_value(k) AS freq,
+        (({first_id}) + i - 1) AS new_id, any_value(k) AS freq,
         sum(n * length(s))::BIGINT AS total_tokens
       FROM {w} WHERE i > 0 GROUP BY i)"""
 
@@ -104,3 +104,32 @@ def ids_of(sym_expr: str) -> str:
     """Space-separated token IDs of an oracle symbol string."""
     return (f"CASE WHEN length({sym_expr}) = 0 THEN '' ELSE array_to_string(list_transform("
             f"string_split({sym_expr}, ''), lambda x: unicode(x) - 256), ' ') END")
+
+
+def sym_hex(s: str) -> str:
+    """Uppercase hex of the bytes of a byte-level oracle symbol string."""
+    return f"array_to_string(list_transform(string_split({s}, ''), lambda x: printf('%02X', unicode(x) - 256)), '')"
+
+
+def expand_cte(name: str, source: str, merges: str = "merges", k=None) -> str:
+    """Reverse fold: replace each merge symbol by its pair, highest rank first.
+    ``source(key, s)`` → CTE ``name(key, s)`` with base symbols only."""
+    kk = k if k is not None else f"(SELECT count(*) FROM {merges})"
+    return f"""_x_{name}(i, key, s) AS (
+    SELECT {kk}, key, s FROM {source}
+    UNION ALL
+    SELECT x.i - 1, x.key, replace(x.s, chr((256 + m.new_id)::INTEGER), m.pr) FROM _x_{name} x JOIN {merges} m ON m.rank = x.i - 1
+    WHERE x.i > 0),
+{name} AS (SELECT key, s FROM _x_{name} WHERE i = 0)"""
+
+
+def char_train_ctes(vocab: int, table: str, id_expr: str, text_col: str = "text", name: str = "cmerges") -> str:
+    """Char model: space → ▁, alphabet in code-point order from ID 3, whole texts."""
+    return f"""_cv AS (SELECT {id_expr} AS doc_id, replace({text_col}, ' ', '▁') AS t FROM {table} WHERE {text_col} IS NOT NULL),
+alpha AS (SELECT c, (row_number() OVER (ORDER BY c) + 2)::INTEGER AS id
+          FROM (SELECT DISTINCT unnest(string_split(t, '')) AS c FROM _cv) a WHERE c <> ''),
+_tr AS (SELECT string_agg(c, '' ORDER BY id) AS src, string_agg(chr((256 + id)::INTEGER), '' ORDER BY id) AS dst FROM alpha),
+_ctx AS (SELECT t AS c, count(*) AS n, min(doc_id)::HUGEINT * 1000000000 AS f FROM _cv GROUP BY t),
+_src_{name} AS (SELECT c, n, f, translate(c, src, dst) AS s FROM _ctx, _tr),
+""" + train_cte(f"{vocab} - 3 - (SELECT count(*) FROM alpha)", f"_src_{name}",
+                "(SELECT count(*) + 3 FROM alpha)", name)
