@@ -166,6 +166,14 @@ def encode(
         "doc_id", *keep, symbols_ids(F.col("_s")).alias("ids"), F.length("_s").alias("n_tokens"))
 
 
+def encode_symbols(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id",
+                   allowed_special="none_raise", keep: tuple = ()) -> DataFrame:
+    """Encoded corpus as symbol strings ``(doc_id, …keep, sym, n_tokens)``: the
+    compact form for token statistics (one char per token, no per-token arrays)."""
+    s = text_symbols(F.col(text_col), model, allowed_special)
+    return df.select(F.col(id_col).alias("doc_id"), *keep, s.alias("sym")).withColumn("n_tokens", F.length("sym"))
+
+
 def _encode_dictionary(df, model, text_col, id_col, allowed_special, keep) -> DataFrame:
     base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
     if allowed_special == "none_raise" and model.specials:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from toksmith.functions.symbols import adjacent_pairs, char_id, chars, pair_left, pair_right
 from toksmith.operators.pairs import id_pairs
 
 # ---------------------------------------------------------------------------
@@ -67,7 +68,13 @@ def utf8_width(df: DataFrame, by: str = "lang", text: str = "text") -> DataFrame
 
 
 def token_freq(enc: DataFrame, by: tuple = ()) -> DataFrame:
-    """``(…by, id, n)``: token frequencies (Q6); partial aggregation absorbs hot tokens."""
+    """``(…by, id, n)``: token frequencies (Q6); partial aggregation absorbs hot tokens.
+    Works on symbol strings (``sym``) when present: tokens are counted as
+    characters and mapped to IDs after the aggregation (≤ vocab-size rows)."""
+    if "sym" in enc.columns:
+        ex = enc.select(*by, F.explode(chars(F.col("sym"))).alias("c"))
+        agg = ex.groupBy(*by, "c").agg(F.count(F.lit(1)).alias("n"))
+        return agg.select(*by, char_id("c").cast("bigint").alias("id"), "n")
     ex = enc.select(*by, F.explode("ids").alias("id"))
     return ex.groupBy(*by, F.col("id").cast("bigint").alias("id")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -99,6 +106,10 @@ def entropy(freq: DataFrame, chars: DataFrame, by: str = "lang") -> DataFrame:
 
 def bigram_counts(enc: DataFrame) -> DataFrame:
     """Adjacent token pairs within each sequence: ``(a, b, n)``."""
+    if "sym" in enc.columns:
+        ex = enc.select(F.explode(adjacent_pairs(F.col("sym"))).alias("p"))
+        agg = ex.groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+        return agg.select(pair_left("p").cast("bigint").alias("a"), pair_right("p").cast("bigint").alias("b"), "n")
     ex = enc.select(F.explode(id_pairs(F.col("ids"))).alias("p"))
     return ex.groupBy(F.col("p.l").cast("bigint").alias("a"), F.col("p.r").cast("bigint").alias("b")).agg(
         F.count(F.lit(1)).alias("n"))

@@ -78,6 +78,12 @@ def _enc_docs(spark, sf, keep=("lang", "source", "text")):
     return EN.encode(_docs(spark, sf), m, keep=tuple(F.col(k) for k in keep))
 
 
+def _sym_docs(spark, sf, keep=()):
+    """Encoded documents as symbol strings (for token statistics)."""
+    m = regex_model(spark, sf)
+    return EN.encode_symbols(_docs(spark, sf), m, keep=tuple(F.col(k) for k in keep))
+
+
 def _ids_str(c="ids"):
     return F.array_join(F.col(c), " ")
 
@@ -242,7 +248,7 @@ def utf8_width(spark, sf):
        " SELECT id::BIGINT AS id, count(*)::BIGINT AS n FROM enc_ids GROUP BY id")
 def token_freq(spark, sf):
     """Q6: token frequencies over the encoded documents."""
-    return MX.token_freq(_enc_docs(spark, sf, ()))
+    return MX.token_freq(_sym_docs(spark, sf))
 
 
 @query("zipf", "WITH RECURSIVE " + _ENC + """,
@@ -253,7 +259,7 @@ def token_freq(spark, sf):
  FROM f""")
 def zipf(spark, sf):
     """Frequency rank, share and cumulative share."""
-    return MX.zipf(MX.token_freq(_enc_docs(spark, sf, ())))
+    return MX.zipf(MX.token_freq(_sym_docs(spark, sf)))
 
 
 @query("entropy", "WITH RECURSIVE " + _ENC + """,
@@ -265,7 +271,7 @@ def zipf(spark, sf):
  FROM h JOIN c ON h.lang = c.lang""")
 def entropy(spark, sf):
     """Q9: unigram token entropy and bits per character by language."""
-    e = _enc_docs(spark, sf, ("lang",))
+    e = _sym_docs(spark, sf, ("lang",))
     chars = _docs(spark, sf).groupBy("lang").agg(F.sum(F.length("text")).alias("n_chars"))
     return MX.entropy(MX.token_freq(e, ("lang",)), chars, "lang")
 
@@ -283,7 +289,7 @@ def entropy(spark, sf):
         round((s_a - s_ab) / T, 6) AS cond_entropy FROM s""")
 def mutual_info(spark, sf):
     """Q10/Q11: mutual information and conditional entropy of adjacent tokens."""
-    return MX.mutual_information(_enc_docs(spark, sf, ()))
+    return MX.mutual_information(_sym_docs(spark, sf))
 
 
 # == decode, round trip, vocabulary audits ==============================================
@@ -338,7 +344,7 @@ def unknown_ids(spark, sf):
 
 def _freq_vocab(spark, sf):
     m = regex_model(spark, sf)
-    freq = MX.token_freq(_enc_docs(spark, sf, ()))
+    freq = MX.token_freq(_sym_docs(spark, sf))
     return freq, AU.vocab_table(spark, m)
 
 
