@@ -448,3 +448,211 @@ def decode_char(spark, sf):
     m = char_model(spark, sf)
     e = EN.encode(_docs(spark, sf), m)
     return DE.decode(e, m)
+
+
+# == special tokens ==================================================================================
+
+from toksmith.operators import specials as SP  # noqa: E402
+from toksmith.operators import windows as WN  # noqa: E402
+
+# Special tokens and IDs used by the reference's tests, plus the chat markers.
+SPECIALS = {"<|endoftext|>": 400, "<|pad|>": 401}
+CHAT_SPECIALS = {"<|endoftext|>": 400, "<|pad|>": 401, "<|im_start|>": 402, "<|im_end|>": 403}
+SCREEN_TOKENS = ["<|endoftext|>", "<|pad|>", "<|im_start|>", "<|im_end|>"]
+
+_MARK = ""
+
+
+def _sql_segments(name: str, source: str, specials: dict[str, int]) -> str:
+    """SQL: ``source(doc_id, t)`` split into text / special segments (longest token first);
+    exposes ``name(doc_id, seg_pos, seg, sid)`` with 0-based positions, empty segments dropped."""
+    expr = "t"
+    for tok, i in sorted(specials.items(), key=lambda x: (-len(x[0]), x[0])):
+        expr = f"replace({expr}, {O.q(tok)}, {O.q(_MARK + chr(0xF000 + i) + _MARK)})"
+    return f"""_{name}_raw AS (SELECT doc_id, generate_subscripts(l, 1) AS sp, unnest(l) AS seg
+                FROM (SELECT doc_id, string_split({expr}, {O.q(_MARK)}) AS l FROM {source}) x),
+{name} AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY sp) - 1) AS seg_pos, seg,
+                  CASE WHEN length(seg) = 1 AND unicode(seg) >= 61440 AND unicode(seg) < 61440 + 4096
+                       THEN unicode(seg) - 61440 END AS sid
+           FROM _{name}_raw WHERE seg <> '')"""
+
+
+def _sql_encode_with_specials(name: str, source: str, specials: dict[str, int], merges: str = "merges") -> str:
+    """SQL: ``source(doc_id, t)`` encoded with specials allowed; exposes ``name(doc_id, S)``."""
+    return (_sql_segments(f"{name}_sg", source, specials) + ",\n"
+            f"{name}_txt AS (SELECT doc_id * 1000000 + seg_pos AS doc_id, seg AS text FROM {name}_sg WHERE sid IS NULL),\n"
+            + O.fold_docs_ctes(f"{name}_fx", f"{name}_txt", merges) + ",\n"
+            f"{name}_parts AS (SELECT g.doc_id, g.seg_pos, CASE WHEN g.sid IS NOT NULL THEN chr((256 + g.sid)::INTEGER) ELSE f.S END AS s\n"
+            f"   FROM {name}_sg g LEFT JOIN {name}_fx f ON f.doc_id = g.doc_id * 1000000 + g.seg_pos),\n"
+            f"_{name}_agg AS (SELECT doc_id, string_agg(s, '' ORDER BY seg_pos) AS S FROM {name}_parts GROUP BY doc_id),\n"
+            f"{name} AS (SELECT x.doc_id, coalesce(a.S, '') AS S FROM {source} x LEFT JOIN _{name}_agg a ON x.doc_id = a.doc_id)")
+
+
+def _special_model(spark, sf, specials=SPECIALS):
+    return SP.register_specials(regex_model(spark, sf), specials)
+
+
+_NL_DOCS = "(SELECT doc_id, replace(text, chr(10), '<|endoftext|>') AS t FROM documents WHERE text IS NOT NULL)"
+
+
+@query("encode_specials", "WITH RECURSIVE " + _REGEX + ",\n" + _sql_encode_with_specials("es", _NL_DOCS, SPECIALS) +
+       f" SELECT doc_id, length(S)::BIGINT AS n_tokens, {O.ids_of('S')} AS ids FROM es")
+def encode_specials(spark, sf):
+    """Documents whose line breaks are written as <|endoftext|>, encoded with
+    special tokens allowed (longest-first segmentation, specials → their IDs)."""
+    m = _special_model(spark, sf)
+    docs = corpus.documents(spark, sf, "doc_id", "text").where(F.col("text").isNotNull()).select(
+        "doc_id", F.replace(F.col("text"), F.lit("\n"), F.lit("<|endoftext|>")).alias("text"))
+    e = EN.encode(docs, m, allowed_special="all")
+    return e.select("doc_id", F.col("n_tokens").cast("bigint"), _ids_str().alias("ids"))
+
+
+def _conv_injected(spark, sf):
+    """Conversations with special-token strings typed by users: user turns end with
+    ' <|endoftext|>', system turns start with '<|im_start|>'."""
+    c = corpus.conversations(spark, sf, "conv_id", "turn", "role", "text")
+    t = F.when(F.col("role") == "user", F.concat(F.col("text"), F.lit(" <|endoftext|>"))) \
+        .when(F.col("role") == "system", F.concat(F.lit("<|im_start|>"), F.col("text"))).otherwise(F.col("text"))
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "conv_id", "turn", "role", t.alias("text"))
+
+
+_CONV_INJ = ("(SELECT conv_id * 1000 + turn AS doc_id, conv_id, turn, role, CASE WHEN role = 'user' THEN text || ' <|endoftext|>' "
+             "WHEN role = 'system' THEN '<|im_start|>' || text ELSE text END AS text FROM conversations)")
+
+
+@query("special_segments", "WITH " + _sql_segments("sg", f"(SELECT doc_id, text AS t FROM {_CONV_INJ} c)", CHAT_SPECIALS) +
+       " SELECT doc_id, seg_pos::BIGINT AS seg_pos, CASE WHEN sid IS NULL THEN seg ELSE "
+       + " ".join(f"WHEN sid = {i} THEN {O.q(t)}" for t, i in CHAT_SPECIALS.items()).join(["CASE ", " END"])
+       + " END AS segment, sid IS NOT NULL AS is_special FROM sg")
+def special_segments(spark, sf):
+    """P10/L2: user text split into text and special-token segments."""
+    s = SP.segments(_conv_injected(spark, sf), list(CHAT_SPECIALS))
+    return s.select("doc_id", F.col("seg_pos").cast("bigint"), "segment", "is_special")
+
+
+@query("special_policy", "WITH RECURSIVE " + _REGEX + ",\n" + O.fold_docs_ctes("sp", f"(SELECT doc_id, text FROM {_CONV_INJ} c)") + """
+ SELECT c.doc_id, CASE WHEN regexp_matches(c.text, '<\\|endoftext\\|>|<\\|pad\\|>') THEN 'rejected' ELSE 'clean' END AS status,
+        length(sp.S)::BIGINT AS n_tokens_as_text
+ FROM """ + _CONV_INJ + " c JOIN sp ON c.doc_id = sp.doc_id")
+def special_policy(spark, sf):
+    """The default policy (none_raise) as a bulk quarantine of rows that contain a
+    registered special token; tokens when specials are read as plain text (policy none)."""
+    m = _special_model(spark, sf)
+    conv = _conv_injected(spark, sf)
+    clean, rejected = SP.policy_split(conv, m)
+    both = clean.withColumn("status", F.lit("clean")).unionByName(rejected.withColumn("status", F.lit("rejected")))
+    n = F.length(EN.text_symbols(F.col("text"), m, "none"))
+    return both.select("doc_id", "status", n.cast("bigint").alias("n_tokens_as_text"))
+
+
+@query("special_screen", "WITH x AS (SELECT doc_id, unnest(regexp_extract_all(text, "
+       + O.q("|".join(__import__("re").escape(t) for t in sorted(SCREEN_TOKENS, key=lambda t: (-len(t), t)))) + ")) AS token FROM "
+       + _CONV_INJ + " c) SELECT doc_id, token, count(*)::BIGINT AS n FROM x GROUP BY doc_id, token")
+def special_screen(spark, sf):
+    """Special-token strings found in user-supplied text."""
+    return SP.screen(_conv_injected(spark, sf), SCREEN_TOKENS)
+
+
+# == corpus jobs: windows, packing, budgets ============================================================
+
+@query("token_chunks", "WITH RECURSIVE " + _ENC + """,
+ w AS (SELECT doc_id, S, unnest(generate_series(0, length(S) - 1, 224)) AS start FROM enc WHERE length(S) > 0)
+ SELECT doc_id, (start // 224)::BIGINT AS window, start::BIGINT AS start, least(256, length(S) - start)::BIGINT AS n_tokens,
+        (unicode(substr(S, start + 1, 1)) - 256)::BIGINT AS first_id,
+        (unicode(substr(S, start + least(256, length(S) - start), 1)) - 256)::BIGINT AS last_id FROM w""")
+def token_chunks(spark, sf):
+    """256-token retrieval chunks with 32 tokens of overlap, never splitting a token."""
+    w = WN.token_windows(_enc_docs(spark, sf, ()), 256, 32)
+    return w.select("doc_id", F.col("window").cast("bigint"), F.col("start").cast("bigint"),
+                    F.size("ids").cast("bigint").alias("n_tokens"),
+                    F.col("ids")[0].cast("bigint").alias("first_id"),
+                    F.element_at("ids", -1).cast("bigint").alias("last_id"))
+
+
+@query("pack_context", "WITH RECURSIVE " + _ENC + """,
+ o AS (SELECT doc_id, (n_tokens + 1) AS len,
+              coalesce(sum(n_tokens + 1) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ofs FROM enc)
+ SELECT doc_id, ofs::BIGINT AS "offset", len::BIGINT AS "length", (ofs // 2048)::BIGINT AS first_context,
+        ((ofs + len - 1) // 2048)::BIGINT AS last_context FROM o""")
+def pack_context(spark, sf):
+    """Documents plus an end-of-text token packed end to end into 2,048-token contexts."""
+    e = EN.encode_symbols(_docs(spark, sf), regex_model(spark, sf))
+    return WN.pack(e, 2048)
+
+
+_CONV_ENC = ("WITH RECURSIVE " + _REGEX + ",\n" +
+             O.fold_docs_ctes("ce", "(SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations)") + ",\n"
+             "cv AS (SELECT c.conv_id, c.turn, c.role, length(ce.S) AS n_tokens FROM conversations c "
+             "JOIN ce ON ce.doc_id = c.conv_id * 1000 + c.turn)\n")
+
+
+def _conv_enc(spark, sf):
+    c = corpus.conversations(spark, sf, "conv_id", "turn", "role", "text")
+    return EN.encode_symbols(c.withColumn("doc_id", F.col("conv_id") * 1000 + F.col("turn")), regex_model(spark, sf),
+                             keep=(F.col("conv_id"), F.col("turn"), F.col("role")))
+
+
+@query("token_budget", _CONV_ENC + """
+ SELECT conv_id, turn, n_tokens::BIGINT AS n_tokens,
+        sum(n_tokens) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS cum_tokens,
+        sum(n_tokens) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= 1024 AS fits
+ FROM cv""")
+def token_budget(spark, sf):
+    """Running token total per conversation in turn order; turns that fit a 1,024-token budget."""
+    e = _conv_enc(spark, sf).select("conv_id", "turn", F.col("n_tokens").cast("bigint"))
+    return WN.budget(e, "conv_id", "turn", "n_tokens", 1024)
+
+
+@query("context_budget", _CONV_ENC + """
+ SELECT role, sum(n_tokens)::BIGINT AS n_tokens, round(sum(n_tokens) / (SELECT sum(n_tokens) FROM cv), 6) AS share,
+        round(avg(n_tokens), 6) AS avg_tokens, floor(4096 / avg(n_tokens))::BIGINT AS fit_in_4096 FROM cv GROUP BY role""")
+def context_budget(spark, sf):
+    """Share of tokens by conversation role and how many average turns fit 4,096 tokens."""
+    e = _conv_enc(spark, sf)
+    g = e.groupBy("role").agg(F.sum("n_tokens").cast("bigint").alias("n_tokens"), F.avg("n_tokens").alias("_avg"))
+    from pyspark.sql import Window
+    g = g.withColumn("_t", F.sum("n_tokens").over(Window.partitionBy()))  # one row per role
+    return g.select(
+        "role", "n_tokens", MX.r6(F.col("n_tokens") / F.col("_t")).alias("share"), MX.r6("_avg").alias("avg_tokens"),
+        F.floor(F.lit(4096) / F.col("_avg")).cast("bigint").alias("fit_in_4096"))
+
+
+@query("over_length", "WITH RECURSIVE " + _ENC + """
+ SELECT lang, count(*)::BIGINT AS n_over, max(n_tokens)::BIGINT AS max_tokens FROM enc WHERE n_tokens > 2048 GROUP BY lang""")
+def over_length(spark, sf):
+    """Documents longer than a 2,048-token context, by language."""
+    e = EN.encode_symbols(_docs(spark, sf), regex_model(spark, sf), keep=(F.col("lang"),))
+    return e.where(F.col("n_tokens") > 2048).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_over"), F.max("n_tokens").cast("bigint").alias("max_tokens"))
+
+
+@query("inflation", "WITH RECURSIVE " + _ENC + """
+ SELECT lang, round(max(n_tokens / length(text)), 6) AS max_tokens_per_char,
+        count(*) FILTER (WHERE n_tokens > 0.5 * length(text))::BIGINT AS n_inflated,
+        sum(least(n_tokens, 1024))::BIGINT AS tokens_truncated_1024 FROM enc WHERE length(text) > 0 GROUP BY lang""")
+def inflation(spark, sf):
+    """Token inflation (tokens per character), outliers above 0.5, and truncation to 1,024 tokens."""
+    e = EN.encode_symbols(_docs(spark, sf), regex_model(spark, sf), keep=(F.col("lang"), F.col("text")))
+    e = e.where(F.length("text") > 0)
+    return e.groupBy("lang").agg(
+        MX.r6(F.max(F.col("n_tokens") / F.length("text"))).alias("max_tokens_per_char"),
+        F.sum((F.col("n_tokens") > F.lit(0.5) * F.length("text")).cast("int")).cast("bigint").alias("n_inflated"),
+        F.sum(F.least(F.col("n_tokens"), F.lit(1024))).cast("bigint").alias("tokens_truncated_1024"))
+
+
+@query("chat_render", "WITH RECURSIVE " + _REGEX + """,
+ r AS (SELECT conv_id AS doc_id, count(*) AS n_turns,
+              string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS t
+       FROM conversations GROUP BY conv_id),
+ """ + _sql_encode_with_specials("ch", "(SELECT doc_id, t FROM r)", CHAT_SPECIALS) + """
+ SELECT r.doc_id AS conv_id, r.n_turns::BIGINT AS n_turns, length(ch.S)::BIGINT AS n_tokens FROM r JOIN ch ON r.doc_id = ch.doc_id""")
+def chat_render(spark, sf):
+    """Conversations rendered with turn markers (ChatML form) and encoded with the markers as specials."""
+    m = _special_model(spark, sf, CHAT_SPECIALS)
+    c = corpus.conversations(spark, sf, "conv_id", "turn", "role", "text")
+    turn = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"), F.col("text"), F.lit("<|im_end|>\n"))
+    g = c.groupBy("conv_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_turns"),
+                                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", turn.alias("t")))),
+                                                          lambda x: x["t"]), "").alias("text"))
+    e = EN.encode_symbols(g.withColumnRenamed("conv_id", "doc_id"), m, allowed_special="all", keep=(F.col("n_turns"),))
+    return e.select(F.col("doc_id").alias("conv_id"), "n_turns", F.col("n_tokens").cast("bigint"))

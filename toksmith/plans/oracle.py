@@ -133,3 +133,24 @@ _ctx AS (SELECT t AS c, count(*) AS n, min(doc_id)::HUGEINT * 1000000000 AS f FR
 _src_{name} AS (SELECT c, n, f, translate(c, src, dst) AS s FROM _ctx, _tr),
 """ + train_cte(f"{vocab} - 3 - (SELECT count(*) FROM alpha)", f"_src_{name}",
                 "(SELECT count(*) + 3 FROM alpha)", name)
+
+
+def fold_docs_ctes(name: str, source: str, merges: str = "merges", pattern: str | None = "gpt4") -> str:
+    """Encode any ``source(doc_id, text)`` with a trained byte model: chunks →
+    distinct chunks → merges folded in rank order (recursive) → join back.
+    ``pattern=None`` treats each text as one chunk.  Exposes ``name(doc_id, S)``."""
+    if pattern is None:
+        ch = (f"_{name}_ch AS (SELECT doc_id, 0 AS chunk_pos, text AS chunk FROM {source} "
+              f"WHERE text IS NOT NULL AND length(text) > 0)")
+    else:
+        ch = (f"_{name}_l AS (SELECT doc_id, {split_list('text', pattern)} AS l FROM {source} WHERE text IS NOT NULL),\n"
+              f"_{name}_ch AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS chunk_pos, unnest(l) AS chunk FROM _{name}_l)")
+    return f"""{ch},
+_{name}_f(i, chunk, s) AS (
+    SELECT 0, chunk, {byte_syms('chunk')} FROM (SELECT DISTINCT chunk FROM _{name}_ch) d
+    UNION ALL
+    SELECT x.i + 1, x.chunk, replace(x.s, m.pr, chr((256 + m.new_id)::INTEGER)) FROM _{name}_f x JOIN {merges} m ON m.rank = x.i),
+_{name}_fin AS (SELECT chunk, s FROM _{name}_f WHERE i = (SELECT count(*) FROM {merges})),
+_{name}_docs AS (SELECT c.doc_id, string_agg(f.s, '' ORDER BY c.chunk_pos) AS S
+                 FROM _{name}_ch c JOIN _{name}_fin f ON c.chunk = f.chunk GROUP BY c.doc_id),
+{name} AS (SELECT s.doc_id, coalesce(d.S, '') AS S FROM {source} s LEFT JOIN _{name}_docs d ON s.doc_id = d.doc_id)"""
