@@ -656,3 +656,386 @@ def chat_render(spark, sf):
                                                           lambda x: x["t"]), "").alias("text"))
     e = EN.encode_symbols(g.withColumnRenamed("conv_id", "doc_id"), m, allowed_special="all", keep=(F.col("n_turns"),))
     return e.select(F.col("doc_id").alias("conv_id"), "n_turns", F.col("n_tokens").cast("bigint"))
+
+
+# == chunk-level analyses (distinct chunks with their encoding) ========================================
+
+from toksmith.functions.symbols import byte_symbols  # noqa: E402
+from toksmith.functions import text as TX  # noqa: E402
+
+
+def _chunk_syms(spark, sf):
+    """Distinct document chunks ``(chunk, n, sym)`` with their encoding under the regex model."""
+    m = regex_model(spark, sf)
+    d = PT.chunk_dictionary(PT.split_chunks(_docs(spark, sf)))
+    return d.select("chunk", "n", EN.fold(byte_symbols("chunk"), m).alias("sym"))
+
+
+_CS = "WITH RECURSIVE " + _REGEX + ",\n cs AS (SELECT c AS chunk, n, s AS sym FROM merges_final)\n"
+
+
+@query("case_variants", _CS + """
+ SELECT lower(ltrim(chunk, ' ')) AS word, count(DISTINCT chunk)::BIGINT AS n_forms,
+        count(DISTINCT sym)::BIGINT AS n_tokenizations, sum(n)::BIGINT AS n_occurrences
+ FROM cs WHERE regexp_matches(chunk, '^ ?\\p{L}+$') GROUP BY 1 HAVING count(DISTINCT sym) > 1""")
+def case_variants(spark, sf):
+    """Q15: one word, several tokenizations (leading-space and case variants)."""
+    c = _chunk_syms(spark, sf).where(F.col("chunk").rlike(r"^ ?\p{L}+$"))
+    g = c.groupBy(F.lower(F.ltrim(F.col("chunk"))).alias("word")).agg(
+        F.countDistinct("chunk").alias("n_forms"), F.countDistinct("sym").alias("n_tokenizations"),
+        F.sum("n").cast("bigint").alias("n_occurrences"))
+    return g.where(F.col("n_tokenizations") > 1)
+
+
+@query("number_split", _CS + """
+ SELECT length(chunk)::BIGINT AS n_digits, sum(n)::BIGINT AS n_occurrences,
+        round(sum(n * length(sym)) / sum(n), 6) AS avg_tokens, count(*)::BIGINT AS n_distinct
+ FROM cs WHERE regexp_matches(chunk, '^\\p{N}+$') GROUP BY 1""")
+def number_split(spark, sf):
+    """Q16: how numbers split: tokens per number by digit count."""
+    c = _chunk_syms(spark, sf).where(F.col("chunk").rlike(r"^\p{N}+$"))
+    return c.groupBy(F.length("chunk").cast("bigint").alias("n_digits")).agg(
+        F.sum("n").cast("bigint").alias("n_occurrences"),
+        MX.r6(F.sum(F.col("n") * F.length("sym")) / F.sum("n")).alias("avg_tokens"),
+        F.count(F.lit(1)).alias("n_distinct"))
+
+
+@query("whitespace_cost", _CS + """
+ SELECT length(chunk)::BIGINT AS width, sum(n)::BIGINT AS n_occurrences,
+        round(sum(n * length(sym)) / sum(n), 6) AS avg_tokens
+ FROM cs WHERE regexp_matches(chunk, '^[ \\t]+$') GROUP BY 1""")
+def whitespace_cost(spark, sf):
+    """Q17: tokens spent on runs of spaces/tabs, by run width."""
+    c = _chunk_syms(spark, sf).where(F.col("chunk").rlike(r"^[ \t]+$"))
+    return c.groupBy(F.length("chunk").cast("bigint").alias("width")).agg(
+        F.sum("n").cast("bigint").alias("n_occurrences"),
+        MX.r6(F.sum(F.col("n") * F.length("sym")) / F.sum("n")).alias("avg_tokens"))
+
+
+@query("delimiter_cost", _CS + """
+ SELECT chunk, n::BIGINT AS n_occurrences, length(sym)::BIGINT AS n_tokens
+ FROM cs WHERE regexp_matches(chunk, '^ ?[^\\s\\p{L}\\p{N}]+[\\r\\n]*$')""")
+def delimiter_cost(spark, sf):
+    """Q18: token cost of each punctuation/delimiter chunk seen in the corpus."""
+    c = _chunk_syms(spark, sf).where(F.col("chunk").rlike(r"^ ?[^\s\p{L}\p{N}]+[\r\n]*$"))
+    return c.select("chunk", F.col("n").alias("n_occurrences"), F.length("sym").cast("bigint").alias("n_tokens"))
+
+
+# == vocabulary lifecycle =================================================================================
+
+SWEEP = (256, 266, 276, 286, 300)
+
+
+@query("vocab_sweep", "WITH RECURSIVE " + _REGEX + """,
+ b AS (SELECT sum(octet_length(encode(text))) AS bytes FROM documents),
+ t AS (SELECT 256 AS vocab_size, (SELECT bytes FROM b) AS n_tokens
+       UNION ALL SELECT new_id + 1, total_tokens FROM merges WHERE new_id + 1 IN """ + str(SWEEP) + """)
+ SELECT vocab_size::BIGINT AS vocab_size, n_tokens::BIGINT AS n_tokens, round((SELECT bytes FROM b) / n_tokens, 6) AS bytes_per_token FROM t""")
+def vocab_sweep(spark, sf):
+    """T5: nested vocabularies (merge-rank prefixes) evaluated in one pass over the corpus."""
+    m = regex_model(spark, sf)
+    docs = _docs(spark, sf)
+    s = F.col("_s0")
+    cols, prev = [], 0
+    x = docs.select(F.octet_length("text").alias("_b"),
+                    F.array_join(F.transform(PT.split_column(F.col("text"), m.pattern), lambda c: byte_symbols(c)),
+                                 EN.SEP).alias("_s0"))
+    for v in SWEEP:
+        k = v - 256
+        part = type(m)("regex", m.merges[prev:k], pattern=m.pattern)
+        s = EN.fold(s, part)
+        prev = k
+        x = x.withColumn(f"_s{v}", s)
+        s = F.col(f"_s{v}")
+        cols.append(F.struct(F.lit(v).alias("vocab_size"),
+                             F.length(F.replace(F.col(f"_s{v}"), F.lit(EN.SEP), F.lit(""))).alias("n")))
+    ex = x.select("_b", F.explode(F.array(*cols)).alias("r"))
+    g = ex.groupBy(F.col("r.vocab_size").cast("bigint").alias("vocab_size")).agg(
+        F.sum("r.n").cast("bigint").alias("n_tokens"), F.sum("_b").alias("_bytes"))
+    return g.select("vocab_size", "n_tokens", MX.r6(F.col("_bytes") / F.col("n_tokens")).alias("bytes_per_token"))
+
+
+_BENCH = "(SELECT item_id AS doc_id, text FROM benchmark)"
+
+
+@query("model_diff", "WITH RECURSIVE " + _REGEX + ",\n"
+       + O.fold_docs_ctes("va", _BENCH, "(SELECT * FROM merges WHERE rank < 24)") + ",\n"
+       + O.fold_docs_ctes("vb", _BENCH, "merges") + """
+ SELECT va.doc_id AS item_id, length(va.S)::BIGINT AS n_tokens_280, length(vb.S)::BIGINT AS n_tokens_300, va.S = vb.S AS same
+ FROM va JOIN vb ON va.doc_id = vb.doc_id""")
+def model_diff(spark, sf):
+    """Q20: regression of two model versions (280 vs 300 tokens) on the fixed benchmark set."""
+    m = regex_model(spark, sf)
+    m280 = type(m)("regex", m.merges[:24], pattern=m.pattern)
+    b = corpus.table(spark, sf, "benchmark", "item_id", "text")
+    a1, a2 = EN.text_symbols(F.col("text"), m280), EN.text_symbols(F.col("text"), m)
+    return b.select("item_id", F.length(a1).cast("bigint").alias("n_tokens_280"),
+                    F.length(a2).cast("bigint").alias("n_tokens_300"), (a1 == a2).alias("same"))
+
+
+_BVOCAB = (O.basic_train_ctes(K_BASIC, _CONV_DOCS, "doc_id", "text") + ",\n"
+           + O.expand_cte("bpieces", "(SELECT new_id AS key, chr((256 + new_id)::INTEGER) AS s FROM bmerges)", "bmerges", K_BASIC) + ",\n"
+           "bvocab AS (SELECT i::BIGINT AS id, printf('%02X', i) AS piece_hex FROM range(256) t(i)\n"
+           f"          UNION ALL SELECT key::BIGINT, {O.sym_hex('s')} FROM bpieces)")
+
+
+@query("vocab_compare", "WITH RECURSIVE " + _VOCAB_SQL + ",\n" + _BVOCAB + """
+ SELECT coalesce(v.piece_hex, b.piece_hex) AS piece_hex, coalesce(v.id, -1)::BIGINT AS id_documents,
+        coalesce(b.id, -1)::BIGINT AS id_conversations
+ FROM vocab v FULL OUTER JOIN bvocab b ON v.piece_hex = b.piece_hex""")
+def vocab_compare(spark, sf):
+    """Two vocabularies (documents vs conversations model) side by side: shared and one-sided pieces."""
+    a = AU.vocab_table(spark, regex_model(spark, sf)).select(F.col("piece_hex").alias("p"), F.col("id").alias("id_documents"))
+    b = AU.vocab_table(spark, basic_model(spark, sf)).select(F.col("piece_hex").alias("q"), F.col("id").alias("id_conversations"))
+    j = a.join(b, a["p"] == b["q"], "full_outer")
+    # -1 marks a piece absent from one side
+    return j.select(F.coalesce("p", "q").alias("piece_hex"), F.coalesce("id_documents", F.lit(-1)).cast("bigint").alias("id_documents"),
+                    F.coalesce("id_conversations", F.lit(-1)).cast("bigint").alias("id_conversations"))
+
+
+@query("head_to_head", "WITH RECURSIVE " + _REGEX + ",\n" + O.basic_train_ctes(K_BASIC, _CONV_DOCS, "doc_id", "text") + ",\n"
+       + O.fold_docs_ctes("hr", _BENCH, "merges") + ",\n" + O.fold_docs_ctes("hb", _BENCH, "bmerges", None) + """,
+ nb AS (SELECT sum(octet_length(encode(text))) AS bytes, sum(length(text)) AS chars FROM benchmark)
+ SELECT 'regex' AS model, sum(length(S))::BIGINT AS n_tokens, round((SELECT bytes FROM nb) / sum(length(S)), 6) AS bytes_per_token,
+        round(1000.0 * sum(length(S)) / (SELECT chars FROM nb), 6) AS tokens_per_1k_chars FROM hr
+ UNION ALL
+ SELECT 'basic', sum(length(S))::BIGINT, round((SELECT bytes FROM nb) / sum(length(S)), 6),
+        round(1000.0 * sum(length(S)) / (SELECT chars FROM nb), 6) FROM hb""")
+def head_to_head(spark, sf):
+    """Q5: two tokenizers on one corpus (the benchmark set)."""
+    b = corpus.table(spark, sf, "benchmark", "item_id", "text")
+    parts = []
+    for name, m in (("regex", regex_model(spark, sf)), ("basic", basic_model(spark, sf))):
+        parts.append(b.select(F.lit(name).alias("model"), F.length(EN.text_symbols(F.col("text"), m)).alias("n"),
+                              F.octet_length("text").alias("by"), F.length("text").alias("ch")))
+    u = parts[0].unionByName(parts[1])
+    g = u.groupBy("model").agg(F.sum("n").cast("bigint").alias("n_tokens"), F.sum("by").alias("_b"), F.sum("ch").alias("_c"))
+    return g.select("model", "n_tokens", MX.r6(F.col("_b") / F.col("n_tokens")).alias("bytes_per_token"),
+                    MX.r6(F.lit(1000.0) * F.col("n_tokens") / F.col("_c")).alias("tokens_per_1k_chars"))
+
+
+_BIGRAMS = """,
+ l AS (SELECT doc_id, string_split(S, '') AS t FROM enc WHERE length(S) > 1),
+ j AS (SELECT unicode(t[i]) - 256 AS a, unicode(t[i + 1]) - 256 AS b, count(*) AS n
+       FROM l, LATERAL (SELECT unnest(range(1, len(t))) AS i) q GROUP BY 1, 2)"""
+
+
+@query("vocab_expand", "WITH RECURSIVE " + _ENC + _BIGRAMS + """
+ SELECT (row_number() OVER (ORDER BY n DESC, a, b) - 1)::BIGINT AS rank, a::BIGINT AS left_id, b::BIGINT AS right_id,
+        n::BIGINT AS n, (300 + row_number() OVER (ORDER BY n DESC, a, b) - 1)::BIGINT AS new_id
+ FROM (SELECT * FROM j ORDER BY n DESC, a, b LIMIT 20) t""")
+def vocab_expand(spark, sf):
+    """X11: the 20 most frequent adjacent token pairs of the encoded corpus as new vocabulary entries."""
+    from pyspark.sql import Window
+    j = MX.bigram_counts(_sym_docs(spark, sf)).orderBy(F.col("n").desc(), "a", "b").limit(20)
+    w = Window.orderBy(F.col("n").desc(), "a", "b")  # over the 20 rows only
+    r = F.row_number().over(w) - 1
+    return j.select(r.cast("bigint").alias("rank"), F.col("a").alias("left_id"), F.col("b").alias("right_id"), "n",
+                    (F.lit(300) + r).cast("bigint").alias("new_id"))
+
+
+@query("token_healing", "WITH RECURSIVE " + _VOCAB_SQL + ",\n" + O.fold_docs_ctes("th", _BENCH, "merges") + """,
+ last AS (SELECT doc_id, unicode(substr(S, length(S), 1)) - 256 AS last_id FROM th WHERE length(S) > 0)
+ SELECT l.doc_id AS item_id, l.last_id::BIGINT AS last_id, count(w.id)::BIGINT AS n_extensions
+ FROM last l JOIN vocab v ON v.id = l.last_id
+ LEFT JOIN vocab w ON starts_with(w.piece_hex, v.piece_hex) AND length(w.piece_hex) > length(v.piece_hex)
+ GROUP BY l.doc_id, l.last_id""")
+def token_healing(spark, sf):
+    """For each prompt, the last token and how many vocabulary pieces extend it (healing candidates).
+    The prefix join is bucketed on the first byte (equi-join) and filtered by prefix; the vocabulary is
+    bounded, so it is broadcast."""
+    m = regex_model(spark, sf)
+    b = corpus.table(spark, sf, "benchmark", "item_id", "text")
+    s = EN.text_symbols(F.col("text"), m)
+    last = b.select("item_id", s.alias("s")).where(F.length("s") > 0).select(
+        "item_id", F.element_at(EN.symbols_ids(F.col("s")), -1).cast("bigint").alias("last_id"))
+    v = m.vocab_df(spark).select(F.col("id").cast("bigint").alias("vid"), F.col("piece").alias("vp"))
+    w = m.vocab_df(spark).select(F.col("id").alias("wid"), F.col("piece").alias("wp"))
+    lv = last.join(F.broadcast(v), last["last_id"] == v["vid"])
+    cand = lv.join(F.broadcast(w), (F.substring(w["wp"], 1, 1) == F.substring(lv["vp"], 1, 1))
+                   & (F.substring(w["wp"], 1, F.length(lv["vp"])) == lv["vp"]) & (F.length(w["wp"]) > F.length(lv["vp"])), "left")
+    return cand.groupBy("item_id", "last_id").agg(F.count("wid").alias("n_extensions"))
+
+
+@query("perplexity", "WITH RECURSIVE " + _ENC + """,
+ f AS (SELECT id, count(*) AS n FROM enc_ids GROUP BY id),
+ lp AS (SELECT id, ln(n / (SELECT sum(n) FROM f)) AS lp FROM f),
+ fl AS (SELECT lang, id, count(*) AS n FROM enc_ids GROUP BY lang, id),
+ s AS (SELECT fl.lang, sum(fl.n * lp.lp) AS slp, sum(fl.n) AS n FROM fl JOIN lp ON fl.id = lp.id GROUP BY fl.lang),
+ nb AS (SELECT lang, sum(octet_length(encode(text))) AS bytes, sum(length(text)) AS chars FROM documents GROUP BY lang)
+ SELECT s.lang, round(exp(-slp / n), 6) AS perplexity, round(-slp / ln(2) / bytes, 6) AS bits_per_byte,
+        round(-slp / ln(2) / chars, 6) AS bits_per_char FROM s JOIN nb ON s.lang = nb.lang""")
+def perplexity(spark, sf):
+    """Q12: perplexity and bits per byte/character from a log-prob table; the log-probs come
+    from the corpus's own unigram token model (p = n/N)."""
+    e = _sym_docs(spark, sf, ("lang",))
+    fl = MX.token_freq(e, ("lang",))
+    f = fl.groupBy("id").agg(F.sum("n").alias("n"))  # ≤ vocab size rows
+    from pyspark.sql import Window
+    lp = f.select("id", F.log(F.col("n") / F.sum("n").over(Window.partitionBy())).alias("lp"))
+    s = fl.join(F.broadcast(lp), "id").groupBy("lang").agg(F.sum(F.col("n") * F.col("lp")).alias("slp"),
+                                                          F.sum("n").alias("n"))
+    nb = _docs(spark, sf).groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"),
+                                              F.sum(F.length("text")).alias("chars"))
+    return s.join(nb, "lang").select(
+        "lang", MX.r6(F.exp(-F.col("slp") / F.col("n"))).alias("perplexity"),
+        MX.r6(-F.col("slp") / F.log(F.lit(2.0)) / F.col("bytes")).alias("bits_per_byte"),
+        MX.r6(-F.col("slp") / F.log(F.lit(2.0)) / F.col("chars")).alias("bits_per_char"))
+
+
+@query("prune_vocab", "WITH RECURSIVE " + _ENC + """,
+ f AS (SELECT id, count(*) AS n FROM enc_ids GROUP BY id),
+ rare AS (SELECT m.new_id AS id FROM merges m LEFT JOIN f ON f.id = m.new_id WHERE coalesce(f.n, 0) < 2000),
+ clo(id) AS (SELECT id FROM rare UNION SELECT m.new_id FROM merges m JOIN clo ON m.left_id = clo.id OR m.right_id = clo.id)
+ SELECT DISTINCT id::BIGINT AS id, (id IN (SELECT id FROM rare)) AS rare FROM clo""")
+def prune_vocab(spark, sf):
+    """Q8: merges below 2,000 uses, plus every merge built on a pruned one (closure over the merge table)."""
+    m = regex_model(spark, sf)
+    f = MX.token_freq(_sym_docs(spark, sf))
+    merges = m.merges_df(spark).select(F.col("new_id").cast("bigint").alias("id"), "left_id", "right_id")
+    rare = merges.join(f, "id", "left").where(F.coalesce(F.col("n"), F.lit(0)) < 2000).select("id")
+    rare_ids = {r["id"] for r in rare.collect()}  # ≤ vocab size
+    dropped = set(rare_ids)
+    for mg in m.merges:  # rank order: parents precede children
+        if mg.left_id in dropped or mg.right_id in dropped:
+            dropped.add(mg.new_id)
+    rows = [(i, i in rare_ids) for i in sorted(dropped)]
+    return spark.createDataFrame(rows, "id BIGINT, rare BOOLEAN")
+
+
+# == corpus transforms and other tokenizations ==========================================================
+
+@query("word_vocab", f"""WITH w AS (SELECT lang, unnest(list_filter(regexp_split_to_array(text, {O.q(_WS + '+')}), lambda x: x <> '')) AS word FROM documents),
+ top AS (SELECT word FROM (SELECT word, count(*) AS n FROM w GROUP BY word) t ORDER BY n DESC, word LIMIT 1000)
+ SELECT lang, count(*)::BIGINT AS n_words, count(*) FILTER (WHERE top.word IS NULL)::BIGINT AS n_unk,
+        round(count(*) FILTER (WHERE top.word IS NULL) / count(*), 6) AS unk_rate
+ FROM w LEFT JOIN top ON w.word = top.word GROUP BY lang""")
+def word_vocab(spark, sf):
+    """Word-level vocabulary (top 1,000 whitespace words) and the <UNK> rate by language."""
+    w = _docs(spark, sf).select("lang", F.explode(F.filter(F.split("text", _WS + "+"), lambda x: x != "")).alias("word"))
+    top = w.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "word").limit(1000)
+    j = w.join(F.broadcast(top.select("word", F.lit(True).alias("known"))), "word", "left")  # 1,000 rows
+    return j.groupBy("lang").agg(F.count(F.lit(1)).alias("n_words"),
+                                 F.sum(F.col("known").isNull().cast("int")).cast("bigint").alias("n_unk")) \
+        .withColumn("unk_rate", MX.r6(F.col("n_unk") / F.col("n_words")))
+
+
+@query("char_tokens", """
+ SELECT lang, count(*)::BIGINT AS n_chars, count(DISTINCT ch)::BIGINT AS n_distinct
+ FROM documents, LATERAL (SELECT unnest(string_split(text, '')) AS ch) u WHERE ch <> '' GROUP BY lang""")
+def char_tokens(spark, sf):
+    """Character-level tokenization: tokens and distinct characters by language."""
+    ex = _docs(spark, sf).select("lang", F.explode(F.split("text", "")).alias("ch")).where(F.col("ch") != "")
+    return ex.groupBy("lang").agg(F.count(F.lit(1)).alias("n_chars"), F.countDistinct("ch").alias("n_distinct"))
+
+
+@query("byte_fallback", "WITH RECURSIVE " + _CHAR + """,
+ u AS (SELECT lang, ch FROM documents, LATERAL (SELECT unnest(string_split(replace(text, ' ', '▁'), '')) AS ch) q WHERE ch <> '')
+ SELECT lang, count(*) FILTER (WHERE a.c IS NULL)::BIGINT AS n_oov_chars,
+        coalesce(sum(octet_length(encode(ch))) FILTER (WHERE a.c IS NULL), 0)::BIGINT AS n_fallback_tokens
+ FROM u LEFT JOIN alpha a ON a.c = u.ch GROUP BY lang""")
+def byte_fallback(spark, sf):
+    """Characters outside the char model's alphabet become one <0xNN> token per UTF-8 byte."""
+    m = char_model(spark, sf)
+    cls = EN._char_class(m.alphabet)
+    ex = _docs(spark, sf).select("lang", F.explode(F.split(F.replace(F.col("text"), F.lit(" "), F.lit("▁")), "")).alias("ch"))
+    ex = ex.where(F.col("ch") != "").withColumn("oov", ~F.col("ch").rlike(f"^[{cls}]$"))
+    return ex.groupBy("lang").agg(F.sum(F.col("oov").cast("int")).cast("bigint").alias("n_oov_chars"),
+                                  F.coalesce(F.sum(F.when(F.col("oov"), F.octet_length("ch"))), F.lit(0)).cast("bigint")
+                                  .alias("n_fallback_tokens"))
+
+
+def byte_fallback_tokens(ch):
+    """The ``<0xNN>`` tokens of one character."""
+    return F.transform(F.split(F.hex(F.encode(ch, "UTF-8")), "(?<=\\G..)"), lambda h: F.concat(F.lit("<0x"), h, F.lit(">")))
+
+
+_DECOMP = "replace(text, 'é', 'e' || chr(769))"
+
+
+@query("nfc_audit", f"""
+ SELECT lang, count(*)::BIGINT AS n_docs, count(*) FILTER (WHERE {_DECOMP} <> nfc_normalize({_DECOMP}))::BIGINT AS n_changed,
+        sum(octet_length(encode({_DECOMP})))::BIGINT AS bytes_before,
+        sum(octet_length(encode(nfc_normalize({_DECOMP}))))::BIGINT AS bytes_after
+ FROM documents GROUP BY lang""")
+def nfc_audit(spark, sf):
+    """Texts whose é is written decomposed (e + U+0301): which would change under NFC, bytes saved."""
+    t = F.replace(F.col("text"), F.lit("é"), F.lit("é"))
+    x = _docs(spark, sf).select("lang", t.alias("t")).withColumn("n", TX.nfc("t"))
+    return x.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"),
+                                 F.sum((F.col("t") != F.col("n")).cast("int")).cast("bigint").alias("n_changed"),
+                                 F.sum(F.octet_length("t")).cast("bigint").alias("bytes_before"),
+                                 F.sum(F.octet_length("n")).cast("bigint").alias("bytes_after"))
+
+
+_HOMO = "CASE WHEN source = 'src7' THEN replace(text, 'o', 'о') ELSE text END"
+
+
+@query("homoglyphs", f"""
+ WITH w AS (SELECT doc_id, unnest(regexp_extract_all({_HOMO}, '\\p{{L}}+')) AS word FROM documents)
+ SELECT doc_id, count(*)::BIGINT AS n_mixed_words FROM w
+ WHERE regexp_matches(word, '\\p{{Latin}}') AND regexp_matches(word, '\\p{{Cyrillic}}|\\p{{Greek}}') GROUP BY doc_id""")
+def homoglyphs(spark, sf):
+    """Words mixing Latin with Cyrillic/Greek letters (source src7 has Cyrillic 'о' for 'o')."""
+    t = F.when(F.col("source") == "src7", F.replace(F.col("text"), F.lit("o"), F.lit("о"))).otherwise(F.col("text"))
+    x = _docs(spark, sf).select("doc_id", F.size(TX.mixed_script_words(t)).cast("bigint").alias("n_mixed_words"))
+    return x.where(F.col("n_mixed_words") > 0)
+
+
+@query("byte_patches", """
+ SELECT lang, sum(octet_length(encode(text)))::BIGINT AS n_bytes,
+        sum(ceil(octet_length(encode(text)) / 4))::BIGINT AS n_patches_4,
+        sum(len(regexp_extract_all(text, '[^ ]* +|[^ ]+')))::BIGINT AS n_space_patches
+ FROM documents GROUP BY lang""")
+def byte_patches(spark, sf):
+    """Fixed 4-byte patches and space-bounded patches per language."""
+    d = _docs(spark, sf)
+    return d.groupBy("lang").agg(
+        F.sum(F.octet_length("text")).cast("bigint").alias("n_bytes"),
+        F.sum(F.ceil(F.octet_length("text") / 4)).cast("bigint").alias("n_patches_4"),
+        F.sum(F.size(F.regexp_extract_all("text", F.lit("[^ ]* +|[^ ]+"), 0))).cast("bigint").alias("n_space_patches"))
+
+
+def byte_patch_column(text, width: int = 4):
+    """The fixed-width byte patches of a text (BINARY pieces)."""
+    b = F.encode(text, "UTF-8")
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length(b) - 1, F.lit(0)), F.lit(width)),
+                       lambda i: F.substring(b, i + 1, width))
+
+
+_STRIPPED = f"regexp_replace(text, {O.q('^' + _WS + '+|' + _WS + '+$')}, '', 'g')"
+
+
+@query("strip_effect", "WITH RECURSIVE " + _ENC + ",\n"
+       + O.fold_docs_ctes("st", f"(SELECT doc_id, {_STRIPPED} AS text FROM documents)", "merges") + """
+ SELECT e.source, count(*)::BIGINT AS n_docs,
+        count(*) FILTER (WHERE substr(e.S, 1, 1) IS DISTINCT FROM substr(st.S, 1, 1))::BIGINT AS n_first_changed,
+        sum(length(e.S) - length(st.S))::BIGINT AS tokens_saved
+ FROM enc e JOIN st ON e.doc_id = st.doc_id GROUP BY e.source""")
+def strip_effect(spark, sf):
+    """Does stripping surrounding whitespace change the first token? By source."""
+    m = regex_model(spark, sf)
+    d = _docs(spark, sf)
+    a = EN.text_symbols(F.col("text"), m)
+    b = EN.text_symbols(F.regexp_replace("text", "^" + _WS + "+|" + _WS + "+$", ""), m)
+    x = d.select("source", a.alias("a"), b.alias("b"))
+    return x.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.sum((~F.substring("a", 1, 1).eqNullSafe(F.substring("b", 1, 1))).cast("int")).cast("bigint").alias("n_first_changed"),
+        F.sum(F.length("a") - F.length("b")).cast("bigint").alias("tokens_saved"))
+
+
+@query("lang_balance", "WITH " + O.chunks_cte() + """,
+ c AS (SELECT d.lang, count(DISTINCT d.doc_id) AS n_docs, count(x.chunk) AS n_chunks
+       FROM documents d LEFT JOIN chunks x ON x.doc_id = d.doc_id GROUP BY d.lang)
+ SELECT lang, n_docs::BIGINT AS n_docs, n_chunks::BIGINT AS n_chunks,
+        round((SELECT sum(n_chunks) FROM c) / (SELECT count(*) FROM c) / n_chunks, 6) AS weight FROM c""")
+def lang_balance(spark, sf):
+    """Per-language weights that give every language the same share of training chunks."""
+    d = _docs(spark, sf)
+    n = d.select("doc_id", "lang", F.size(PT.split_column(F.col("text"))).alias("k"))
+    g = n.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("n_chunks"))
+    from pyspark.sql import Window
+    w = Window.partitionBy()  # one row per language
+    return g.select("lang", "n_docs", "n_chunks",
+                    MX.r6(F.sum("n_chunks").over(w) / F.count(F.lit(1)).over(w) / F.col("n_chunks")).alias("weight"))
