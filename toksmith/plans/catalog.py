@@ -885,15 +885,17 @@ def perplexity(spark, sf):
 
 @query("prune_vocab", "WITH RECURSIVE " + _ENC + """,
  f AS (SELECT id, count(*) AS n FROM enc_ids GROUP BY id),
- rare AS (SELECT m.new_id AS id FROM merges m LEFT JOIN f ON f.id = m.new_id WHERE coalesce(f.n, 0) < 2000),
+ rare AS (SELECT m.new_id AS id FROM merges m LEFT JOIN f ON f.id = m.new_id
+          WHERE coalesce(f.n, 0) < 0.01 * (SELECT sum(n) FROM f)),
  clo(id) AS (SELECT id FROM rare UNION SELECT m.new_id FROM merges m JOIN clo ON m.left_id = clo.id OR m.right_id = clo.id)
  SELECT DISTINCT id::BIGINT AS id, (id IN (SELECT id FROM rare)) AS rare FROM clo""")
 def prune_vocab(spark, sf):
-    """Q8: merges below 2,000 uses, plus every merge built on a pruned one (closure over the merge table)."""
+    """Q8: merges used by under 1 % of all tokens, plus every merge built on a pruned one (closure over the merge table)."""
     m = regex_model(spark, sf)
     f = MX.token_freq(_sym_docs(spark, sf))
     merges = m.merges_df(spark).select(F.col("new_id").cast("bigint").alias("id"), "left_id", "right_id")
-    rare = merges.join(f, "id", "left").where(F.coalesce(F.col("n"), F.lit(0)) < 2000).select("id")
+    total = f.agg(F.sum("n")).first()[0] or 0  # one scalar
+    rare = merges.join(f, "id", "left").where(F.coalesce(F.col("n"), F.lit(0)) < F.lit(0.01 * total)).select("id")
     rare_ids = {r["id"] for r in rare.collect()}  # ≤ vocab size
     dropped = set(rare_ids)
     for mg in m.merges:  # rank order: parents precede children
