@@ -98,13 +98,15 @@ def ids_symbols(ids) -> Column:
     return F.array_join(F.transform(_col(ids), id_char), "")
 
 
+# One regex pass: at each code point, capture it and the next one (look-ahead) and
+# consume one code point, so overlapping pairs come out in order, never
+# starting inside a surrogate pair.
+_PAIR_RE = "(?s)(?=(..))."
+
+
 def adjacent_pairs(s) -> Column:
     """Array of the two-symbol strings at offsets 0..n-2 (overlapping)."""
-    a = chars(s)
-    n = F.size(a)
-    return F.when(n < 2, F.array().cast("array<string>")).otherwise(
-        F.zip_with(F.slice(a, 1, n - 1), F.slice(a, 2, n - 1), lambda x, y: F.concat(x, y))
-    )
+    return F.regexp_extract_all(_col(s), F.lit(_PAIR_RE), 1)
 
 
 def pair_left(p) -> Column:

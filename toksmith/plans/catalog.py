@@ -1041,3 +1041,84 @@ def lang_balance(spark, sf):
     w = Window.partitionBy()  # one row per language
     return g.select("lang", "n_docs", "n_chunks",
                     MX.r6(F.sum("n_chunks").over(w) / F.count(F.lit(1)).over(w) / F.col("n_chunks")).alias("weight"))
+
+
+# == WordPiece ==========================================================================================
+
+from toksmith.operators import wordpiece as WPC  # noqa: E402
+
+WP_MERGES = 20
+_WP_MODELS: dict = {}
+
+
+def wordpiece_model(spark, sf):
+    key = (sf, WP_MERGES)
+    if key not in _WP_MODELS:
+        conv = corpus.conversations(spark, sf, "conv_id", "turn", "text")
+        docs = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
+        _WP_MODELS[key] = WPC.train(docs, WP_MERGES)
+    return _WP_MODELS[key]
+
+
+_WP = f"""_wpw AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS p, unnest(l) AS w
+          FROM (SELECT conv_id * 1000 + turn AS doc_id, regexp_extract_all(text, '\\p{{L}}+') AS l FROM conversations WHERE text IS NOT NULL) x),
+_wpd AS (SELECT w AS c, count(*) AS n, min(doc_id::HUGEINT * 1000000000 + p) AS f FROM _wpw GROUP BY w),
+walpha AS (SELECT c, row_number() OVER (ORDER BY c)::INTEGER AS id FROM (SELECT DISTINCT unnest(string_split(c, '')) AS c FROM _wpd) a WHERE c <> ''),
+_wA AS (SELECT count(*)::INTEGER AS A FROM walpha),
+_wtr AS (SELECT string_agg(c, '' ORDER BY id) AS src, string_agg(chr((256 + id)::INTEGER), '' ORDER BY id) AS ini,
+                string_agg(chr((256 + A + id)::INTEGER), '' ORDER BY id) AS con FROM walpha, _wA GROUP BY A),
+_wsrc AS (SELECT c, n, f, translate(substr(c, 1, 1), src, ini) || translate(substr(c, 2), src, con) AS s FROM _wpd, _wtr),
+_ww(i, c, n, f, s, pr, k) AS (
+  SELECT 0, c, n, f, s, NULL::VARCHAR, NULL::BIGINT FROM _wsrc
+  UNION ALL
+  SELECT i + 1, c, n, f, replace(s, t.pr, chr((256 + 2 * (SELECT A FROM _wA) + 1 + i)::INTEGER)), t.pr, t.k FROM _ww,
+    (SELECT z.pr, z.k FROM
+       (SELECT l[j] || l[j + 1] AS pr, sum(n)::BIGINT AS k, min(f * 1000000000 + j) AS pos
+        FROM (SELECT n, f, string_split(s, '') AS l FROM _ww WHERE length(s) > 1) ww,
+             LATERAL (SELECT unnest(range(1, len(l))) AS j) q GROUP BY 1) z
+     JOIN (SELECT u, sum(n) AS nu FROM (SELECT n, unnest(string_split(s, '')) AS u FROM _ww) uu GROUP BY u) ua ON ua.u = substr(z.pr, 1, 1)
+     JOIN (SELECT u, sum(n) AS nu FROM (SELECT n, unnest(string_split(s, '')) AS u FROM _ww) uu GROUP BY u) ub ON ub.u = substr(z.pr, 2, 1)
+     ORDER BY z.k / (ua.nu::DOUBLE * ub.nu) DESC, z.k DESC, z.pos LIMIT 1) t
+  WHERE i < {WP_MERGES}),
+wpm AS (SELECT i - 1 AS rank, any_value(pr) AS pr, unicode(substr(any_value(pr), 1, 1)) - 256 AS left_id,
+               unicode(substr(any_value(pr), 2, 1)) - 256 AS right_id, 2 * (SELECT A FROM _wA) + i AS new_id, any_value(k) AS freq
+        FROM _ww WHERE i > 0 GROUP BY i),
+""" + O.expand_cte("wpx", "(SELECT new_id AS key, chr((256 + new_id)::INTEGER) AS s FROM wpm)", "wpm") + """,
+wpieces AS (SELECT key AS new_id, CASE WHEN unicode(substr(s, 1, 1)) - 256 > (SELECT A FROM _wA) THEN '##' ELSE '' END
+                   || translate(s, (SELECT ini || con FROM _wtr), (SELECT src || src FROM _wtr)) AS piece FROM wpx)"""
+
+
+@query("wordpiece_train", "WITH RECURSIVE " + _WP + """
+ SELECT m.rank::BIGINT AS rank, m.left_id::BIGINT AS left_id, m.right_id::BIGINT AS right_id, m.new_id::BIGINT AS new_id,
+        m.freq::BIGINT AS freq, p.piece FROM wpm m JOIN wpieces p ON p.new_id = m.new_id""")
+def wordpiece_train(spark, sf):
+    """WordPiece merges by score n(ab)/(n(a)·n(b)) on the words of the conversations."""
+    m = wordpiece_model(spark, sf)
+    rows = [(r, l, rt, n, f, p) for r, ((l, rt, n, f), p) in enumerate(zip(m.merges, m.pieces))]
+    return spark.createDataFrame(rows, "rank BIGINT, left_id BIGINT, right_id BIGINT, new_id BIGINT, freq BIGINT, piece STRING")
+
+
+@query("wordpiece_encode", "WITH RECURSIVE " + _WP + """,
+ wvocab AS (SELECT piece, min(id) AS id FROM (SELECT c AS piece, id FROM walpha UNION ALL SELECT '##' || c, (SELECT A FROM _wA) + id FROM walpha
+            UNION ALL SELECT piece, new_id FROM wpieces) v GROUP BY piece),
+ _L AS (SELECT max(length(replace(piece, '##', ''))) AS L FROM wvocab),
+ _dw AS (SELECT d.lang, t.w FROM documents d, LATERAL (SELECT unnest(regexp_extract_all(d.text, '\\p{L}+')) AS w) t),
+ words AS (SELECT DISTINCT w FROM _dw),
+ cand AS (SELECT w, st, ln FROM words, LATERAL (SELECT unnest(range(0, length(w))) AS st) a,
+          LATERAL (SELECT unnest(range(1, (SELECT L FROM _L) + 1)) AS ln) b WHERE st + ln <= length(w)),
+ edges AS (SELECT w, st, max(ln) AS ln FROM cand JOIN wvocab v
+           ON v.piece = CASE WHEN st = 0 THEN '' ELSE '##' END || substr(w, st + 1, ln) GROUP BY w, st),
+ walk(w, pos, ntok) AS (SELECT w, 0, 0 FROM words UNION ALL
+           SELECT walk.w, walk.pos + e.ln, walk.ntok + 1 FROM walk JOIN edges e ON e.w = walk.w AND e.st = walk.pos),
+ res AS (SELECT w, max(pos) = length(w) AS ok, max(ntok) AS ntok FROM walk GROUP BY w)
+ SELECT lang, count(*)::BIGINT AS n_words, sum(CASE WHEN ok THEN ntok ELSE 1 END)::BIGINT AS n_tokens,
+        count(*) FILTER (WHERE NOT ok)::BIGINT AS n_unk FROM _dw JOIN res ON _dw.w = res.w GROUP BY lang""")
+def wordpiece_encode(spark, sf):
+    """documents' words encoded greedily longest-match-first with the WordPiece vocabulary; [UNK] rate."""
+    m = wordpiece_model(spark, sf)
+    w = WPC.words(_docs(spark, sf).select("doc_id", "text", "lang").withColumnRenamed("lang", "_lang"))
+    occ = _docs(spark, sf).select("doc_id", "lang").join(w, "doc_id")
+    enc = WPC.encode_words(occ, m)
+    j = occ.join(enc, "word")
+    return j.groupBy("lang").agg(F.count(F.lit(1)).alias("n_words"), F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
+                                 F.sum((F.col("ids") == F.array(F.lit(0))).cast("int")).cast("bigint").alias("n_unk"))
