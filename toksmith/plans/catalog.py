@@ -1122,3 +1122,120 @@ def wordpiece_encode(spark, sf):
     j = occ.join(enc, "word")
     return j.groupBy("lang").agg(F.count(F.lit(1)).alias("n_words"), F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
                                  F.sum((F.col("ids") == F.array(F.lit(0))).cast("int")).cast("bigint").alias("n_unk"))
+
+
+# == subword regularization, vocabulary transfer, relational forms ==========================================
+
+from toksmith.operators import regularize as RG  # noqa: E402
+
+DROPOUT_P, DROPOUT_SEED = 0.1, 7
+
+
+@query("bpe_dropout", "WITH RECURSIVE " + _ENC + f""",
+ _dl AS (SELECT doc_id, lang, array_to_string(list_transform({O.split_list('text')}, lambda c: {O.byte_syms('c')}), chr(57345)) AS s
+         FROM documents WHERE text IS NOT NULL),
+ _df(i, doc_id, lang, s) AS (SELECT 0, doc_id, lang, s FROM _dl UNION ALL
+    SELECT x.i + 1, x.doc_id, x.lang,
+           CASE WHEN ((x.doc_id * {RG.HASH_MULT} + (x.i + 1) * {RG.HASH_STEP} + {DROPOUT_SEED}) % {RG.HASH_MOD}) < {int(DROPOUT_P * RG.HASH_MOD)}
+                THEN x.s ELSE replace(x.s, m.pr, chr((256 + m.new_id)::INTEGER)) END
+    FROM _df x JOIN merges m ON m.rank = x.i),
+ _dd AS (SELECT doc_id, lang, length(replace(s, chr(57345), '')) AS n FROM _df WHERE i = {K_REGEX})
+ SELECT d.lang, sum(e.n_tokens)::BIGINT AS n_tokens, sum(_dd.n)::BIGINT AS n_tokens_dropout
+ FROM _dd JOIN enc e ON e.doc_id = _dd.doc_id JOIN documents d ON d.doc_id = _dd.doc_id GROUP BY d.lang""")
+def bpe_dropout(spark, sf):
+    """BPE-dropout (p = 0.1, one deterministic draw per merge and document) vs. plain encoding."""
+    m = regex_model(spark, sf)
+    d = _docs(spark, sf).where(F.col("text").isNotNull())
+    x = d.select("lang", F.length(EN.text_symbols(F.col("text"), m)).alias("a"),
+                 F.length(RG.dropout_symbols(F.col("text"), F.col("doc_id"), m, DROPOUT_P, DROPOUT_SEED)).alias("b"))
+    return x.groupBy("lang").agg(F.sum("a").cast("bigint").alias("n_tokens"), F.sum("b").cast("bigint").alias("n_tokens_dropout"))
+
+
+@query("vocab_transfer", "WITH RECURSIVE " + _VOCAB_SQL + ",\n" + _BVOCAB + ",\n" + O.basic_train_ctes(
+    K_BASIC, _CONV_DOCS, "doc_id", "text", "bm2").split(",\n_src_bm2")[0].replace("_tx_bm2", "_unused_tx") + """,
+ newp AS (SELECT v.id, v.piece_hex, b.id AS old_id FROM vocab v LEFT JOIN bvocab b ON b.piece_hex = v.piece_hex),
+ """ + O.fold_docs_ctes("tp", "(SELECT id AS doc_id, decode(unhex(piece_hex), 'replace') AS text, piece_hex FROM newp WHERE old_id IS NULL)",
+                        "bmerges", None).replace(
+    "SELECT 0, chunk, " + O.byte_syms("chunk") + " FROM (SELECT DISTINCT chunk FROM _tp_ch) d",
+    "SELECT 0, chunk, array_to_string(list_transform(regexp_extract_all(chunk, '..'), lambda h: chr((256 + ('0x' || h)::INTEGER)::INTEGER)), '') FROM (SELECT DISTINCT chunk FROM _tp_ch) d").replace(
+    "SELECT doc_id, 0 AS chunk_pos, text AS chunk FROM (SELECT id AS doc_id", "SELECT doc_id, 0 AS chunk_pos, piece_hex AS chunk FROM (SELECT id AS doc_id") + """,
+ parts AS (SELECT id, old_id AS part, 'copy' AS method FROM newp WHERE old_id IS NOT NULL
+           UNION ALL SELECT doc_id, unicode(x) - 256, 'mean' FROM tp, LATERAL (SELECT unnest(string_split(S, '')) AS x) u),
+ dims AS (SELECT vec_id, generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS v FROM embeddings),
+ mv AS (SELECT p.id, p.method, d.dim, avg(d.v) AS v, count(*) AS k FROM parts p JOIN dims d ON d.vec_id = p.part GROUP BY p.id, p.method, d.dim)
+ SELECT id::BIGINT AS id, any_value(method) AS method, max(k)::BIGINT AS n_parts, round(sum(v), 3) AS vec_sum FROM mv GROUP BY id""")
+def vocab_transfer(spark, sf):
+    """Vectors for the documents model's vocabulary from an older model (the conversations model,
+    whose token i has embeddings.vec_id = i): copy when the piece exists, else the mean of the old
+    tokens that encode the piece."""
+    new, old = regex_model(spark, sf), basic_model(spark, sf)
+    nv = new.vocab_df(spark).select(F.col("id").alias("nid"), F.col("piece").alias("p"))
+    ov = old.vocab_df(spark).select(F.col("id").alias("oid"), F.col("piece").alias("q"))
+    j = nv.join(F.broadcast(ov), nv["p"] == ov["q"], "left")  # both sides bounded by vocabulary size
+    copy = j.where(F.col("oid").isNotNull()).select("nid", F.col("oid").alias("part"), F.lit("copy").alias("method"))
+    enc = j.where(F.col("oid").isNull()).select("nid", EN.symbols_ids(EN.fold(F.decode(F.col("p"), "ISO-8859-1"), old)).alias("ids"))
+    mean = enc.select("nid", F.explode("ids").alias("part"), F.lit("mean").alias("method"))
+    parts = copy.unionByName(mean)
+    emb = corpus.table(spark, sf, "embeddings", "vec_id", "embedding")
+    dims = emb.select("vec_id", F.posexplode("embedding").alias("dim", "v"))
+    mv = parts.join(dims, parts["part"] == dims["vec_id"]).groupBy("nid", "method", "dim").agg(
+        F.avg(F.col("v").cast("double")).alias("v"), F.count(F.lit(1)).alias("k"))
+    return mv.groupBy(F.col("nid").cast("bigint").alias("id")).agg(
+        F.first("method").alias("method"), F.max("k").cast("bigint").alias("n_parts"), F.round(F.sum("v"), 3).alias("vec_sum"))
+
+
+@query("bigram_window", "WITH RECURSIVE " + _ENC + """,
+ t AS (SELECT doc_id, p, unicode(x) - 256 AS id FROM enc, LATERAL (SELECT generate_subscripts(string_split(S, ''), 1) AS p,
+        unnest(string_split(S, '')) AS x) u WHERE length(S) > 0),
+ w AS (SELECT id AS a, lead(id) OVER (PARTITION BY doc_id ORDER BY p) AS b FROM t)
+ SELECT a::BIGINT AS a, b::BIGINT AS b, count(*)::BIGINT AS n FROM w WHERE b IS NOT NULL GROUP BY a, b""")
+def bigram_window(spark, sf):
+    """Adjacent token pairs as a sliding window of width 2 over the long (doc_id, pos, id) form."""
+    from pyspark.sql import Window
+    e = _enc_docs(spark, sf, ())
+    t = e.select("doc_id", F.posexplode("ids").alias("pos", "id"))
+    w = t.withColumn("b", F.lead("id").over(Window.partitionBy("doc_id").orderBy("pos")))
+    return w.where(F.col("b").isNotNull()).groupBy(F.col("id").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+MODALITY_OFFSET = 1000
+
+
+@query("id_ranges", "WITH RECURSIVE " + _ENC + ",\n"
+       + O.basic_train_ctes(K_BASIC, _CONV_DOCS, "doc_id", "text") + ",\n"
+       + O.fold_docs_ctes("pg", "(SELECT page_id AS doc_id, html AS text FROM pages)", "bmerges", None) + f""",
+ u AS (SELECT 'text' AS stream, unicode(x) - 256 AS id FROM enc, LATERAL (SELECT unnest(string_split(S, '')) AS x) q WHERE length(S) > 0
+       UNION ALL SELECT 'html', unicode(x) - 256 + {MODALITY_OFFSET} FROM pg, LATERAL (SELECT unnest(string_split(S, '')) AS x) q WHERE length(S) > 0)
+ SELECT stream, count(*)::BIGINT AS n_tokens, min(id)::BIGINT AS min_id, max(id)::BIGINT AS max_id FROM u GROUP BY stream""")
+def id_ranges(spark, sf):
+    """Two token streams (document text, page HTML) in disjoint ID ranges (HTML IDs + 1,000)."""
+    a = EN.encode_symbols(_docs(spark, sf), regex_model(spark, sf))
+    pg = corpus.table(spark, sf, "pages", "page_id", "html")
+    b = EN.encode_symbols(pg, basic_model(spark, sf), text_col="html", id_col="page_id")
+    fa = MX.token_freq(a).withColumn("stream", F.lit("text"))
+    fb = MX.token_freq(b).withColumn("stream", F.lit("html")).withColumn("id", F.col("id") + MODALITY_OFFSET)
+    u = fa.unionByName(fb)
+    return u.groupBy("stream").agg(F.sum("n").cast("bigint").alias("n_tokens"), F.min("id").alias("min_id"),
+                                   F.max("id").alias("max_id"))
+
+
+@query("logprob_norm", "WITH RECURSIVE " + _VOCAB_SQL + ",\n" + _ENC.split("WITH RECURSIVE ")[-1].replace(_REGEX + ",\n", "") + """,
+ f AS (SELECT id, count(*) AS n FROM enc_ids GROUP BY id),
+ lp AS (SELECT f.id, ln(f.n / (SELECT sum(n) FROM f)) AS lp, length(v.piece_hex) / 2 AS nbytes FROM f JOIN vocab v ON v.id = f.id),
+ fl AS (SELECT lang, id, count(*) AS n FROM enc_ids GROUP BY lang, id)
+ SELECT fl.lang, round(sum(fl.n * lp.lp) / sum(fl.n), 6) AS avg_logprob,
+        round(sum(fl.n * lp.lp / lp.nbytes) / sum(fl.n), 6) AS avg_logprob_per_byte
+ FROM fl JOIN lp ON fl.id = lp.id GROUP BY fl.lang""")
+def logprob_norm(spark, sf):
+    """Q13: length-normalised token log-probability (per token and per byte of the piece), by language."""
+    m = regex_model(spark, sf)
+    e = _sym_docs(spark, sf, ("lang",))
+    fl = MX.token_freq(e, ("lang",))
+    from pyspark.sql import Window
+    f = fl.groupBy("id").agg(F.sum("n").alias("n"))
+    v = m.vocab_df(spark).select(F.col("id").cast("bigint").alias("id"), F.octet_length("piece").alias("nbytes"))
+    lp = f.join(F.broadcast(v), "id").select("id", "nbytes", F.log(F.col("n") / F.sum("n").over(Window.partitionBy())).alias("lp"))
+    x = fl.join(F.broadcast(lp), "id")
+    return x.groupBy("lang").agg(MX.r6(F.sum(F.col("n") * F.col("lp")) / F.sum("n")).alias("avg_logprob"),
+                                 MX.r6(F.sum(F.col("n") * F.col("lp") / F.col("nbytes")) / F.sum("n")).alias("avg_logprob_per_byte"))
