@@ -1239,3 +1239,52 @@ def logprob_norm(spark, sf):
     x = fl.join(F.broadcast(lp), "id")
     return x.groupBy("lang").agg(MX.r6(F.sum(F.col("n") * F.col("lp")) / F.sum("n")).alias("avg_logprob"),
                                  MX.r6(F.sum(F.col("n") * F.col("lp") / F.col("nbytes")) / F.sum("n")).alias("avg_logprob_per_byte"))
+
+
+# == unigram language model (checked against a brute-force loop in tests/test_unigram.py) ====================
+
+from toksmith.operators import unigram as UG  # noqa: E402
+
+UNIGRAM_SIZE, UNIGRAM_MAXLEN = 300, 8
+_UG_MODELS: dict = {}
+
+
+def unigram_vocab(spark, sf):
+    key = (sf, UNIGRAM_SIZE)
+    if key not in _UG_MODELS:
+        conv = corpus.conversations(spark, sf, "conv_id", "turn", "text")
+        docs = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
+        v = UG.train(docs, UNIGRAM_SIZE, max_len=UNIGRAM_MAXLEN, seed_size=1000, em_iters=1, shrink=0.5)
+        _UG_MODELS[key] = spark.createDataFrame([(r["piece"], r["logp"]) for r in v.collect()], "piece STRING, logp DOUBLE")
+    return _UG_MODELS[key]
+
+
+@query("unigram_train")
+def unigram_train(spark, sf):
+    """Unigram vocabulary (hard EM + loss pruning) learned from the conversations."""
+    return unigram_vocab(spark, sf).select("piece", MX.r6("logp").alias("logp"))
+
+
+def _doc_chunks(spark, sf):
+    return PT.split_chunks(_docs(spark, sf))
+
+
+@query("unigram_viterbi")
+def unigram_viterbi(spark, sf):
+    """Best unigram segmentation of every distinct document chunk, joined back; tokens by language."""
+    v = unigram_vocab(spark, sf)
+    ch = _doc_chunks(spark, sf)
+    seg = UG.segment(ch.select("chunk").distinct(), v, UNIGRAM_MAXLEN).select("chunk", F.size("pieces").alias("k"))
+    from toksmith.operators.joins import hot_cold_join
+    j = hot_cold_join(ch, seg, "chunk").join(_docs(spark, sf).select("doc_id", "lang"), "doc_id")
+    return j.groupBy("lang").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("k").cast("bigint").alias("n_tokens"))
+
+
+@query("unigram_sample")
+def unigram_sample(spark, sf):
+    """Sampled segmentations (subword regularization), one draw per distinct chunk and seed."""
+    v = unigram_vocab(spark, sf)
+    ch = _doc_chunks(spark, sf).select("chunk").distinct()
+    s = UG.sample(ch, v, UNIGRAM_MAXLEN, F.col("chunk"), seed=3)
+    return s.select("chunk", F.size("pieces").cast("bigint").alias("n_pieces"),
+                    (F.array_join("pieces", "") == F.col("chunk")).alias("covers"))
