@@ -101,7 +101,9 @@ def train_rounds(
         d = d.select(expr.alias("sym"), "n", "first").where(F.length("sym") > 1).persist(
             StorageLevel.MEMORY_AND_DISK)
         if rounds % checkpoint_every == 0:
-            d = cut_lineage(d)
+            ck = cut_lineage(d)  # reliable copy in spark.checkpoint.dir
+            d.unpersist()
+            d = ck.persist(StorageLevel.MEMORY_AND_DISK)
     if merges and merges[-1].total_tokens is None:
         pt = d.agg(F.sum(F.col("n") * (F.length("sym") - 1))).first()[0] or 0
         merges[-1].total_tokens = pt + n_seq

@@ -45,8 +45,12 @@ def running_offsets(df: DataFrame, order_col: str, len_col: str, buckets: int =
 def pack(enc: DataFrame, context: int, n_col: str = "n_tokens", order_col: str = "doc_id", eot: bool = True,
          buckets: int = 64) -> DataFrame:
     """Documents (each followed by an end-of-text token) laid end to end and cut
-    into contexts of ``context`` tokens: ``(doc_id, offset, length, first_context, last_context)``."""
-    x = enc.select(order_col, (F.col(n_col) + (1 if eot else 0)).alias("length"))
+    into contexts of ``context`` tokens: ``(doc_id, offset, length, first_context, last_context)``.
+    The narrow (key, length) table is persisted so that the encoding runs once for
+    both the in-range windows and the range totals."""
+    from pyspark import StorageLevel
+
+    x = enc.select(order_col, (F.col(n_col) + (1 if eot else 0)).alias("length")).persist(StorageLevel.MEMORY_AND_DISK)
     x = running_offsets(x, order_col, "length", buckets)
     return x.select(order_col, F.col("offset").cast("bigint"), F.col("length").cast("bigint"),
                     F.floor(F.col("offset") / context).cast("bigint").alias("first_context"),

@@ -109,7 +109,9 @@ def train(df: DataFrame, n_merges: int, text_col: str = "text", id_col: str = "d
         d = d.select(F.replace(F.col("sym"), F.lit(p), F.lit(sym(new))).alias("sym"), "n", "first") \
             .persist(StorageLevel.MEMORY_AND_DISK)
         if (r + 1) % checkpoint_every == 0:
-            d = cut_lineage(d)
+            ck = cut_lineage(d)
+            d.unpersist()
+            d = ck.persist(StorageLevel.MEMORY_AND_DISK)
         prev.unpersist()
     d.unpersist()
     return model
