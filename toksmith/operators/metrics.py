@@ -120,10 +120,11 @@ def mutual_information(enc: DataFrame) -> DataFrame:
     I(A;B) = log2 T + (Σn·log2 n − Σn·log2 n_a − Σn·log2 n_b)/T,
     H(A,B) = log2 T − Σn·log2 n / T,  H(A) = log2 T − Σn·log2 n_a / T,
     H(B|A) = H(A,B) − H(A).  Marginals have at most vocab-size rows (broadcast)."""
+    # marginals as windows over the aggregated bigram table (≤ vocab² rows): the
+    # corpus is read and encoded once, no branch recomputes it
     j = bigram_counts(enc)
-    la = j.groupBy("a").agg(F.sum("n").alias("na"))
-    rb = j.groupBy("b").agg(F.sum("n").alias("nb"))
-    x = j.join(F.broadcast(la), "a").join(F.broadcast(rb), "b")
+    x = j.withColumn("na", F.sum("n").over(Window.partitionBy("a"))) \
+         .withColumn("nb", F.sum("n").over(Window.partitionBy("b")))
     s = x.agg(
         F.sum("n").alias("T"),
         F.sum(F.col("n") * F.log2("n")).alias("s_ab"),

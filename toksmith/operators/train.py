@@ -27,7 +27,7 @@ from toksmith.model import MAX_MODEL_ROWS, Merge, Model
 from toksmith.operators import pairs as P
 from toksmith.operators import pretokenize as PT
 from toksmith.session import cut_lineage
-from toksmith.sources.corpus import spread
+from toksmith.sources.corpus import widen
 
 
 def select_batch(top: list, cautious: bool = False) -> list:
@@ -64,7 +64,7 @@ def train_rounds(
     """
     if n_merges > MAX_MODEL_ROWS:
         raise ValueError("too many merges")
-    base = spread(d.select("sym", "n", "first"), "sym").persist(StorageLevel.MEMORY_AND_DISK)
+    base = widen(d.select("sym", "n", "first"), "sym").persist(StorageLevel.MEMORY_AND_DISK)
     n_seq = base.where(F.length("sym") > 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # sequences of one symbol have no pairs and never change: drop them
     d = base.where(F.length("sym") > 1).persist(StorageLevel.MEMORY_AND_DISK)

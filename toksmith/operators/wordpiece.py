@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from toksmith.functions.symbols import adjacent_pairs, char_id, chars, cp_to_id, sym, syms
 from toksmith.model import MAX_MODEL_ROWS
 from toksmith.session import cut_lineage
-from toksmith.sources.corpus import spread
+from toksmith.sources.corpus import widen
 
 WORD_PATTERN = r"\p{L}+"
 UNK = "[UNK]"
@@ -73,7 +73,7 @@ def train(df: DataFrame, n_merges: int, text_col: str = "text", id_col: str = "d
           checkpoint_every: int = 8) -> WordPieceModel:
     if n_merges > MAX_MODEL_ROWS:
         raise ValueError("too many merges")
-    d0 = spread(word_dictionary(df, text_col, id_col), "word").persist(StorageLevel.MEMORY_AND_DISK)
+    d0 = widen(word_dictionary(df, text_col, id_col), "word").persist(StorageLevel.MEMORY_AND_DISK)
     alphabet = "".join(sorted(r["c"] for r in d0.select(F.explode(chars(F.col("word"))).alias("c")).distinct().collect()))
     a = len(alphabet)
     init, cont = syms(range(1, 1 + a)), syms(range(1 + a, 1 + 2 * a))

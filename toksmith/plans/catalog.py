@@ -869,12 +869,12 @@ def perplexity(spark, sf):
     """Q12: perplexity and bits per byte/character from a log-prob table; the log-probs come
     from the corpus's own unigram token model (p = n/N)."""
     e = _sym_docs(spark, sf, ("lang",))
-    fl = MX.token_freq(e, ("lang",))
-    f = fl.groupBy("id").agg(F.sum("n").alias("n"))  # ≤ vocab size rows
+    fl = MX.token_freq(e, ("lang",))  # ≤ languages × vocabulary rows
     from pyspark.sql import Window
-    lp = f.select("id", F.log(F.col("n") / F.sum("n").over(Window.partitionBy())).alias("lp"))
-    s = fl.join(F.broadcast(lp), "id").groupBy("lang").agg(F.sum(F.col("n") * F.col("lp")).alias("slp"),
-                                                          F.sum("n").alias("n"))
+    # per-token totals and the grand total as windows over the small table: one pass over the corpus
+    lp = F.log(F.sum("n").over(Window.partitionBy("id")) / F.sum("n").over(Window.partitionBy()))
+    s = fl.withColumn("lp", lp).groupBy("lang").agg(F.sum(F.col("n") * F.col("lp")).alias("slp"),
+                                                   F.sum("n").alias("n"))
     nb = _docs(spark, sf).groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"),
                                               F.sum(F.length("text")).alias("chars"))
     return s.join(nb, "lang").select(
@@ -1231,12 +1231,11 @@ def logprob_norm(spark, sf):
     """Q13: length-normalised token log-probability (per token and per byte of the piece), by language."""
     m = regex_model(spark, sf)
     e = _sym_docs(spark, sf, ("lang",))
-    fl = MX.token_freq(e, ("lang",))
+    fl = MX.token_freq(e, ("lang",))  # ≤ languages × vocabulary rows
     from pyspark.sql import Window
-    f = fl.groupBy("id").agg(F.sum("n").alias("n"))
     v = m.vocab_df(spark).select(F.col("id").cast("bigint").alias("id"), F.octet_length("piece").alias("nbytes"))
-    lp = f.join(F.broadcast(v), "id").select("id", "nbytes", F.log(F.col("n") / F.sum("n").over(Window.partitionBy())).alias("lp"))
-    x = fl.join(F.broadcast(lp), "id")
+    lp = F.log(F.sum("n").over(Window.partitionBy("id")) / F.sum("n").over(Window.partitionBy()))
+    x = fl.withColumn("lp", lp).join(F.broadcast(v), "id")
     return x.groupBy("lang").agg(MX.r6(F.sum(F.col("n") * F.col("lp")) / F.sum("n")).alias("avg_logprob"),
                                  MX.r6(F.sum(F.col("n") * F.col("lp") / F.col("nbytes")) / F.sum("n")).alias("avg_logprob_per_byte"))
 

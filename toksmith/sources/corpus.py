@@ -12,15 +12,26 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Text work is CPU-bound per row.  When a scan yields fewer splits than
+    """Text work is CPU-bound per row.  When a *scan* yields fewer splits than
     the cluster has task slots (a few large row groups), hash-distribute the
-    rows; a scan over many files already has enough splits and is untouched."""
+    rows; a scan over many files already has enough splits and is untouched.
+    (Only for plans without a shuffle: probing the partition count of an
+    adaptive plan would execute it.)"""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots, key)
     return df
 
 
+def widen(df: DataFrame, key: str) -> DataFrame:
+    """After an aggregation that adaptive execution may have coalesced into a few
+    partitions, hash-partition by ``key`` over at least all task slots: one shuffle
+    of the (small) aggregate, so that later per-row work runs on every core."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, key)
+
+
 def documents(spark, sf_dir, *cols) -> DataFrame:
     return table(spark, sf_dir, "documents", *(cols or ("doc_id", "text", "lang", "source")))
 
