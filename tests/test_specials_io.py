@@ -93,3 +93,14 @@ def test_streaming_encode_smoke(spark, model):
     q.stop()
     got = spark.sql("select * from enc_stream").orderBy("doc_id").collect()
     assert [list(r.ids) for r in got] == [list(r.ids) for r in EN.encode(texts_df(spark, ["hello world", "the fox"]), model).orderBy("doc_id").collect()]
+
+
+def test_strip_specials_and_token_sink(spark, model):
+    df = texts_df(spark, ["a<|pad|>b<|endoftext|>"])
+    assert df.select(SP.strip(F.col("text"), list(SPECIALS)).alias("t")).first().t == "ab"
+    from toksmith.sources import corpus
+    d = tempfile.mkdtemp(prefix="toksmith-tokens-")
+    enc = EN.encode(texts_df(spark, ["x y", "z"]).withColumn("lang", F.lit("en")), model, keep=(F.col("lang"),))
+    corpus.write_tokens(enc, os.path.join(d, "t"))
+    back = spark.read.parquet(os.path.join(d, "t")).where(F.col("lang") == "en")
+    assert back.count() == 2

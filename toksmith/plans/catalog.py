@@ -1287,3 +1287,29 @@ def unigram_sample(spark, sf):
     s = UG.sample(ch, v, UNIGRAM_MAXLEN, F.col("chunk"), seed=3)
     return s.select("chunk", F.size("pieces").cast("bigint").alias("n_pieces"),
                     (F.array_join("pieces", "") == F.col("chunk")).alias("covers"))
+
+
+# == model summary, caller's split pattern ================================================================
+
+@query("model_summary", "WITH RECURSIVE " + _REGEX + """
+ SELECT 'regex' AS kind, (256 + count(*))::BIGINT AS vocab_size, count(*)::BIGINT AS n_merges,
+        max(freq)::BIGINT AS max_freq, min(freq)::BIGINT AS min_freq FROM merges""")
+def model_summary(spark, sf):
+    """One-row summary of the trained model (size, merges, merge frequency range)."""
+    m = regex_model(spark, sf)
+    return m.merges_df(spark).agg(
+        F.lit(m.kind).alias("kind"), (F.lit(256) + F.count(F.lit(1))).cast("bigint").alias("vocab_size"),
+        F.count(F.lit(1)).alias("n_merges"), F.max("freq").cast("bigint").alias("max_freq"),
+        F.min("freq").cast("bigint").alias("min_freq"))
+
+
+CUSTOM_PATTERN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}]+"
+
+
+@query("presplit_custom", f"""
+ WITH c AS (SELECT doc_id, regexp_extract_all(text, {O.q(CUSTOM_PATTERN)}) AS l FROM documents WHERE text IS NOT NULL)
+ SELECT doc_id, (generate_subscripts(l, 1) - 1)::BIGINT AS chunk_pos, unnest(l) AS chunk FROM c""")
+def presplit_custom(spark, sf):
+    """Pre-split with a caller's pattern (letters, digits, other runs)."""
+    c = PT.split_chunks(_docs(spark, sf), CUSTOM_PATTERN)
+    return c.select("doc_id", F.col("chunk_pos").cast("bigint"), "chunk")

@@ -46,3 +46,9 @@ def text_files(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
 
     df = spark.read.text(path, wholetext=whole).withColumnRenamed("value", "text")
     return df.select(F.xxhash64(F.input_file_name(), F.col("text")).alias("doc_id"), "text")
+
+
+def write_tokens(enc: DataFrame, path: str, partition_by: tuple = ("lang",), mode: str = "overwrite") -> None:
+    """IO6: the encoded corpus ``(doc_id, ids, n_tokens, …)`` as a Parquet table,
+    partitioned (e.g. by model and language) so later scans prune partitions."""
+    enc.write.mode(mode).partitionBy(*partition_by).parquet(path)
