@@ -104,3 +104,14 @@ def test_strip_specials_and_token_sink(spark, model):
     corpus.write_tokens(enc, os.path.join(d, "t"))
     back = spark.read.parquet(os.path.join(d, "t")).where(F.col("lang") == "en")
     assert back.count() == 2
+
+
+def test_budget_splits_hot_group_exactly(spark):
+    rows = [(0, t, (t * 7) % 5) for t in range(50)] + [(1, t, 3) for t in range(4)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, n_tokens long")
+    got = {(r.conv_id, r.turn): (r.cum_tokens, r.fits) for r in WN.budget(df, "conv_id", "turn", "n_tokens", 40, span=8).collect()}
+    want, acc = {}, {}
+    for c, t, n in rows:
+        acc[c] = acc.get(c, 0) + n
+        want[(c, t)] = (acc[c], acc[c] <= 40)
+    assert got == want

@@ -26,13 +26,20 @@ def token_windows(enc: DataFrame, size: int, overlap: int = 0, ids: str = "ids")
     return ex.select("doc_id", "window", "start", F.slice("_a", F.col("start") + 1, size).alias("ids"))
 
 
-def running_offsets(df: DataFrame, order_col: str, len_col: str, buckets: int = 64) -> DataFrame:
-    """Exclusive running sum of ``len_col`` in ``order_col`` order (unique keys), as ``offset``."""
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(order_col, probs, 0.001))) if buckets > 1 else []
-    bucket = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>"),
-                             lambda b: b <= F.col(order_col)))
-    x = df.withColumn("_bucket", bucket)
+def running_offsets(df: DataFrame, order_col: str, len_col: str, buckets: int | None = None) -> DataFrame:
+    """Exclusive running sum of ``len_col`` in ``order_col`` order (unique keys), as ``offset``.
+
+    The key range is cut at approximate quantiles into ``buckets`` ranges (default: twice the
+    task slots, at least 64); ``Bucketizer`` assigns ranges by binary search, each range runs
+    its own window, and range offsets come from a window over at most ``buckets`` rows."""
+    from pyspark.ml.feature import Bucketizer
+
+    spark = df.sparkSession
+    b = buckets or max(64, 2 * spark.sparkContext.defaultParallelism)
+    bounds = sorted(set(df.approxQuantile(order_col, [i / b for i in range(1, b)], 0.001))) if b > 1 else []
+    splits = [float("-inf")] + [float(x) for x in bounds] + [float("inf")]
+    x = df.withColumn("_key", F.col(order_col).cast("double"))
+    x = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket").transform(x).drop("_key")
     w = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("_within", F.coalesce(F.sum(len_col).over(w), F.lit(0)))
     tot = x.groupBy("_bucket").agg(F.sum(len_col).alias("_t"))  # ≤ buckets rows
@@ -57,11 +64,22 @@ def pack(enc: DataFrame, context: int, n_col: str = "n_tokens", order_col: str =
                     F.floor((F.col("offset") + F.col("length") - 1) / context).cast("bigint").alias("last_context"))
 
 
-def budget(df: DataFrame, group: str, order: str, n_col: str, limit: int) -> DataFrame:
-    """Running token total per group in ``order``; ``fits`` while within ``limit``."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("cum_tokens", F.sum(n_col).over(w).cast("bigint")) \
-        .withColumn("fits", F.col("cum_tokens") <= limit)
+def budget(df: DataFrame, group: str, order: str, n_col: str, limit: int, span: int = 4096) -> DataFrame:
+    """Running token total per group in ``order`` (an integer position such as a turn
+    number); ``fits`` while within ``limit``.
+
+    A group may hold a large share of all rows, so it is cut into ranges of ``span``
+    positions: each (group, range) runs its own window, and the range totals — at most
+    (positions / span) rows per group — give each range its offset.  No group is ever
+    handled by a single task."""
+    x = df.withColumn("_r", F.floor(F.col(order) / span))
+    w = Window.partitionBy(group, "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_within", F.sum(n_col).over(w))
+    tot = x.groupBy(group, "_r").agg(F.sum(n_col).alias("_t"))
+    wr = Window.partitionBy(group).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(group, "_r", F.coalesce(F.sum("_t").over(wr), F.lit(0)).alias("_base"))
+    out = x.join(tot, [group, "_r"]).withColumn("cum_tokens", (F.col("_base") + F.col("_within")).cast("bigint"))
+    return out.drop("_r", "_within", "_base").withColumn("fits", F.col("cum_tokens") <= limit)
 
 
 def truncate(ids, k: int) -> Column:

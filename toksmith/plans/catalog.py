@@ -647,15 +647,23 @@ def inflation(spark, sf):
  """ + _sql_encode_with_specials("ch", "(SELECT doc_id, t FROM r)", CHAT_SPECIALS) + """
  SELECT r.doc_id AS conv_id, r.n_turns::BIGINT AS n_turns, length(ch.S)::BIGINT AS n_tokens FROM r JOIN ch ON r.doc_id = ch.doc_id""")
 def chat_render(spark, sf):
-    """Conversations rendered with turn markers (ChatML form) and encoded with the markers as specials."""
+    """Conversations rendered with turn markers (ChatML form) and encoded with the markers as
+    specials.  Every turn is delimited by special tokens, so no text segment crosses a turn and the
+    conversation's token count is the sum over its rendered turns: a partial aggregate, never a
+    whole conversation collected into one task."""
     m = _special_model(spark, sf, CHAT_SPECIALS)
     c = corpus.conversations(spark, sf, "conv_id", "turn", "role", "text")
     turn = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"), F.col("text"), F.lit("<|im_end|>\n"))
-    g = c.groupBy("conv_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_turns"),
-                                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", turn.alias("t")))),
-                                                          lambda x: x["t"]), "").alias("text"))
-    e = EN.encode_symbols(g.withColumnRenamed("conv_id", "doc_id"), m, allowed_special="all", keep=(F.col("n_turns"),))
-    return e.select(F.col("doc_id").alias("conv_id"), "n_turns", F.col("n_tokens").cast("bigint"))
+    t = c.select("conv_id", F.length(EN.text_symbols(turn, m, "all")).alias("n"))
+    return t.groupBy("conv_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_turns"),
+                                    F.sum("n").cast("bigint").alias("n_tokens"))
+
+
+def render_chat(conv: DataFrame) -> DataFrame:
+    """The rendered text of each turn (``<|im_start|>role\ntext<|im_end|>\n``) in turn order;
+    the conversation text is the concatenation of its turns."""
+    turn = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"), F.col("text"), F.lit("<|im_end|>\n"))
+    return conv.select("conv_id", "turn", turn.alias("rendered"))
 
 
 # == chunk-level analyses (distinct chunks with their encoding) ========================================
