@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import texts_df
 from toksmith.operators import decode as DE
 from toksmith.operators import encode as EN
+from toksmith.streaming.encode_stream import encode_stream
 from toksmith.operators import specials as SP
 from toksmith.operators import train as TR
 from toksmith.operators import windows as WN
@@ -87,7 +88,7 @@ def test_streaming_encode_smoke(spark, model):
     d = tempfile.mkdtemp(prefix="toksmith-stream-")
     texts_df(spark, ["hello world", "the fox"]).write.parquet(os.path.join(d, "in"))
     src = spark.readStream.schema("doc_id long, text string").parquet(os.path.join(d, "in"))
-    q = (EN.encode(src, model).writeStream.format("memory").queryName("enc_stream")
+    q = (encode_stream(src, model).writeStream.format("memory").queryName("enc_stream")
          .option("checkpointLocation", os.path.join(d, "ck")).start())
     q.processAllAvailable()
     q.stop()
