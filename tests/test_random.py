@@ -27,3 +27,21 @@ def test_random_strings_roundtrip_and_match_loop(spark):
     assert [list(r.ids) for r in enc] == [BF.encode_regex(t, merges) for t in texts]
     back = DE.decode(EN.encode(df, m), m).orderBy("doc_id").collect()
     assert [r.text for r in back] == texts
+
+
+def test_candidate_fold_equals_full_fold(spark):
+    texts = random_texts(200, 5) + [CORPUS]
+    m, _ = TR.train_regex(texts_df(spark, texts), 340)
+    df = texts_df(spark, texts)
+    a = EN.encode(df, m, strategy="dictionary").orderBy("doc_id").collect()
+    b = EN.encode(df, m, strategy="inline").orderBy("doc_id").collect()
+    assert [list(r.ids) for r in a] == [list(r.ids) for r in b]
+
+
+def test_candidate_fold_whole_text_model(spark):
+    texts = random_texts(80, 9) + [CORPUS, "", None]
+    m, _ = TR.train_basic(texts_df(spark, [t for t in texts if t is not None]), 300)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    a = EN.encode(df, m, strategy="dictionary").orderBy("doc_id").collect()
+    b = EN.encode(df, m, strategy="inline").orderBy("doc_id").collect()
+    assert [r.ids for r in a] == [r.ids for r in b]

@@ -18,7 +18,7 @@ Two plans, same result:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toksmith.functions import patterns
@@ -157,10 +157,12 @@ def encode(
 ) -> DataFrame:
     """Encoded corpus ``(doc_id, ids, n_tokens)`` (+ ``keep`` columns)."""
     if strategy == "auto":
-        strategy = "inline" if len(model.merges) <= INLINE_MAX_MERGES or model.kind != "regex" else "dictionary"
-    if strategy == "dictionary" and model.kind == "regex" and not (
-            model.specials and allowed_special not in ("none", "none_raise")):
+        strategy = "inline" if len(model.merges) <= INLINE_MAX_MERGES or model.kind == "char" else "dictionary"
+    plain = not (model.specials and allowed_special not in ("none", "none_raise"))
+    if strategy == "dictionary" and model.kind == "regex" and plain:
         return _encode_dictionary(df, model, text_col, id_col, allowed_special, keep)
+    if strategy == "dictionary" and model.kind == "basic" and plain and df.isStreaming is False:
+        return _encode_whole_texts(df, model, text_col, id_col, allowed_special, keep)
     s = text_symbols(F.col(text_col), model, allowed_special)
     return df.select(F.col(id_col).alias("doc_id"), *keep, s.alias("_s")).select(
         "doc_id", *keep, symbols_ids(F.col("_s")).alias("ids"), F.length("_s").alias("n_tokens"))
@@ -174,6 +176,51 @@ def encode_symbols(df: DataFrame, model: Model, text_col: str = "text", id_col:
     return df.select(F.col(id_col).alias("doc_id"), *keep, s.alias("sym")).withColumn("n_tokens", F.length("sym"))
 
 
+def merge_pieces(spark: SparkSession, model: Model):
+    """(piece_sym, rank, pair, new) of every merge: the merge's bytes as a byte-symbol
+    string, and its pair / new symbols.  At most ``len(model.merges)`` rows."""
+    v = model.pieces()
+    rows = [(v[m.new_id].decode("latin-1"), m.rank, sym(m.left_id) + sym(m.right_id), sym(m.new_id))
+            for m in model.merges]
+    return spark.createDataFrame(rows, "piece_sym STRING, rank INT, pair STRING, new STRING"), \
+        max((len(v[m.new_id]) for m in model.merges), default=0)
+
+
+def candidate_fold(d: DataFrame, model: Model, key: str = "chunk") -> DataFrame:
+    """Encode distinct byte-symbol strings ``d(key, sym)`` by folding only the merges
+    that can apply: a merge applies inside a string only if its bytes occur there, so
+    every substring up to the longest piece is equi-joined with the (broadcast, bounded)
+    piece table and the matching merges are folded in rank order.  Exact, and the work per
+    string no longer grows with the number of merges."""
+    if not model.merges:
+        return d
+    pieces, longest = merge_pieces(d.sparkSession, model)
+    n = F.length("sym")
+    subs = d.where(n >= 2).select(key, "sym", F.explode(F.sequence(F.lit(0), n - 2)).alias("start"))
+    subs = subs.select(key, "start", F.explode(F.sequence(F.lit(2), F.least(F.lit(longest), F.length("sym") - F.col("start"))))
+                       .alias("len"), "sym")
+    subs = subs.select(key, F.expr("substring(sym, start + 1, len)").alias("piece_sym"))
+    cand = subs.join(F.broadcast(pieces), "piece_sym").select(key, F.struct("rank", "pair", "new").alias("m"))
+    per = cand.groupBy(key).agg(F.array_sort(F.collect_set("m")).alias("ms"))  # ≤ number of merges per key
+    out = d.join(per, key, "left")
+    folded = F.aggregate(F.coalesce(F.col("ms"), F.array().cast("array<struct<rank:int,pair:string,new:string>>")),
+                         F.col("sym"), lambda acc, m: F.replace(acc, m["pair"], m["new"]))
+    return out.select(key, folded.alias("sym"))
+
+
+def _encode_whole_texts(df, model, text_col, id_col, allowed_special, keep) -> DataFrame:
+    """Large whole-text byte models: candidate-merge fold per distinct text (no per-merge scan)."""
+    base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    if allowed_special == "none_raise" and model.specials:
+        base = base.withColumn("text", F.when(contains_special("text", model.specials), F.raise_error(
+            F.lit("special token found in text"))).otherwise(F.col("text")))
+    d = base.where(F.col("text").isNotNull()).select("text").distinct()
+    d = candidate_fold(d.select("text", byte_symbols("text").alias("sym")), model, "text")
+    out = base.join(d, "text", "left")
+    return out.select("doc_id", *keep, F.when(F.col("text").isNull(), F.lit(None)).otherwise(symbols_ids("sym")).alias("ids"),
+                      F.when(F.col("text").isNull(), F.lit(None)).otherwise(F.length("sym")).alias("n_tokens"))
+
+
 def _encode_dictionary(df, model, text_col, id_col, allowed_special, keep) -> DataFrame:
     base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
     if allowed_special == "none_raise" and model.specials:
@@ -181,7 +228,7 @@ def _encode_dictionary(df, model, text_col, id_col, allowed_special, keep) -> Da
             F.lit("special token found in text"))).otherwise(F.col("text")))
     chunks = PT.split_chunks(base, model.pattern, "text", "doc_id")
     d = chunks.select("chunk").distinct()
-    d = d.select("chunk", fold(byte_symbols("chunk"), model).alias("sym"))
+    d = candidate_fold(d.select("chunk", byte_symbols("chunk").alias("sym")), model, "chunk")
     joined = hot_cold_join(chunks, d, "chunk")
     per_doc = joined.groupBy("doc_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_pos", "sym"))),

@@ -1321,3 +1321,13 @@ def presplit_custom(spark, sf):
     """Pre-split with a caller's pattern (letters, digits, other runs)."""
     c = PT.split_chunks(_docs(spark, sf), CUSTOM_PATTERN)
     return c.select("doc_id", F.col("chunk_pos").cast("bigint"), "chunk")
+
+
+@query("encode_regex_dictionary", ORACLE["encode_regex"])
+def encode_regex_dictionary(spark, sf):
+    """E2/J3, large-model plan: distinct chunks encoded with only the merges whose bytes occur in
+    them (substring ⋈ broadcast piece table), joined back (hot chunks broadcast, the rest
+    shuffled), rows rebuilt in chunk order.  Same result as the inline plan."""
+    m = regex_model(spark, sf)
+    e = EN.encode(_docs(spark, sf), m, strategy="dictionary")
+    return e.select("doc_id", F.col("n_tokens").cast("bigint"), _ids_str().alias("ids"))
