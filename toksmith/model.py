@@ -8,11 +8,9 @@ shipped once with the task), so no join or shuffle is needed per token.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from toksmith.functions import patterns

@@ -179,6 +179,7 @@ def encode_symbols(df: DataFrame, model: Model, text_col: str = "text", id_col:
 def merge_pieces(spark: SparkSession, model: Model):
     """(piece_sym, rank, pair, new) of every merge: the merge's bytes as a byte-symbol
     string, and its pair / new symbols.  At most ``len(model.merges)`` rows."""
+    model.check()
     v = model.pieces()
     rows = [(v[m.new_id].decode("latin-1"), m.rank, sym(m.left_id) + sym(m.right_id), sym(m.new_id))
             for m in model.merges]

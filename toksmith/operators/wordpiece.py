@@ -25,7 +25,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toksmith.functions.symbols import adjacent_pairs, char_id, chars, cp_to_id, sym, syms
+from toksmith.functions.symbols import adjacent_pairs, chars, cp_to_id, sym, syms
 from toksmith.model import MAX_MODEL_ROWS
 from toksmith.session import cut_lineage
 from toksmith.sources.corpus import widen
