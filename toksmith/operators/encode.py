@@ -18,6 +18,7 @@ Two plans, same result:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,9 +229,11 @@ def _encode_dictionary(df, model, text_col, id_col, allowed_special, keep) -> Da
         base = base.withColumn("text", F.when(contains_special("text", model.specials), F.raise_error(
             F.lit("special token found in text"))).otherwise(F.col("text")))
     chunks = PT.split_chunks(base, model.pattern, "text", "doc_id")
-    d = chunks.select("chunk").distinct()
-    d = candidate_fold(d.select("chunk", byte_symbols("chunk").alias("sym")), model, "chunk")
-    joined = hot_cold_join(chunks, d, "chunk")
+    # the chunk dictionary (distinct chunks with counts) is cached: it gives the hot keys
+    # of the join-back without another pass over the corpus
+    counts = PT.chunk_dictionary(chunks).select("chunk", "n").persist(StorageLevel.MEMORY_AND_DISK)
+    d = candidate_fold(counts.select("chunk", byte_symbols("chunk").alias("sym")), model, "chunk")
+    joined = hot_cold_join(chunks, d, "chunk", counts=counts)
     per_doc = joined.groupBy("doc_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_pos", "sym"))),
                                  lambda x: x["sym"]), "").alias("_s"))

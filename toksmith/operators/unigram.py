@@ -55,7 +55,8 @@ def _edges(words: DataFrame, vocab: DataFrame, max_len: int, exclude_whole: bool
 def _by_end(e: DataFrame, col: str) -> DataFrame:
     """Edges grouped by end position: ``B[j]`` (1-based) holds the edges into position j.
     Every position has at least its single-character edge, so B has length(chunk) entries."""
-    g1 = e.groupBy(col, "end").agg(F.collect_list(F.struct("start", "logp")).alias("ins"))
+    # edges into a position sorted by start once, so every later use sees one fixed order
+    g1 = e.groupBy(col, "end").agg(F.array_sort(F.collect_list(F.struct("start", "logp"))).alias("ins"))
     g = g1.groupBy(col).agg(F.array_sort(F.collect_list(F.struct("end", "ins"))).alias("B"))
     return g.select(col, F.transform("B", lambda b: b["ins"]).alias("B"))
 
@@ -170,7 +171,7 @@ def sample(words: DataFrame, vocab: DataFrame, max_len: int, key: Column, seed:
 
     def step(acc, _):
         j = acc["j"]
-        into = F.array_sort(_into(by_end, j))
+        into = _into(by_end, j)
         probs = F.transform(into, lambda x: F.exp(F.element_at(alpha, x["start"] + 1) + x["logp"] - F.element_at(alpha, j + 1)))
         u = F.pmod(F.xxhash64(key, j, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         cum = F.aggregate(probs, F.struct(F.lit(0.0).alias("c"), F.lit(-1).alias("k"), F.lit(0).alias("i")),

@@ -1281,9 +1281,11 @@ def unigram_viterbi(spark, sf):
     """Best unigram segmentation of every distinct document chunk, joined back; tokens by language."""
     v = unigram_vocab(spark, sf)
     ch = _doc_chunks(spark, sf)
-    seg = UG.segment(ch.select("chunk").distinct(), v, UNIGRAM_MAXLEN).select("chunk", F.size("pieces").alias("k"))
+    from pyspark import StorageLevel
+    counts = PT.chunk_dictionary(ch).select("chunk", "n").persist(StorageLevel.MEMORY_AND_DISK)
+    seg = UG.segment(counts.select("chunk"), v, UNIGRAM_MAXLEN).select("chunk", F.size("pieces").alias("k"))
     from toksmith.operators.joins import hot_cold_join
-    j = hot_cold_join(ch, seg, "chunk").join(_docs(spark, sf).select("doc_id", "lang"), "doc_id")
+    j = hot_cold_join(ch, seg, "chunk", counts=counts).join(_docs(spark, sf).select("doc_id", "lang"), "doc_id")
     return j.groupBy("lang").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("k").cast("bigint").alias("n_tokens"))
 
 
