@@ -65,15 +65,19 @@ def _into(by_end: Column, j: Column) -> Column:
     return F.element_at(by_end, j)
 
 
-def _best_path(n: Column, by_end: Column) -> Column:
-    """Viterbi over edges grouped by end → struct(score, pieces as (start, end) array)."""
+def _forward_best(n: Column, by_end: Column) -> Column:
+    """best[j] = max over edges (start → j) of (best[start].score + logp, start); ties → larger start."""
     init = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start")))
-    best = F.aggregate(
+    return F.aggregate(
         F.sequence(F.lit(1), n), init,
         lambda acc, j: F.concat(acc, F.array(F.array_max(F.transform(
             _into(by_end, j),
             lambda e: F.struct((F.element_at(acc, e["start"] + 1)["score"] + e["logp"]).alias("score"),
                                e["start"].alias("start")))))))
+
+
+def _backtrack(n: Column, best: Column) -> Column:
+    """(start, end) pieces of the best path, read back from ``best`` (a materialized column)."""
     back = F.aggregate(
         F.sequence(F.lit(1), n),
         F.struct(n.alias("j"), F.array().cast("array<struct<s:int,e:int>>").alias("path")),
@@ -81,7 +85,7 @@ def _best_path(n: Column, by_end: Column) -> Column:
             F.element_at(best, acc["j"] + 1)["start"].alias("j"),
             F.concat(F.array(F.struct(F.element_at(best, acc["j"] + 1)["start"].alias("s"), acc["j"].alias("e"))),
                      acc["path"]).alias("path"))))
-    return F.struct(F.element_at(best, n + 1)["score"].alias("score"), back["path"].alias("path"))
+    return back["path"]
 
 
 def segment(words: DataFrame, vocab: DataFrame, max_len: int, col: str = "chunk", exclude_whole: bool = False) -> DataFrame:
@@ -90,9 +94,13 @@ def segment(words: DataFrame, vocab: DataFrame, max_len: int, col: str = "chunk"
     g = _by_end(e, col)
     if exclude_whole:  # a one-character piece has no split without itself
         g = g.where(F.size("B") == F.length(col))
-    r = g.select(col, _best_path(F.length(col), F.col("B")).alias("r"))
-    pieces = F.transform("r.path", lambda p: F.substring(F.col(col), p["s"] + 1, p["e"] - p["s"]))
-    return r.select(col, F.col("r.score").alias("score"), pieces.alias("pieces"))
+    # the forward table is its own column: a lambda that read it as an expression would
+    # re-run the whole forward pass at every backward step
+    f = g.select(col, _forward_best(F.length(col), F.col("B")).alias("best"))
+    r = f.select(col, F.element_at("best", F.length(col) + 1)["score"].alias("score"),
+                 _backtrack(F.length(col), F.col("best")).alias("path"))
+    pieces = F.transform("path", lambda p: F.substring(F.col(col), p["s"] + 1, p["e"] - p["s"]))
+    return r.select(col, "score", pieces.alias("pieces"))
 
 
 def train(docs: DataFrame, vocab_size: int, max_len: int = 8, seed_size: int = 2000, em_iters: int = 2,
@@ -163,12 +171,14 @@ def sample(words: DataFrame, vocab: DataFrame, max_len: int, key: Column, seed:
     g = _by_end(e, col)
     n = F.length(col)
     by_end = F.col("B")
-    alpha = F.aggregate(
+    alpha_expr = F.aggregate(
         F.sequence(F.lit(1), n), F.array(F.lit(0.0)),
         lambda acc, j: F.concat(acc, F.array(F.aggregate(
             _into(by_end, j), F.lit(None).cast("double"),
             lambda s, x: _logaddexp(s, F.element_at(acc, x["start"] + 1) + x["logp"])))))
 
+    alpha = F.col("alpha")
+
     def step(acc, _):
         j = acc["j"]
         into = _into(by_end, j)
@@ -184,4 +194,5 @@ def sample(words: DataFrame, vocab: DataFrame, max_len: int, key: Column, seed:
             F.concat(F.array(F.struct(pick["start"].alias("s"), j.alias("e"))), acc["path"]).alias("path")))
     back = F.aggregate(F.sequence(F.lit(1), n),
                        F.struct(n.alias("j"), F.array().cast("array<struct<s:int,e:int>>").alias("path")), step)
-    return g.select(col, F.transform(back["path"], lambda p: F.substring(F.col(col), p["s"] + 1, p["e"] - p["s"])).alias("pieces"))
+    ga = g.select(col, "B", alpha_expr.alias("alpha"))  # forward sums materialized once per chunk
+    return ga.select(col, F.transform(back["path"], lambda p: F.substring(F.col(col), p["s"] + 1, p["e"] - p["s"])).alias("pieces"))
