@@ -45,3 +45,14 @@ def test_candidate_fold_whole_text_model(spark):
     a = EN.encode(df, m, strategy="dictionary").orderBy("doc_id").collect()
     b = EN.encode(df, m, strategy="inline").orderBy("doc_id").collect()
     assert [r.ids for r in a] == [r.ids for r in b]
+
+
+def test_candidate_fold_char_model(spark):
+    texts = random_texts(60, 3) + [CORPUS, ""]
+    train = [CORPUS] + texts[:20]
+    alphabet = set("".join(t.replace(" ", "▁") for t in train))
+    m, _ = TR.train_char(texts_df(spark, train), 3 + len(alphabet) + 30, add_bos=True, add_eos=True)
+    df = texts_df(spark, texts + ["ZZZ unseen ✓ chars"])
+    a = EN.encode(df, m, strategy="dictionary").orderBy("doc_id").collect()
+    b = EN.encode(df, m, strategy="inline").orderBy("doc_id").collect()
+    assert [list(r.ids) for r in a] == [list(r.ids) for r in b]

@@ -158,12 +158,14 @@ def encode(
 ) -> DataFrame:
     """Encoded corpus ``(doc_id, ids, n_tokens)`` (+ ``keep`` columns)."""
     if strategy == "auto":
-        strategy = "inline" if len(model.merges) <= INLINE_MAX_MERGES or model.kind == "char" else "dictionary"
+        strategy = "inline" if len(model.merges) <= INLINE_MAX_MERGES or df.isStreaming else "dictionary"
     plain = not (model.specials and allowed_special not in ("none", "none_raise"))
     if strategy == "dictionary" and model.kind == "regex" and plain:
         return _encode_dictionary(df, model, text_col, id_col, allowed_special, keep)
     if strategy == "dictionary" and model.kind == "basic" and plain and df.isStreaming is False:
         return _encode_whole_texts(df, model, text_col, id_col, allowed_special, keep)
+    if strategy == "dictionary" and model.kind == "char" and df.isStreaming is False:
+        return _encode_char_texts(df, model, text_col, id_col, keep)
     s = text_symbols(F.col(text_col), model, allowed_special)
     return df.select(F.col(id_col).alias("doc_id"), *keep, s.alias("_s")).select(
         "doc_id", *keep, symbols_ids(F.col("_s")).alias("ids"), F.length("_s").alias("n_tokens"))
@@ -223,6 +225,40 @@ def _encode_whole_texts(df, model, text_col, id_col, allowed_special, keep) -> D
                       F.when(F.col("text").isNull(), F.lit(None)).otherwise(F.length("sym")).alias("n_tokens"))
 
 
+def _encode_char_texts(df, model, text_col, id_col, keep) -> DataFrame:
+    """Large char models: per distinct text, fold only the merges whose piece text occurs in the
+    ▁-normalized text (substring ⋈ broadcast piece table), then add BOS/EOS."""
+    spark = df.sparkSession
+    base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    d = base.where(F.col("text").isNotNull()).select("text").distinct()
+    d = d.select("text", F.replace(F.col("text"), F.lit(" "), F.lit(patterns.SPACE_MARK)).alias("norm"),
+                 char_base_symbols(F.col("text"), model).alias("sym"))
+    out_sym = F.col("sym")
+    if model.merges:
+        model.check()
+        v = model.pieces()
+        rows = [(v[m.new_id], m.rank, sym(m.left_id) + sym(m.right_id), sym(m.new_id)) for m in model.merges]
+        pieces = spark.createDataFrame(rows, "piece STRING, rank INT, pair STRING, new STRING")
+        longest = max(len(v[m.new_id]) for m in model.merges)
+        n = F.length("norm")
+        subs = d.where(n >= 2).select("text", "norm", F.explode(F.sequence(F.lit(0), n - 2)).alias("start"))
+        subs = subs.select("text", "start", F.explode(F.sequence(F.lit(2), F.least(F.lit(longest), F.length("norm") - F.col("start"))))
+                           .alias("len"), "norm").select("text", F.expr("substring(norm, start + 1, len)").alias("piece"))
+        cand = subs.join(F.broadcast(pieces), "piece").select("text", F.struct("rank", "pair", "new").alias("m"))
+        per = cand.groupBy("text").agg(F.array_sort(F.collect_set("m")).alias("ms"))
+        d = d.join(per, "text", "left")
+        out_sym = F.aggregate(F.coalesce(F.col("ms"), F.array().cast("array<struct<rank:int,pair:string,new:string>>")),
+                              F.col("sym"), lambda acc, m: F.replace(acc, m["pair"], m["new"]))
+    if model.add_bos:
+        out_sym = F.concat(F.lit(sym(patterns.SP_BOS)), out_sym)
+    if model.add_eos:
+        out_sym = F.concat(out_sym, F.lit(sym(patterns.SP_EOS)))
+    d = d.select("text", out_sym.alias("sym"))
+    out = base.join(d, "text", "left")
+    return out.select("doc_id", *keep, F.when(F.col("text").isNull(), F.lit(None)).otherwise(symbols_ids("sym")).alias("ids"),
+                      F.when(F.col("text").isNull(), F.lit(None)).otherwise(F.length("sym")).alias("n_tokens"))
+
+
 def _encode_dictionary(df, model, text_col, id_col, allowed_special, keep) -> DataFrame:
     base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
     if allowed_special == "none_raise" and model.specials:
