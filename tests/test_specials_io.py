@@ -116,3 +116,18 @@ def test_budget_splits_hot_group_exactly(spark):
         acc[c] = acc.get(c, 0) + n
         want[(c, t)] = (acc[c], acc[c] <= 40)
     assert got == want
+
+
+def test_packing_many_buckets_equals_running_sum(spark):
+    import random
+    rng = random.Random(4)
+    ids = rng.sample(range(10_000), 300)
+    lens = {i: rng.randint(0, 50) for i in ids}
+    e = spark.createDataFrame([(i, n) for i, n in lens.items()], "doc_id long, n_tokens int")
+    got = {r.doc_id: (r.offset, r.first_context, r.last_context) for r in WN.pack(e, 64, buckets=16).collect()}
+    acc, want = 0, {}
+    for i in sorted(ids):
+        ln = lens[i] + 1
+        want[i] = (acc, acc // 64, (acc + ln - 1) // 64)
+        acc += ln
+    assert got == want
