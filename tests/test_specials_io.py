@@ -131,3 +131,13 @@ def test_packing_many_buckets_equals_running_sum(spark):
         want[i] = (acc, acc // 64, (acc + ln - 1) // 64)
         acc += ln
     assert got == want
+
+
+def test_oov_rate_and_chars(spark):
+    from toksmith.model import Model
+    from toksmith.operators import audit as AU
+    m = Model("char", [], alphabet="ab▁")
+    df = spark.createDataFrame([("x", "ab cd"), ("x", "ba")], "lang string, text string")
+    r = AU.oov_rate(df, m).first()
+    assert (r.n_chars, r.n_unk) == (7, 2)
+    assert {x.ch: x.n for x in AU.oov_chars(df, m).collect()} == {"c": 1, "d": 1}
