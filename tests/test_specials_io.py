@@ -141,3 +141,13 @@ def test_oov_rate_and_chars(spark):
     r = AU.oov_rate(df, m).first()
     assert (r.n_chars, r.n_unk) == (7, 2)
     assert {x.ch: x.n for x in AU.oov_chars(df, m).collect()} == {"c": 1, "d": 1}
+
+
+def test_json_without_pattern_defaults_to_gpt4(spark):
+    from toksmith.functions import patterns
+    d = tempfile.mkdtemp(prefix="toksmith-json-")
+    spark.createDataFrame([('{"merges": [[[116, 104], 256]], "special_tokens": {}}',)], "value string") \
+        .coalesce(1).write.text(os.path.join(d, "m"))
+    m = model_io.load_json(spark, os.path.join(d, "m"))
+    assert m.pattern == patterns.GPT4_SPLIT_PATTERN and [(x.left_id, x.right_id, x.new_id) for x in m.merges] == [(116, 104, 256)]
+    assert EN.encode(texts_df(spark, ["the"]), m).first().ids == [256, 101]
