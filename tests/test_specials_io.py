@@ -151,3 +151,14 @@ def test_json_without_pattern_defaults_to_gpt4(spark):
     m = model_io.load_json(spark, os.path.join(d, "m"))
     assert m.pattern == patterns.GPT4_SPLIT_PATTERN and [(x.left_id, x.right_id, x.new_id) for x in m.merges] == [(116, 104, 256)]
     assert EN.encode(texts_df(spark, ["the"]), m).first().ids == [256, 101]
+
+
+def test_hot_cold_join_equals_plain_join_with_a_hot_key(spark):
+    from toksmith.operators.joins import hot_cold_join
+    probe = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(3000)], "doc_id long, chunk string")
+    build = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(50)], "chunk string, v int")
+    counts = probe.groupBy("chunk").count().withColumnRenamed("count", "n")
+    for c in (None, counts):
+        got = sorted(tuple(r) for r in hot_cold_join(probe, build, "chunk", min_share=0.2, counts=c).select("doc_id", "chunk", "v").collect())
+        want = sorted(tuple(r) for r in probe.join(build, "chunk").select("doc_id", "chunk", "v").collect())
+        assert got == want
