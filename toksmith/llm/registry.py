@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from toksmith.llm import op1_language_id, op4_decontamination, op9_quality_rules
+from toksmith.llm import (
+    op1_language_id,
+    op3_pii,
+    op4_decontamination,
+    op5_line_dedup,
+    op6_sharding,
+    op7_warc_revisits,
+    op9_quality_rules,
+)
 
 QUERIES = {
     "op1_language_id": op1_language_id.op1_language_id,
+    "op3_pii": op3_pii.op3_pii,
     "op4_decontamination": op4_decontamination.op4_decontamination,
+    "op5_line_dedup": op5_line_dedup.op5_line_dedup,
+    "op6_sharding": op6_sharding.op6_sharding,
+    "op7_warc_revisits": op7_warc_revisits.op7_warc_revisits,
     "op9_quality_rules": op9_quality_rules.op9_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": op5_line_dedup.ORACLE,
+    "op7_warc_revisits": op7_warc_revisits.ORACLE,
+}
