@@ -48,7 +48,7 @@ HINT = {("email", 1): "@", ("email", 0): "dot", ("phone", 1): "+", ("ip", 0): ":
 TLDS = "com org net edu gov mil int info biz io co uk de fr es it nl eu us ca au jp cn ru br in ch at be se no pl pt mx ar".split()
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|3[068]|6011|65|64[4-9]|35|62)"
 CUES = {
-    "email": r"e-?mail|contact|write to|reach|courriel|correo|schreib",
+    "email": r"mail|contact|write to|reach|courriel|correo|schreib",
     "ip": r"\bip\b|address|host|server|login|adresse|direcci",
     "card": r"card|visa|master|amex|credit|payment|carte|tarjeta|karte",
     "phone": r"phone|\btel|call|mobile|cell|fax|whatsapp|anruf|appel|llam",

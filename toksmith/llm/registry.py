@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from toksmith.llm import (
     op1_language_id,
+    op2_jaccard_join,
     op3_pii,
     op4_decontamination,
     op5_line_dedup,
@@ -14,6 +15,7 @@ from toksmith.llm import (
 
 QUERIES = {
     "op1_language_id": op1_language_id.op1_language_id,
+    "op2_jaccard_join": op2_jaccard_join.op2_jaccard_join,
     "op3_pii": op3_pii.op3_pii,
     "op4_decontamination": op4_decontamination.op4_decontamination,
     "op5_line_dedup": op5_line_dedup.op5_line_dedup,
