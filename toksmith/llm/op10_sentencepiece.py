@@ -99,8 +99,8 @@ def lattice(words: DataFrame, model: Pieces, spark: SparkSession) -> DataFrame:
     table = spark.createDataFrame(model.pieces, "piece string, id int, score double")
     n = F.length("word")
     segment = lambda k: F.struct((k * SEGMENT).alias("base"), F.substring("word", k * SEGMENT + 1, F.lit(SEGMENT + longest - 1)).alias("seg"))
-    name = F.when(n > NAME, F.concat(F.lit("\n"), F.md5("word"))).otherwise(F.col("word")).alias("word")
-    parts = words.select("bucket", name, F.explode(F.transform(F.sequence(F.lit(0), F.floor((n - 1) / SEGMENT).cast("int")), segment)).alias("x")).select("bucket", "word", "x.*")
+    name = F.when(n > NAME, F.concat(F.lit("\n"), F.md5("word"))).otherwise(F.col("word")).alias("name")
+    parts = words.select("bucket", name, F.explode(F.transform(F.sequence(F.lit(0), F.floor((n - 1) / SEGMENT).cast("int")), segment)).alias("x")).select("bucket", "name", "x.*")
     m = F.length("seg")
 
     def from_start(s: Column) -> Column:
@@ -108,9 +108,9 @@ def lattice(words: DataFrame, model: Pieces, spark: SparkSession) -> DataFrame:
             (F.col("base") + s + k).alias("end"), k.alias("len"), F.substring(F.col("seg"), s + 1, k).alias("sub")))
 
     subs = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.least(m, F.lit(SEGMENT)) - 1), from_start)))
-    found = parts.select("bucket", "word", subs.alias("e")).join(F.broadcast(table), F.col("e.sub") == F.col("piece"), "left").where("piece is not null or e.len = 1")
+    found = parts.select("bucket", "name", subs.alias("e")).join(F.broadcast(table), F.col("e.sub") == F.col("piece"), "left").where("piece is not null or e.len = 1")
     edge = F.struct(F.col("e.end").alias("end"), (-F.col("e.len")).alias("back"), F.coalesce("score", F.lit(model.unknown_score)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"))
-    return found.groupBy("bucket", "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    return found.groupBy("bucket", F.col("name").alias("word")).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
 def short_name(word: str) -> str:

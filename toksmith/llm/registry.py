@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from toksmith.llm import (
     op1_language_id,
+    op10_sentencepiece,
     op2_jaccard_join,
     op3_pii,
     op4_decontamination,
     op5_line_dedup,
     op6_sharding,
     op7_warc_revisits,
+    op8_suffix_dedup,
     op9_quality_rules,
 )
 
@@ -21,7 +23,9 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup.op5_line_dedup,
     "op6_sharding": op6_sharding.op6_sharding,
     "op7_warc_revisits": op7_warc_revisits.op7_warc_revisits,
+    "op8_suffix_dedup": op8_suffix_dedup.op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules.op9_quality_rules,
+    "op10_sentencepiece": op10_sentencepiece.op10_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {
