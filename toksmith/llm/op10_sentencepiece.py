@@ -117,31 +117,42 @@ def short_name(word: str) -> str:
     return "\n" + hashlib.md5(word.encode()).hexdigest() if len(word) > NAME else word
 
 
+def _chunks(edges: Column) -> Column:
+    """The edges in stretches of ``SEGMENT`` end positions; most words are one."""
+    step = F.aggregate(edges, F.struct(F.lit(0).alias("i"), F.array().cast("array<int>").alias("cuts")), lambda a, e: F.struct(
+        (a["i"] + 1).alias("i"), F.when(F.floor((e["end"] - 1) / SEGMENT) < F.size(a["cuts"]), a["cuts"]).otherwise(F.concat(a["cuts"], F.array(a["i"]))).alias("cuts")))
+    cuts = F.concat(step["cuts"], F.array(F.size(edges)))
+    # bound to a name by an array of one, so that the cuts are not found anew for each chunk
+    many = F.transform(F.array(cuts), lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 2), lambda k: F.slice(edges, F.get(c, k) + 1, F.get(c, k + 1) - F.get(c, k))))[0]
+    return F.when(F.element_at(edges, -1)["end"] <= SEGMENT, F.array(edges)).otherwise(many)
+
+
 def viterbi(edges: Column, longest: int) -> Column:
-    """``array<struct<back, id>>``, by end position: the last piece of the best path to each place."""
-    none = F.array().cast("array<struct<back:int,id:int>>")
-    zero = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(0).alias("id"))
-    # recent: best scores of the last places, newest last; the place before the first scores 0
-    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<double>").alias("recent"), F.array(none).alias("full"), none.alias("chunk"), zero.alias("best"))
+    """``array<struct<back, id>>``, by end position: the last piece of the best path to each place.
+    ``aggregate`` copies its state at every step, so an inner fold over a chunk keeps the last
+    ``longest`` scores and the chunk's pointers, and an outer one collects the chunks."""
+    pointers = F.array().cast("array<struct<back:int,id:int>>")
+    best = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(0).alias("id"))
 
     def step(a: Column, e: Column) -> Column:
         same = e["end"] == a["end"]
-        pointer = F.array(F.struct(a["best"]["back"].alias("back"), a["best"]["id"].alias("id")))
-        seen = F.concat(a["recent"], F.array(a["best"]["score"]))
-        recent = F.when(same, a["recent"]).otherwise(F.slice(seen, F.greatest(F.size(seen) - longest + 1, F.lit(1)), longest))
         keep = same | (a["end"] == 0)
-        whole = F.size(a["chunk"]) >= SEGMENT
-        full = F.when(~keep & whole, F.concat(a["full"], F.array(a["chunk"]))).otherwise(a["full"])
-        chunk = F.when(keep, a["chunk"]).when(whole, pointer).otherwise(F.concat(a["chunk"], pointer))
+        seen = F.concat(a["recent"], F.array(a["best"]["score"]))
+        recent = F.when(keep, a["recent"]).otherwise(F.slice(seen, F.greatest(F.size(seen) - longest + 1, F.lit(1)), longest))
         total = F.get(recent, F.size(recent) + e["back"]) + e["score"]
         new = F.struct(total.alias("score"), e["back"].alias("back"), e["id"].alias("id"))
-        best = F.when(same & (total <= a["best"]["score"]), a["best"]).otherwise(new)
-        return F.struct(e["end"].alias("end"), recent.alias("recent"), full.alias("full"), chunk.alias("chunk"), best.alias("best"))
-
-    def finish(a: Column) -> Column:
-        return F.flatten(F.concat(a["full"], F.array(a["chunk"], F.array(F.struct(a["best"]["back"].alias("back"), a["best"]["id"].alias("id"))))))
-
-    return F.aggregate(edges, start, step, finish)
+        return F.struct(
+            e["end"].alias("end"), recent.alias("recent"),
+            F.when(keep, a["done"]).otherwise(F.concat(a["done"], F.array(F.struct(a["best"]["back"].alias("back"), a["best"]["id"].alias("id"))))).alias("done"),
+            F.when(same & (total <= a["best"]["score"]), a["best"]).otherwise(new).alias("best"))
+
+    def one(a: Column, chunk: Column) -> Column:
+        start = F.struct(F.lit(0).alias("end"), a["recent"].alias("recent"), pointers.alias("done"), best.alias("best"))
+        return F.aggregate(chunk, start, step, lambda r: F.struct(
+            F.concat(r["recent"], F.array(r["best"]["score"])).alias("recent"),
+            F.concat(a["full"], F.array(F.concat(r["done"], F.array(F.struct(r["best"]["back"].alias("back"), r["best"]["id"].alias("id")))))).alias("full")))
+
+    return F.aggregate(_chunks(edges), F.struct(F.array(F.lit(0.0)).alias("recent"), F.array().cast("array<array<struct<back:int,id:int>>>").alias("full")), one, lambda a: F.flatten(a["full"]))
 
 
 def _trace(word: str, back: np.ndarray, ids: np.ndarray, byte_ids: list[int]) -> list[int]:
