@@ -36,12 +36,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from toksmith.session import cut_lineage
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN = 10.0
 MAX_PIECES = 1 << 20
 BLOCK_BYTES = 16 << 20
+BUCKET_BYTES = 2 << 20  # of text for each bucket of words; a bucket's edges are sorted in memory
 NAME = 40  # characters of a word that may name it
 SEGMENT = 256  # characters of a word whose substrings one row makes; pointers of a chunk
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
@@ -236,8 +240,8 @@ def _write(buckets: int, newline: bytes):
             sizes = np.array([len(x) // 4 for x in raw], np.int64)
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.array([t is None for t in texts] + [False]))
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(raw), np.int32)))
-            out.append(pa.table({"row": batch.column(batch.schema.get_field_index("row")), "ids": ids}))
-        return pa.concat_tables(out) if out else pa.table({"row": docs.column("row"), "ids": pa.array([], pa.list_(pa.int32()))})
+            out.append(pa.table({"row": batch.column(batch.schema.get_field_index("row")), "text": batch.column(batch.schema.get_field_index("text")), "ids": ids}))
+        return pa.concat_tables(out) if out else pa.table({"row": docs.column("row"), "text": docs.column("text"), "ids": pa.array([], pa.list_(pa.int32()))})
 
     return run
 
@@ -246,21 +250,24 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` and ``n_tokens``."""
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in ("ids", "n_tokens")]
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(text).alias("text"))
+    rest = [F.col(f"`{c}`") for c in kept if c != text]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *rest).alias("row"), F.col(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     n_blocks = max(1, -(-total // BLOCK_BYTES))
-    buckets = max(slots, int(n_blocks))
-    block = F.pmod(F.xxhash64("row"), F.lit(n_blocks)).alias("block")
-    dealt = rows.select("row", "text", block).repartition(buckets, "block")
-    sent = dealt.select("text", "block").groupBy("block").applyInArrow(_send(buckets), "bucket long, block long, words string").repartition(buckets, "bucket")
-    words = sent.select("bucket", F.explode(F.split("words", "\n")).alias("word")).groupBy("bucket", "word").agg(F.lit(1).alias("_")).select("bucket", "word")
+    buckets = max(slots, int(-(-total // BUCKET_BYTES)))
+    block = F.pmod(F.xxhash64("row", "text"), F.lit(n_blocks)).alias("block")
+    dealt = rows.select("row", "text", block).repartition(max(slots, int(n_blocks)), "block")
+    sent = cut_lineage(dealt.groupBy("block").applyInArrow(_send(buckets), "bucket long, block long, words string"))
+    by_bucket = sent.repartition(buckets, "bucket")
+    words = by_bucket.select("bucket", F.explode(F.split("words", "\n")).alias("word")).groupBy("bucket", "word").agg(F.lit(1).alias("_")).select("bucket", "word")
     known = lattice(words, model, spark).select(F.col("bucket").alias("to"), "word", viterbi(F.col("edges"), model.longest).alias("best"))
-    answer = sent.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(_answer(model.byte_ids), "block long, bucket long, sizes binary, ids binary")
+    answer = by_bucket.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(_answer(model.byte_ids), "block long, bucket long, sizes binary, ids binary")
     newline = np.array([model.byte_ids[10]], np.int32).tobytes()
-    shape = rows.schema["row"].dataType.simpleString()
-    out = dealt.groupBy("block").cogroup(answer.groupBy("block")).applyInArrow(_write(buckets, newline), f"row {shape}, ids array<int>")
-    return out.select("row.*", "ids", F.size("ids").cast("long").alias("n_tokens")).withColumn("n_tokens", F.when(F.col("ids").isNotNull(), F.col("n_tokens")))
+    shape = T.StructType([rows.schema["row"], T.StructField("text", rows.schema["text"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    out = dealt.groupBy("block").cogroup(answer.groupBy("block")).applyInArrow(_write(buckets, newline), shape)
+    size = F.when(F.col("ids").isNotNull(), F.size("ids").cast("long")).alias("n_tokens")
+    return out.select(*((F.col("text") if c == text else F.col("row").getField(c)).alias(c) for c in kept), "ids", size)
 
 
 def decode(ids: Column, model: Pieces) -> Column:
