@@ -21,7 +21,7 @@ def test_viterbi_matches_loop(spark):
 def test_unigram_training_and_sampling(spark):
     from conftest import CORPUS, texts_df
     df = texts_df(spark, [CORPUS])
-    v = UG.train(df, 60, max_len=6, seed_size=200)
+    v = UG.train(df, 60, max_len=6, min_share=5e-3)
     rows = v.collect()
     singles = {r.piece for r in rows if len(r.piece) == 1}
     assert set(CORPUS) <= singles  # every character survives pruning
@@ -31,3 +31,9 @@ def test_unigram_training_and_sampling(spark):
     w = spark.createDataFrame([("quickly",), ("wizards",)], "chunk string")
     s = UG.sample(w, v, 6, F.col("chunk")).collect()
     assert all("".join(r.pieces) == r.chunk for r in s)
+
+
+def test_training_ends_with_more_characters_than_pieces(spark):
+    from conftest import texts_df
+    v = UG.train(texts_df(spark, ["abcdefghijklmnopq abc abd qq"]), 5, max_len=4)
+    assert {len(r.piece) for r in v.collect()} == {1} and v.count() == 18

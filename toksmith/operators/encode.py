@@ -5,21 +5,24 @@ Merges are applied as one ascending fold over the model's merge list:
 rank r only creates pairs containing its new ID, whose ranks exceed r, so one
 ascending pass equals the "repeat the lowest-rank pair" loop.
 
-Two plans, same result:
+Two plans, same result; the caller picks one (``strategy``):
 
 * ``inline`` — the pre-split chunks of a row are joined with a separator
   symbol that no merge contains, and the fold runs once over the whole row:
-  no shuffle at all, cost ∝ merges × bytes.  Used for models up to
-  ``INLINE_MAX_MERGES`` merges.
-* ``dictionary`` — fold each *distinct* chunk once and join the result back
-  (frequent chunks through a bounded broadcast, the rest by a shuffle join),
-  then rebuild each row in chunk order.  Cost ∝ merges × distinct bytes.
+  no shuffle at all, cost ∝ merges × bytes.  For small models and streams.
+* ``dictionary`` — for vocabularies of any size.  Texts fall into *segments*
+  that no merge spans (pre-split chunks; for whole-text and char models, cuts
+  between two base symbols that are adjacent in no piece).  Each distinct
+  segment is folded once over the merges whose piece occurs in it and joined
+  back (frequent segments through a bounded broadcast, the rest by a shuffle
+  join).  Texts are rebuilt under a digest of the text, so repeated or NULL ids
+  cannot mix rows, and rows carry keys, never whole texts.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toksmith.functions import patterns
@@ -28,7 +31,9 @@ from toksmith.model import Model
 from toksmith.operators import pretokenize as PT
 from toksmith.operators.joins import hot_cold_join
 
-INLINE_MAX_MERGES = 4096
+SLICE = 256  # symbols of a segment whose substrings one row makes
+NAME = 48  # longer segments are named by a digest
+MAX_CUT_RULES = 512
 SEP = CHUNK_SEP  # chunk separator inside a row's symbol string; never part of a merge
 _OOV = OOV_MARK  # placeholder for characters outside a char model's alphabet
 
@@ -66,14 +71,18 @@ def _special_case(seg: Column, specials: dict[str, int]) -> Column:
     return out
 
 
+_POLICIES = {"all": True, "none": False, "none_raise": False}
+
+
 def allowed_specials(model: Model, allowed_special="none_raise") -> dict[str, int]:
-    if allowed_special == "all":
-        return dict(model.specials)
-    if allowed_special in ("none", "none_raise"):
-        return {}
-    if isinstance(allowed_special, (set, frozenset, list, tuple)):
-        return {k: v for k, v in model.specials.items() if k in set(allowed_special)}
-    raise ValueError(f"unrecognised allowed_special value: {allowed_special!r}")
+    """The special tokens that a policy name or a collection of tokens lets through."""
+    if isinstance(allowed_special, str):
+        if allowed_special not in _POLICIES:
+            raise ValueError(f"allowed_special: one of {', '.join(_POLICIES)} or a collection of tokens, not {allowed_special!r}")
+        chosen = model.specials.keys() if _POLICIES[allowed_special] else ()
+    else:
+        chosen = allowed_special
+    return {token: model.specials[token] for token in chosen if token in model.specials}
 
 
 def contains_special(text, tokens) -> Column:
@@ -154,127 +163,124 @@ def encode_column(text, model: Model, allowed_special="none_raise") -> Column:
 
 def encode(
     df: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id",
-    allowed_special="none_raise", strategy: str = "auto", keep: tuple = (),
+    allowed_special="none_raise", strategy: str = "inline", keep: tuple = (),
 ) -> DataFrame:
-    """Encoded corpus ``(doc_id, ids, n_tokens)`` (+ ``keep`` columns)."""
-    if strategy == "auto":
-        strategy = "inline" if len(model.merges) <= INLINE_MAX_MERGES or df.isStreaming else "dictionary"
-    plain = not (model.specials and allowed_special not in ("none", "none_raise"))
-    if strategy == "dictionary" and model.kind == "regex" and plain:
-        return _encode_dictionary(df, model, text_col, id_col, allowed_special, keep)
-    if strategy == "dictionary" and model.kind == "basic" and plain and df.isStreaming is False:
-        return _encode_whole_texts(df, model, text_col, id_col, allowed_special, keep)
-    if strategy == "dictionary" and model.kind == "char" and df.isStreaming is False:
-        return _encode_char_texts(df, model, text_col, id_col, keep)
-    s = text_symbols(F.col(text_col), model, allowed_special)
-    return df.select(F.col(id_col).alias("doc_id"), *keep, s.alias("_s")).select(
-        "doc_id", *keep, symbols_ids(F.col("_s")).alias("ids"), F.length("_s").alias("n_tokens"))
+    """Encoded corpus ``(doc_id, ids, n_tokens)`` (+ ``keep`` columns); NULL texts give NULL."""
+    s = encode_symbols(df, model, text_col, id_col, allowed_special, keep, strategy)
+    names = [c for c in s.columns if c not in ("sym", "n_tokens")]
+    return s.select(*names, symbols_ids(F.col("sym")).alias("ids"), "n_tokens")
 
 
 def encode_symbols(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id",
-                   allowed_special="none_raise", keep: tuple = ()) -> DataFrame:
+                   allowed_special="none_raise", keep: tuple = (), strategy: str = "inline") -> DataFrame:
     """Encoded corpus as symbol strings ``(doc_id, …keep, sym, n_tokens)``: the
     compact form for token statistics (one char per token, no per-token arrays)."""
+    if strategy == "dictionary":
+        return _by_dictionary(df, model, text_col, id_col, allowed_special, keep)
+    if strategy != "inline":
+        raise ValueError(f"unknown strategy {strategy!r}")
     s = text_symbols(F.col(text_col), model, allowed_special)
     return df.select(F.col(id_col).alias("doc_id"), *keep, s.alias("sym")).withColumn("n_tokens", F.length("sym"))
 
 
-def merge_pieces(spark: SparkSession, model: Model):
-    """(piece_sym, rank, pair, new) of every merge: the merge's bytes as a byte-symbol
-    string, and its pair / new symbols.  At most ``len(model.merges)`` rows."""
-    model.check()
-    v = model.pieces()
-    rows = [(v[m.new_id].decode("latin-1"), m.rank, sym(m.left_id) + sym(m.right_id), sym(m.new_id))
-            for m in model.merges]
-    return spark.createDataFrame(rows, "piece_sym STRING, rank INT, pair STRING, new STRING"), \
-        max((len(v[m.new_id]) for m in model.merges), default=0)
-
-
-def candidate_fold(d: DataFrame, model: Model, key: str = "chunk") -> DataFrame:
-    """Encode distinct byte-symbol strings ``d(key, sym)`` by folding only the merges
-    that can apply: a merge applies inside a string only if its bytes occur there, so
-    every substring up to the longest piece is equi-joined with the (broadcast, bounded)
-    piece table and the matching merges are folded in rank order.  Exact, and the work per
-    string no longer grows with the number of merges."""
-    if not model.merges:
-        return d
-    pieces, longest = merge_pieces(d.sparkSession, model)
-    n = F.length("sym")
-    subs = d.where(n >= 2).select(key, "sym", F.explode(F.sequence(F.lit(0), n - 2)).alias("start"))
-    subs = subs.select(key, "start", F.explode(F.sequence(F.lit(2), F.least(F.lit(longest), F.length("sym") - F.col("start"))))
-                       .alias("len"), "sym")
-    subs = subs.select(key, F.expr("substring(sym, start + 1, len)").alias("piece_sym"))
-    cand = subs.join(F.broadcast(pieces), "piece_sym").select(key, F.struct("rank", "pair", "new").alias("m"))
-    per = cand.groupBy(key).agg(F.array_sort(F.collect_set("m")).alias("ms"))  # ≤ number of merges per key
-    out = d.join(per, key, "left")
-    folded = F.aggregate(F.coalesce(F.col("ms"), F.array().cast("array<struct<rank:int,pair:string,new:string>>")),
-                         F.col("sym"), lambda acc, m: F.replace(acc, m["pair"], m["new"]))
-    return out.select(key, folded.alias("sym"))
-
-
-def _encode_whole_texts(df, model, text_col, id_col, allowed_special, keep) -> DataFrame:
-    """Large whole-text byte models: candidate-merge fold per distinct text (no per-merge scan)."""
-    base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
-    if allowed_special == "none_raise" and model.specials:
-        base = base.withColumn("text", F.when(contains_special("text", model.specials), F.raise_error(
-            F.lit("special token found in text"))).otherwise(F.col("text")))
-    d = base.where(F.col("text").isNotNull()).select("text").distinct()
-    d = candidate_fold(d.select("text", byte_symbols("text").alias("sym")), model, "text")
-    out = base.join(d, "text", "left")
-    return out.select("doc_id", *keep, F.when(F.col("text").isNull(), F.lit(None)).otherwise(symbols_ids("sym")).alias("ids"),
-                      F.when(F.col("text").isNull(), F.lit(None)).otherwise(F.length("sym")).alias("n_tokens"))
-
-
-def _encode_char_texts(df, model, text_col, id_col, keep) -> DataFrame:
-    """Large char models: per distinct text, fold only the merges whose piece text occurs in the
-    ▁-normalized text (substring ⋈ broadcast piece table), then add BOS/EOS."""
-    spark = df.sparkSession
-    base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
-    d = base.where(F.col("text").isNotNull()).select("text").distinct()
-    d = d.select("text", F.replace(F.col("text"), F.lit(" "), F.lit(patterns.SPACE_MARK)).alias("norm"),
-                 char_base_symbols(F.col("text"), model).alias("sym"))
-    out_sym = F.col("sym")
-    if model.merges:
-        model.check()
-        v = model.pieces()
-        rows = [(v[m.new_id], m.rank, sym(m.left_id) + sym(m.right_id), sym(m.new_id)) for m in model.merges]
-        pieces = spark.createDataFrame(rows, "piece STRING, rank INT, pair STRING, new STRING")
-        longest = max(len(v[m.new_id]) for m in model.merges)
-        n = F.length("norm")
-        subs = d.where(n >= 2).select("text", "norm", F.explode(F.sequence(F.lit(0), n - 2)).alias("start"))
-        subs = subs.select("text", "start", F.explode(F.sequence(F.lit(2), F.least(F.lit(longest), F.length("norm") - F.col("start"))))
-                           .alias("len"), "norm").select("text", F.expr("substring(norm, start + 1, len)").alias("piece"))
-        cand = subs.join(F.broadcast(pieces), "piece").select("text", F.struct("rank", "pair", "new").alias("m"))
-        per = cand.groupBy("text").agg(F.array_sort(F.collect_set("m")).alias("ms"))
-        d = d.join(per, "text", "left")
-        out_sym = F.aggregate(F.coalesce(F.col("ms"), F.array().cast("array<struct<rank:int,pair:string,new:string>>")),
-                              F.col("sym"), lambda acc, m: F.replace(acc, m["pair"], m["new"]))
-    if model.add_bos:
-        out_sym = F.concat(F.lit(sym(patterns.SP_BOS)), out_sym)
-    if model.add_eos:
-        out_sym = F.concat(out_sym, F.lit(sym(patterns.SP_EOS)))
-    d = d.select("text", out_sym.alias("sym"))
-    out = base.join(d, "text", "left")
-    return out.select("doc_id", *keep, F.when(F.col("text").isNull(), F.lit(None)).otherwise(symbols_ids("sym")).alias("ids"),
-                      F.when(F.col("text").isNull(), F.lit(None)).otherwise(F.length("sym")).alias("n_tokens"))
+def expansions(model: Model) -> dict[int, str]:
+    """Base symbols of every merge's piece."""
+    out: dict[int, str] = {}
+    for m in model.merges:
+        out[m.new_id] = "".join(out[i] if i in out else sym(i) for i in (m.left_id, m.right_id))
+    return out
 
 
-def _encode_dictionary(df, model, text_col, id_col, allowed_special, keep) -> DataFrame:
+def _cut_pattern(model: Model) -> str | None:
+    """Pattern of the places that no merge spans: after a symbol, before one that follows it in no
+    piece.  Left symbols with the same followers share a rule; symbols beyond ``MAX_CUT_RULES`` rules
+    are never cut after, which leaves longer segments and the same result."""
+    follow: dict[str, set[str]] = {}
+    for piece in expansions(model).values():
+        for x, y in zip(piece, piece[1:], strict=False):
+            follow.setdefault(x, set()).add(y)
+    rules: dict[str, str] = {}
+    for x, ys in sorted(follow.items()):
+        ys = "".join(sorted(ys))
+        rules[ys] = rules.get(ys, "") + x
+    shown = sorted(rules.items(), key=lambda r: -len(r[1]))[:MAX_CUT_RULES]
+    parts = [f"(?<=[{_char_class(xs)}])(?=[^{_char_class(ys)}])" for ys, xs in shown]
+    if follow:
+        parts.append(f"(?<=[^{_char_class(''.join(follow))}])(?=.)")
+    return "(?s)" + "|".join(parts) if parts else None
+
+
+def _segments(text: Column, model: Model, allowed: dict[str, int]) -> Column:
+    """``array<struct<seg, done>>``: base symbols of the segments, and whether they are final (specials)."""
+    def plain(t: Column) -> Column:
+        if model.kind == "regex":
+            pieces = F.transform(PT.split_column(t, model.pattern), lambda c: byte_symbols(c))
+        else:
+            base = byte_symbols(t) if model.kind == "basic" else char_base_symbols(t, model)
+            cut = _cut_pattern(model)
+            pieces = F.split(base, cut, -1) if cut else F.array(base)
+        return F.transform(F.filter(pieces, lambda p: p != ""), lambda p: F.struct(p.alias("seg"), F.lit(False).alias("done")))
+
+    if not allowed:
+        return plain(text)
+    runs = F.regexp_extract_all(text, F.lit(patterns.segment_pattern(list(allowed))), 0)
+    special = lambda g: F.array(F.struct(_special_case(g, allowed).alias("seg"), F.lit(True).alias("done")))
+    return F.flatten(F.transform(runs, lambda g: F.when(_special_case(g, allowed).isNotNull(), special(g)).otherwise(plain(g))))
+
+
+def candidate_fold(segments: DataFrame, model: Model) -> DataFrame:
+    """``(seg)`` distinct base-symbol strings -> ``(seg, sym)``, folding only the merges that can
+    apply: a merge applies inside a string only if its piece occurs there, so every substring up to the
+    longest piece is equi-joined with the piece table (bounded by the model) and the matching merges
+    are folded in rank order.  Exact; the work per segment does not grow with the number of
+    merges, and a row holds a slice of a segment and its name, so it is linear in its length."""
+    if not model.merges:
+        return segments.select("seg", F.col("seg").alias("sym"))
+    model.check()
+    exp = expansions(model)
+    longest = max(map(len, exp.values()))
+    pieces = segments.sparkSession.createDataFrame(
+        [(exp[m.new_id], m.rank, sym(m.left_id) + sym(m.right_id), sym(m.new_id)) for m in model.merges],
+        "piece STRING, rank INT, pair STRING, new STRING")
+    name = F.when(F.length("seg") > NAME, F.concat(F.lit(SEP), F.md5(F.col("seg").cast("binary")))).otherwise(F.col("seg"))
+    named = segments.select("seg", name.alias("name"), F.length("seg").alias("n"))
+    slices = named.where("n >= 2").select("name", F.explode(F.transform(
+        F.sequence(F.lit(0), F.floor((F.col("n") - 2) / SLICE).cast("int")),
+        lambda k: F.substring(F.col("seg"), k * SLICE + 1, F.lit(SLICE + longest - 1)))).alias("part"))
+    starts = F.sequence(F.lit(0), F.least(F.length("part"), F.lit(SLICE)) - 1)
+    sizes = lambda s: F.filter(F.sequence(F.lit(2), F.lit(max(2, longest))), lambda k: k <= F.length("part") - s)
+    subs = F.flatten(F.transform(starts, lambda s: F.transform(sizes(s), lambda k: F.substring(F.col("part"), s + 1, k))))
+    found = slices.select("name", F.explode(F.array_distinct(subs)).alias("piece")).join(F.broadcast(pieces), "piece")
+    per = found.groupBy("name").agg(F.array_sort(F.collect_set(F.struct("rank", "pair", "new"))).alias("ms"))  # at most the merges
+    none = F.array().cast("array<struct<rank:int,pair:string,new:string>>")
+    folded = F.aggregate(F.coalesce(F.col("ms"), none), F.col("seg"), lambda acc, m: F.replace(acc, m["pair"], m["new"]))
+    return named.join(per, "name", "left").select("seg", folded.alias("sym"))
+
+
+def _by_dictionary(df, model, text_col, id_col, allowed_special, keep) -> DataFrame:
+    text = F.col("text")
+    if allowed_special == "none_raise" and model.specials and model.kind != "char":
+        text = F.when(contains_special(text, model.specials), F.raise_error(
+            F.lit("special token found in text; pass allowed_special='all' or a set"))).otherwise(text)
+    allowed = allowed_specials(model, allowed_special) if model.kind != "char" else {}
     base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
-    if allowed_special == "none_raise" and model.specials:
-        base = base.withColumn("text", F.when(contains_special("text", model.specials), F.raise_error(
-            F.lit("special token found in text"))).otherwise(F.col("text")))
-    chunks = PT.split_chunks(base, model.pattern, "text", "doc_id")
-    # the chunk dictionary (distinct chunks with counts) is cached: it gives the hot keys
-    # of the join-back without another pass over the corpus
-    counts = PT.chunk_dictionary(chunks).select("chunk", "n").persist(StorageLevel.MEMORY_AND_DISK)
-    d = candidate_fold(counts.select("chunk", byte_symbols("chunk").alias("sym")), model, "chunk")
-    joined = hot_cold_join(chunks, d, "chunk", counts=counts)
-    per_doc = joined.groupBy("doc_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_pos", "sym"))),
-                                 lambda x: x["sym"]), "").alias("_s"))
-    out = base.select("doc_id", *keep, F.col("text").isNull().alias("_null")).join(per_doc, "doc_id", "left")
-    s = F.coalesce(F.col("_s"), F.lit(""))
-    return out.select("doc_id", *keep,
-                      F.when(F.col("_null"), F.lit(None)).otherwise(symbols_ids(s)).alias("ids"),
-                      F.when(F.col("_null"), F.lit(None)).otherwise(F.length(s)).alias("n_tokens"))
+    names = [c for c in base.columns if c not in ("doc_id", "text")]
+    base = base.withColumn("_text", F.sha2(F.col("text").cast("binary"), 256))
+    texts = base.where(F.col("text").isNotNull()).groupBy("_text").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    texts = texts.withColumn("segs", _segments(text, model, allowed))
+    parts = texts.select("_text", F.posexplode("segs").alias("pos", "x")).select("_text", "pos", "x.seg", "x.done").persist(StorageLevel.MEMORY_AND_DISK)
+    counts = parts.where("not done").groupBy("seg").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = candidate_fold(counts.select("seg"), model)
+    joined = hot_cold_join(parts.where("not done").select("_text", "pos", "seg"), folded, "seg", counts=counts).select("_text", "pos", "sym")
+    joined = joined.unionByName(parts.where("done").select("_text", "pos", F.col("seg").alias("sym")))
+    built = joined.groupBy("_text").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sym"))), lambda x: x["sym"]), "").alias("sym"))
+    whole = texts.select("_text").join(built, "_text", "left").withColumn("sym", F.coalesce("sym", F.lit("")))
+    if model.kind == "char" and model.add_bos:
+        whole = whole.withColumn("sym", F.concat(F.lit(sym(patterns.SP_BOS)), "sym"))
+    if model.kind == "char" and model.add_eos:
+        whole = whole.withColumn("sym", F.concat("sym", F.lit(sym(patterns.SP_EOS))))
+    rows = base.select("doc_id", *names, "_text")
+    full = hot_cold_join(rows.where(F.col("_text").isNotNull()), whole, "_text", counts=texts.select("_text", "n"))
+    out = full.select("doc_id", *names, "sym").unionByName(
+        rows.where(F.col("_text").isNull()).select("doc_id", *names, F.lit(None).cast("string").alias("sym")))
+    return out.withColumn("n_tokens", F.length("sym"))

@@ -47,5 +47,11 @@ def screen(df: DataFrame, tokens, text_col: str = "text", id_col: str = "doc_id"
 
 
 def strip(text, tokens):
-    """X16 option: remove special-token strings from text."""
-    return F.regexp_replace(text, patterns.special_alternation(list(tokens)), "")
+    """X16 option: remove special-token strings from text, those that a removal makes included: it is
+    repeated until none is left (each pass takes a token out, which bounds the passes)."""
+    text = F.col(text) if isinstance(text, str) else text
+    alt = patterns.special_alternation(list(tokens))
+    once = F.regexp_replace(text, alt, "")
+    passes = F.sequence(F.lit(0), F.floor(F.length(text) / min(map(len, tokens))).cast("int"))
+    rest = F.aggregate(passes, once, lambda acc, _: F.when(acc.rlike(alt), F.regexp_replace(acc, alt, "")).otherwise(acc))
+    return F.when(once.rlike(alt), rest).otherwise(once)

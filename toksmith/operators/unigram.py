@@ -8,13 +8,14 @@ larger start.  Characters outside the vocabulary become single-character
 edges with a penalty score.
 
 Training (X5) is hard EM on the chunk dictionary: seed pieces are all
-substrings up to ``max_len`` characters (top ``seed_size`` by frequency,
-plus every single character), E-step = best segmentation of each distinct
+substrings up to ``max_len`` characters found in at least ``min_share`` as many
+places as there are chunks (plus every single character), E-step = best segmentation of each distinct
 chunk weighted by its count, M-step = log relative frequencies, and pruning
 drops the pieces whose removal costs least:
 ``loss = uses · (logp(piece) − score of its best split without it)``.
-Single characters are never pruned.  Piece tables are bounded by
-``seed_size``.
+Single characters are never pruned, so training ends at the latest when no
+longer piece is left.  Seed pieces number at most (characters of an average
+chunk) · ``max_len`` / ``min_share``, whatever the corpus size.
 
 Sampling (X7) draws a segmentation from the forward scores with a
 deterministic hash of (key, position, seed) per step.
@@ -22,21 +23,20 @@ deterministic hash of (key, position, seed) per step.
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toksmith.operators import pretokenize as PT
+from toksmith.session import cut_lineage
 
 UNK_PENALTY = 10.0
 
 
-def _candidates(words: DataFrame, max_len: int, col: str = "chunk") -> DataFrame:
+def _candidates(words: DataFrame, max_len: int, col: str = "chunk", keep: tuple = ()) -> DataFrame:
     n = F.length(col)
-    c = words.select(col, F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("start")).where(n > 0)
-    c = c.select(col, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len), F.length(col) - F.col("start")))).alias("len"))
+    c = words.select(col, *keep, F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("start")).where(n > 0)
+    c = c.select(col, *keep, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len), F.length(col) - F.col("start")))).alias("len"))
     return c.withColumn("piece", F.expr(f"substring({col}, start + 1, len)"))
 
 
@@ -103,21 +103,19 @@ def segment(words: DataFrame, vocab: DataFrame, max_len: int, col: str = "chunk"
     return r.select(col, "score", pieces.alias("pieces"))
 
 
-def train(docs: DataFrame, vocab_size: int, max_len: int = 8, seed_size: int = 2000, em_iters: int = 2,
+def train(docs: DataFrame, vocab_size: int, max_len: int = 8, min_share: float = 2e-4, em_iters: int = 2,
           shrink: float = 0.8, pattern: str | None = "gpt4", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Unigram vocabulary ``(piece, logp)`` of at most ``vocab_size`` pieces (plus all characters)."""
     d = PT.chunk_dictionary(PT.split_chunks(docs, pattern, text_col, id_col)).select("chunk", "n") \
         .persist(StorageLevel.MEMORY_AND_DISK)
-    cand = _candidates(d.select("chunk"), max_len).join(d, "chunk").groupBy("piece", "len").agg(F.sum("n").alias("f"))
-    singles = cand.where(F.col("len") == 1)
-    multi = cand.where(F.col("len") > 1).orderBy(F.col("f").desc(), "piece").limit(seed_size)
-    v = singles.unionByName(multi).select("piece", "f")
-    v = _normalise(v).persist(StorageLevel.MEMORY_AND_DISK)
+    least = min_share * (d.agg(F.sum("n")).first()[0] or 0)
+    cand = _candidates(d, max_len, keep=("n",)).groupBy("piece", "len").agg(F.sum("n").alias("f"))
+    v = _normalise(cand.where((F.col("len") == 1) | (F.col("f") >= least)).select("piece", "f"))
     while True:
         for _ in range(em_iters):
             v = _em_step(d, v, max_len)
-        size = v.count()
-        if size <= vocab_size:
+        size, single = v.agg(F.count(F.lit(1)), F.count(F.when(F.length("piece") == 1, 1))).first()
+        if size <= vocab_size or size == single:
             break
         v = _prune(v, d, max_len, max(vocab_size, int(size * shrink)))
     d.unpersist()
@@ -125,10 +123,12 @@ def train(docs: DataFrame, vocab_size: int, max_len: int = 8, seed_size: int = 2
 
 
 def _normalise(v: DataFrame) -> DataFrame:
-    rows = v.collect()  # bounded: ≤ seed_size + alphabet rows
-    total = sum(r["f"] for r in rows)
-    spark = v.sparkSession
-    return spark.createDataFrame([(r["piece"], math.log(r["f"] / total)) for r in rows], "piece STRING, logp DOUBLE")
+    """Log relative frequencies ``(piece, logp)``; written once, so that a round does not rerun the last."""
+    v = v.persist(StorageLevel.MEMORY_AND_DISK)
+    total = float(v.agg(F.sum("f")).first()[0] or 1)
+    out = cut_lineage(v.select("piece", F.log(F.col("f") / F.lit(total)).alias("logp")))
+    v.unpersist()
+    return out
 
 
 def _usage(d: DataFrame, v: DataFrame, max_len: int) -> DataFrame:

@@ -39,7 +39,11 @@ def running_offsets(df: DataFrame, order_col: str, len_col: str, buckets: int |
     bounds = sorted(set(df.approxQuantile(order_col, [i / b for i in range(1, b)], 0.001))) if b > 1 else []
     splits = [float("-inf")] + [float(x) for x in bounds] + [float("inf")]
     x = df.withColumn("_key", F.col(order_col).cast("double"))
-    x = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket").transform(x).drop("_key")
+    if bounds:  # NULL keys come first, in a range of their own
+        x = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket", handleInvalid="keep").transform(x)
+        x = x.withColumn("_bucket", F.when(F.col("_key").isNull(), -1.0).otherwise(F.col("_bucket"))).drop("_key")
+    else:
+        x = x.withColumn("_bucket", F.when(F.col("_key").isNull(), -1.0).otherwise(0.0)).drop("_key")
     w = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("_within", F.coalesce(F.sum(len_col).over(w), F.lit(0)))
     tot = x.groupBy("_bucket").agg(F.sum(len_col).alias("_t"))  # ≤ buckets rows
@@ -50,7 +54,7 @@ def running_offsets(df: DataFrame, order_col: str, len_col: str, buckets: int |
 
 
 def pack(enc: DataFrame, context: int, n_col: str = "n_tokens", order_col: str = "doc_id", eot: bool = True,
-         buckets: int = 64) -> DataFrame:
+         buckets: int | None = None) -> DataFrame:
     """Documents (each followed by an end-of-text token) laid end to end and cut
     into contexts of ``context`` tokens: ``(doc_id, offset, length, first_context, last_context)``.
     The narrow (key, length) table is persisted so that the encoding runs once for

@@ -201,12 +201,12 @@ def encode_regex(spark, sf):
 @query("encode_basic", "WITH RECURSIVE " + O.basic_train_ctes(K_BASIC, _CONV_DOCS, "doc_id", "text") +
        " SELECT t.doc_id, length(coalesce(f.s, ''))::BIGINT AS n_tokens, " + O.ids_of("coalesce(f.s, '')") + " AS ids"
        f" FROM {_CONV_DOCS} t LEFT JOIN bmerges_final f ON t.text = f.c")
-def encode_basic(spark, sf):
+def encode_basic(spark, sf, strategy="inline"):
     """Conversation turns encoded with the whole-text byte model."""
     m = basic_model(spark, sf)
     conv = corpus.conversations(spark, sf, "conv_id", "turn", "text")
     docs = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
-    e = EN.encode(docs, m)
+    e = EN.encode(docs, m, strategy=strategy)
     return e.select("doc_id", F.col("n_tokens").cast("bigint"), _ids_str().alias("ids"))
 
 
@@ -416,11 +416,11 @@ def _char_docs_sql():
 
 @query("encode_char", "WITH RECURSIVE " + _char_docs_sql() +
        f" SELECT doc_id, (length(s) + 2)::BIGINT AS n_tokens, '1 ' || {O.ids_of('s')} || ' 2' AS ids FROM cenc")
-def encode_char(spark, sf):
+def encode_char(spark, sf, strategy="inline"):
     """Documents encoded with the char model, with BOS and EOS."""
     m = char_model(spark, sf)
     m2 = type(m)(**{**m.__dict__, "add_bos": True, "add_eos": True})
-    e = EN.encode(_docs(spark, sf), m2)
+    e = EN.encode(_docs(spark, sf), m2, strategy=strategy)
     # IDs joined with single spaces; an empty text gives "1  2" in both engines
     return e.select("doc_id", F.col("n_tokens").cast("bigint"),
                     F.concat(F.lit("1 "), F.array_join(F.slice("ids", 2, F.size("ids") - 2), " "), F.lit(" 2")).alias("ids"))
@@ -497,13 +497,13 @@ _NL_DOCS = "(SELECT doc_id, replace(text, chr(10), '<|endoftext|>') AS t FROM do
 
 @query("encode_specials", "WITH RECURSIVE " + _REGEX + ",\n" + _sql_encode_with_specials("es", _NL_DOCS, SPECIALS) +
        f" SELECT doc_id, length(S)::BIGINT AS n_tokens, {O.ids_of('S')} AS ids FROM es")
-def encode_specials(spark, sf):
+def encode_specials(spark, sf, strategy="inline"):
     """Documents whose line breaks are written as <|endoftext|>, encoded with
     special tokens allowed (longest-first segmentation, specials → their IDs)."""
     m = _special_model(spark, sf)
     docs = corpus.documents(spark, sf, "doc_id", "text").where(F.col("text").isNotNull()).select(
         "doc_id", F.replace(F.col("text"), F.lit("\n"), F.lit("<|endoftext|>")).alias("text"))
-    e = EN.encode(docs, m, allowed_special="all")
+    e = EN.encode(docs, m, allowed_special="all", strategy=strategy)
     return e.select("doc_id", F.col("n_tokens").cast("bigint"), _ids_str().alias("ids"))
 
 
@@ -957,7 +957,7 @@ def byte_fallback(spark, sf):
 
 def byte_fallback_tokens(ch):
     """The ``<0xNN>`` tokens of one character."""
-    return F.transform(F.split(F.hex(F.encode(ch, "UTF-8")), "(?<=\\G..)"), lambda h: F.concat(F.lit("<0x"), h, F.lit(">")))
+    return F.transform(F.regexp_extract_all(F.hex(F.encode(ch, "UTF-8")), F.lit(".."), 0), lambda h: F.concat(F.lit("<0x"), h, F.lit(">")))
 
 
 _DECOMP = "replace(text, 'é', 'e' || chr(769))"
@@ -1009,8 +1009,10 @@ def byte_patches(spark, sf):
 def byte_patch_column(text, width: int = 4):
     """The fixed-width byte patches of a text (BINARY pieces)."""
     b = F.encode(text, "UTF-8")
-    return F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length(b) - 1, F.lit(0)), F.lit(width)),
-                       lambda i: F.substring(b, i + 1, width))
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length(b) - 1, F.lit(0)), F.lit(width)),
+                      lambda i: F.substring(b, i + 1, width))
+    return F.when(F.octet_length(b) > 0, cut).when(text.isNotNull() if hasattr(text, "isNotNull") else F.col(text).isNotNull(),
+                                                   F.array().cast("array<binary>"))
 
 
 _STRIPPED = f"regexp_replace(text, {O.q('^' + _WS + '+|' + _WS + '+$')}, '', 'g')"
@@ -1261,7 +1263,7 @@ def unigram_vocab(spark, sf):
     if key not in _UG_MODELS:
         conv = corpus.conversations(spark, sf, "conv_id", "turn", "text")
         docs = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
-        v = UG.train(docs, UNIGRAM_SIZE, max_len=UNIGRAM_MAXLEN, seed_size=1000, em_iters=1, shrink=0.5)
+        v = UG.train(docs, UNIGRAM_SIZE, max_len=UNIGRAM_MAXLEN, em_iters=1, shrink=0.5)
         _UG_MODELS[key] = spark.createDataFrame([(r["piece"], r["logp"]) for r in v.collect()], "piece STRING, logp DOUBLE")
     return _UG_MODELS[key]
 
@@ -1333,3 +1335,31 @@ def encode_regex_dictionary(spark, sf):
     m = regex_model(spark, sf)
     e = EN.encode(_docs(spark, sf), m, strategy="dictionary")
     return e.select("doc_id", F.col("n_tokens").cast("bigint"), _ids_str().alias("ids"))
+
+
+@query("encode_basic_dictionary", ORACLE["encode_basic"])
+def encode_basic_dictionary(spark, sf):
+    """E1 by the large-vocabulary plan: whole texts cut where no merge spans."""
+    return encode_basic(spark, sf, "dictionary")
+
+
+@query("encode_char_dictionary", ORACLE["encode_char"])
+def encode_char_dictionary(spark, sf):
+    """E4 by the large-vocabulary plan."""
+    return encode_char(spark, sf, "dictionary")
+
+
+@query("encode_specials_dictionary", ORACLE["encode_specials"])
+def encode_specials_dictionary(spark, sf):
+    """E3 by the large-vocabulary plan, special tokens allowed."""
+    return encode_specials(spark, sf, "dictionary")
+
+
+@query("encode_repeated", "WITH RECURSIVE " + _ENC + f"""
+ SELECT (doc_id // 3)::BIGINT AS doc_id, CASE WHEN doc_id % 10 = 0 THEN NULL ELSE n_tokens::BIGINT END AS n_tokens,
+        CASE WHEN doc_id % 10 = 0 THEN NULL ELSE {O.ids_of('S')} END AS ids FROM enc""")
+def encode_repeated(spark, sf):
+    """E2 by the large-vocabulary plan with repeated ids (each three documents share one) and NULL texts."""
+    docs = _docs(spark, sf).select((F.expr("doc_id div 3")).alias("doc_id"), F.when(F.col("doc_id") % 10 != 0, F.col("text")).alias("text"))
+    e = EN.encode(docs, regex_model(spark, sf), strategy="dictionary")
+    return e.select("doc_id", F.col("n_tokens").cast("bigint"), F.when(F.col("ids").isNotNull(), _ids_str()).alias("ids"))
