@@ -43,7 +43,8 @@ from toksmith.session import cut_lineage
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN = 10.0
-MAX_PIECES = 1 << 20
+MAX_PIECES = (1 << 20) - 1
+_ID = (1 << 20) - 1
 BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 2 << 20  # of text for each bucket of words; a bucket's edges are sorted in memory
 NAME = 40  # characters of a word that may name it
@@ -96,8 +97,8 @@ def split(text: str) -> list[str]:
 
 
 def lattice(words: DataFrame, model: Pieces, spark: SparkSession) -> DataFrame:
-    """``(bucket, word)`` -> ``(bucket, word, edges)``: per edge its end, minus its length, its score and id
-    (-1: unknown character), sorted.  In the result a long word is named by its :func:`short_name`,
+    """``(bucket, word)`` -> ``(bucket, word, edges)``: per edge its end, minus its length, its score and
+    pointer (length and id + 1 in one number; no id: unknown character), sorted.  In the result a long word is named by its :func:`short_name`,
     so that its edges do not each carry it."""
     longest = model.longest
     table = spark.createDataFrame(model.pieces, "piece string, id int, score double")
@@ -113,7 +114,8 @@ def lattice(words: DataFrame, model: Pieces, spark: SparkSession) -> DataFrame:
 
     subs = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.least(m, F.lit(SEGMENT)) - 1), from_start)))
     found = parts.select("bucket", "name", subs.alias("e")).join(F.broadcast(table), F.col("e.sub") == F.col("piece"), "left").where("piece is not null or e.len = 1")
-    edge = F.struct(F.col("e.end").alias("end"), (-F.col("e.len")).alias("back"), F.coalesce("score", F.lit(model.unknown_score)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"))
+    pointer = F.shiftleft(F.col("e.len"), 20) + F.coalesce("id", F.lit(-1)) + 1
+    edge = F.struct(F.col("e.end").alias("end"), (-F.col("e.len")).alias("back"), F.coalesce("score", F.lit(model.unknown_score)).alias("score"), pointer.alias("ptr"))
     return found.groupBy("bucket", F.col("name").alias("word")).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
@@ -132,42 +134,43 @@ def _chunks(edges: Column) -> Column:
 
 
 def viterbi(edges: Column, longest: int) -> Column:
-    """``array<struct<back, id>>``, by end position: the last piece of the best path to each place.
-    ``aggregate`` copies its state at every step, so an inner fold over a chunk keeps the last
-    ``longest`` scores and the chunk's pointers, and an outer one collects the chunks."""
-    pointers = F.array().cast("array<struct<back:int,id:int>>")
-    best = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(0).alias("id"))
+    """``array<int>``, by end position: the last piece of the best path to each place, packed as in
+    the edges.  ``aggregate`` copies its state at every step, so it is kept flat, an inner
+    fold over a chunk holds the chunk's pointers and scores (and the last ``longest`` before it),
+    and an outer one collects the chunks."""
 
     def step(a: Column, e: Column) -> Column:
         same = e["end"] == a["end"]
-        keep = same | (a["end"] == 0)
-        seen = F.concat(a["recent"], F.array(a["best"]["score"]))
-        recent = F.when(keep, a["recent"]).otherwise(F.slice(seen, F.greatest(F.size(seen) - longest + 1, F.lit(1)), longest))
-        total = F.get(recent, F.size(recent) + e["back"]) + e["score"]
-        new = F.struct(total.alias("score"), e["back"].alias("back"), e["id"].alias("id"))
+        # the place before is not in the list yet: it is the current best
+        before = F.when(same | (e["back"] < -1), F.get(a["scores"], e["end"] + e["back"] - a["base"])).otherwise(a["score"])
+        total = before + e["score"]
         return F.struct(
-            e["end"].alias("end"), recent.alias("recent"),
-            F.when(keep, a["done"]).otherwise(F.concat(a["done"], F.array(F.struct(a["best"]["back"].alias("back"), a["best"]["id"].alias("id"))))).alias("done"),
-            F.when(same & (total <= a["best"]["score"]), a["best"]).otherwise(new).alias("best"))
+            a["base"].alias("base"), e["end"].alias("end"), F.greatest(F.when(same, a["score"]), total).alias("score"),
+            F.when(same & (total <= a["score"]), a["ptr"]).otherwise(e["ptr"]).alias("ptr"),
+            F.when(same, a["scores"]).otherwise(F.concat(a["scores"], F.array(a["score"]))).alias("scores"),
+            F.when(same, a["ptrs"]).otherwise(F.concat(a["ptrs"], F.array(a["ptr"]))).alias("ptrs"))
 
     def one(a: Column, chunk: Column) -> Column:
-        start = F.struct(F.lit(0).alias("end"), a["recent"].alias("recent"), pointers.alias("done"), best.alias("best"))
+        start = F.struct((a["end"] - F.size(a["scores"])).alias("base"), a["end"].alias("end"), a["score"].alias("score"), F.lit(-1).alias("ptr"),
+                         a["scores"].alias("scores"), F.array().cast("array<int>").alias("ptrs"))
         return F.aggregate(chunk, start, step, lambda r: F.struct(
-            F.concat(r["recent"], F.array(r["best"]["score"])).alias("recent"),
-            F.concat(a["full"], F.array(F.concat(r["done"], F.array(F.struct(r["best"]["back"].alias("back"), r["best"]["id"].alias("id")))))).alias("full")))
+            r["end"].alias("end"), r["score"].alias("score"), F.slice(r["scores"], F.greatest(F.size(r["scores"]) - longest + 1, F.lit(1)), longest).alias("scores"),
+            F.concat(a["full"], F.array(F.concat(r["ptrs"], F.array(r["ptr"])))).alias("full")))
 
-    return F.aggregate(_chunks(edges), F.struct(F.array(F.lit(0.0)).alias("recent"), F.array().cast("array<array<struct<back:int,id:int>>>").alias("full")), one, lambda a: F.flatten(a["full"]))
+    none = F.struct(F.lit(0).alias("end"), F.lit(0.0).alias("score"), F.array().cast("array<double>").alias("scores"), F.array().cast("array<array<int>>").alias("full"))
+    # the first pointer of a chunk stands for the place before it
+    return F.aggregate(_chunks(edges), none, one, lambda a: F.flatten(F.transform(a["full"], lambda c: F.slice(c, 2, SEGMENT))))
 
 
-def _trace(word: str, back: np.ndarray, ids: np.ndarray, byte_ids: list[int]) -> list[int]:
+def _trace(word: str, pointers: list[int], byte_ids: list[int]) -> list[int]:
     out, at = [], len(word)
     while at:
-        i = ids[at - 1]
-        if i < 0:
-            out.extend(byte_ids[b] for b in reversed(word[at - 1].encode()))
+        p = pointers[at - 1]
+        if p & _ID:
+            out.append((p & _ID) - 1)
         else:
-            out.append(i)
-        at += back[at - 1]
+            out.extend(byte_ids[b] for b in reversed(word[at - 1].encode()))
+        at -= p >> 20
     return out[::-1]
 
 
@@ -204,8 +207,7 @@ def _answer(byte_ids: list[int]):
         if isinstance(back, pa.ChunkedArray):
             back = pa.concat_arrays(back.chunks)
         at = back.offsets.to_numpy()
-        flat = back.values
-        step, ids = flat.field("back").to_numpy().tolist(), flat.field("id").to_numpy().tolist()
+        pointers = back.values.to_numpy()
         place = {w: k for k, w in enumerate(known.column("word").to_pylist())}
         table: dict[str, bytes] = {}
         out = []
@@ -214,7 +216,7 @@ def _answer(byte_ids: list[int]):
             for w in own:
                 if w not in table:
                     k = place[short_name(w)]
-                    table[w] = np.array(_trace(w, step[at[k]:at[k + 1]], ids[at[k]:at[k + 1]], byte_ids), np.int32).tobytes()
+                    table[w] = np.array(_trace(w, pointers[at[k]:at[k + 1]].tolist(), byte_ids), np.int32).tobytes()
             got = [table[w] for w in own]
             out.append((np.array([len(x) // 4 for x in got], np.int32).tobytes(), b"".join(got)))
         return pa.table({"block": sent.column("block").cast(pa.int64()), "bucket": sent.column("bucket").cast(pa.int64()),
