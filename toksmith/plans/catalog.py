@@ -1356,10 +1356,11 @@ def encode_specials_dictionary(spark, sf):
 
 
 @query("encode_repeated", "WITH RECURSIVE " + _ENC + f"""
- SELECT (doc_id // 3)::BIGINT AS doc_id, CASE WHEN doc_id % 10 = 0 THEN NULL ELSE n_tokens::BIGINT END AS n_tokens,
+ SELECT (doc_id // 3)::BIGINT AS doc_id, CASE WHEN doc_id % 10 = 0 THEN -1 ELSE n_tokens::BIGINT END AS n_tokens,
         CASE WHEN doc_id % 10 = 0 THEN NULL ELSE {O.ids_of('S')} END AS ids FROM enc""")
 def encode_repeated(spark, sf):
     """E2 by the large-vocabulary plan with repeated ids (each three documents share one) and NULL texts."""
     docs = _docs(spark, sf).select((F.expr("doc_id div 3")).alias("doc_id"), F.when(F.col("doc_id") % 10 != 0, F.col("text")).alias("text"))
     e = EN.encode(docs, regex_model(spark, sf), strategy="dictionary")
-    return e.select("doc_id", F.col("n_tokens").cast("bigint"), F.when(F.col("ids").isNotNull(), _ids_str()).alias("ids"))
+    n = F.coalesce(F.col("n_tokens").cast("bigint"), F.lit(-1).cast("bigint")).alias("n_tokens")  # -1: no text
+    return e.select("doc_id", n, F.when(F.col("ids").isNotNull(), _ids_str()).alias("ids"))
