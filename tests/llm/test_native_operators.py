@@ -62,6 +62,15 @@ def test_line_dedup_equals_brute_force(make):
     assert sorted((x["doc_id"], x["text"]) for x in twice) == [(1, "a b\nc d\ne"), (1, "a b\nc d\ne"), (2, "")]
 
 
+def test_line_dedup_deletes_single_lines_of_ordinary_length(make):
+    """A repeated line goes though the lines around it differ; only very short ones are exempt."""
+    nine, seven, six = "one line of nine words stands here by itself", "a b c d e f g", "a b c d e f"
+    texts = [f"first {i}\n{nine}\nsecond {i}\n{seven}\nthird {i}\n{six}\nlast {i}" for i in range(4)]
+    got = {x["doc_id"]: (x["text"], x["n_removed"]) for x in op5.dedup_lines(make(texts)).collect()}
+    assert got[0] == (texts[0], 0)
+    assert all(got[i] == (f"first {i}\nsecond {i}\nthird {i}\n{six}\nlast {i}", 2) for i in (1, 2, 3))
+
+
 def test_line_dedup_oracle(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")

@@ -2,8 +2,8 @@
 
 Lines are what ``split`` at line feeds gives.  Of every window of ``MIN_LINES``
 consecutive lines the smallest line hash is a fingerprint, so any repeated run of
-that many lines shares one; a single line of ``LONG_WORDS`` words or more is a
-window of its own.  Fingerprint positions that share a value with another
+that many lines shares one; a single line of ``LONG_WORDS`` words or more, which
+only very short lines have not, is a window of its own.  Fingerprint positions that share a value with another
 position are extended both ways to the windows around them, equal windows are
 traced to their first occurrence in order of (id, line), and every line that a
 later occurrence covers is deleted: the union of equal windows is the maximal
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from toksmith.llm.blocks import row_key
 from toksmith.operators.joins import hot_cold_join
-from toksmith.session import cut_lineage
+from toksmith.session import write_once
 
 MIN_LINES = 2
-LONG_WORDS = 30
+LONG_WORDS = 7
 
 
 def _windows(docs: DataFrame, min_lines: int, long_words: int) -> DataFrame:
@@ -51,12 +51,12 @@ def _windows(docs: DataFrame, min_lines: int, long_words: int) -> DataFrame:
 def removed_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS) -> DataFrame:
     """``(rid, gone)``: line numbers to delete, for the documents that have any.  ``docs`` has
     ``rid``, ``doc_id`` and ``text``."""
-    windows = cut_lineage(_windows(docs, min_lines, long_words))
+    windows = write_once(_windows(docs, min_lines, long_words))
     prints = windows.select("rid", "p", "fp").distinct()
     shared = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     near = hot_cold_join(windows, shared.select("fp"), "fp", counts=shared)
     firsts = near.groupBy("win").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "rid", "s")).alias("first")).where(F.col("n") > 1)
-    firsts = cut_lineage(firsts)
+    firsts = write_once(firsts)
     later = hot_cold_join(near, firsts.select("win", "first"), "win", counts=firsts.select("win", "n")).where(F.struct("doc_id", "rid", "s") != F.col("first"))
     return later.groupBy("rid").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("s", F.col("s") + F.col("n") - 1))))).alias("gone"))
 
