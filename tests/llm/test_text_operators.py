@@ -1,7 +1,10 @@
+import collections
 import hashlib
 import random
 
 import brute
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from toksmith.llm import op1_language_id as op1
@@ -115,6 +118,34 @@ def test_suffix_dedup_cases(make):
     assert op8.remove_repeats(make([])).count() == 0
 
 
+def test_suffix_dedup_splits_a_hot_anchor(monkeypatch):
+    """A phrase in all documents, each in a context of its own: no transform and no bucket takes the whole group."""
+    monkeypatch.setattr(op8, "CHUNK", 4000)
+    r, longest, taken = random.Random(5), [], collections.Counter()
+    own = lambda n: "".join(chr(r.randrange(97, 123)) for _ in range(n))
+    phrase, passage = own(35), own(200)
+    docs = [(i, own(60) + (phrase if i % 3 else passage) + own(r.choice([2, 60]))) for i in range(600)]
+    docs += [(i + 600, t[20:]) for i, (_, t) in enumerate(docs[::40])] + [(None, docs[7][1]), (3, docs[9][1])]
+    transform = op8.bwt.first_owner
+    monkeypatch.setattr(op8.bwt, "first_owner", lambda t, b, n, *x: (longest.append(n.sum()), transform(t, b, n, *x))[1])
+
+    def by(key, tables):
+        rows = pa.concat_tables(tables)
+        return {k: rows.filter(pc.equal(rows["block" if key == "block" else "bucket"], k)) for k in sorted(set(rows[key].to_pylist()))}
+
+    dealt = {k: pa.table({"block": pa.array([k] * len(docs[k::3]), pa.int64()), "doc_id": pa.array([d for d, _ in docs[k::3]], pa.int64()), "text": [t for _, t in docs[k::3]]}) for k in range(3)}
+    answer = by("block", [op8._shared(t) for t in by("bucket", [op8._anchors(16)((pa.scalar(k),), t) for k, t in dealt.items()]).values()])
+    runs = by("bucket", [op8._runs_out(16)(t, answer[k]) for k, t in dealt.items()])
+    for k, t in runs.items():
+        taken[k] = t.nbytes
+    firsts = by("block", [op8._firsts(t) for t in runs.values()])
+    out = [op8._remove(pa.int64())(t, firsts[k]).drop_columns(["kept"]) for k, t in dealt.items()]
+    key = lambda x: (x[0] is not None, x)
+    assert sorted((tuple(x.values()) for t in out for x in t.to_pylist()), key=key) == sorted(brute.remove_repeats(docs), key=key)
+    assert max(longest) <= 2 * op8.CHUNK
+    assert max(taken.values()) <= 3 * sum(taken.values()) / 16
+
+
 def test_quality_counts_and_verdict(spark, make, sf):
     docs = table(spark, sf, "documents")
     texts = EDGE + ["a b c " * 40, "w " * 60, "same line here\n" * 30] + [r["text"] for r in docs.select("text").collect()]
