@@ -71,6 +71,18 @@ def test_pipeline_cases(make, spark, sf):
     assert docs.count() == 0
 
 
+def test_pipeline_jaccard_join_keeps_rows_not_ids(make, spark, sf):
+    """Null and equal ids with different texts: one row of each group of near copies stays, and all the others."""
+    p = importlib.import_module("corpus_pipeline")
+    own = [" ".join(f"{w}{k}" for k in range(30)) for w in "abcdefgh"]
+    rows = [(None, own[0]), (None, own[1]), (None, own[1]), (None, own[2]), (None, own[3] + " x"), (4, own[3]),  # the row with an id stays
+            (5, own[4]), (5, own[5]), (5, own[5]), (5, own[6] + " x"), (2, own[6]),  # a clean and a near text under one id
+            (6, own[7]), (7, own[7]), (None, own[7]), (None, None), (8, "")]
+    got = p.jaccard_join(spark, make([t for _, t in rows], ids=[d for d, _ in rows]), sf).select("doc_id", "text").collect()
+    want = [(None, own[0]), (None, own[1]), (None, own[2]), (4, own[3]), (5, own[4]), (5, own[5]), (2, own[6]), (6, own[7]), (None, None), (8, "")]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_entry_without_the_subpackage(tmp_path):
     """The queries of the library stay when the folder and the pipeline are not there."""
     import shutil
