@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import bruteforce as BF
-from conftest import CORPUS, texts_df
+from support import CORPUS, texts_df
 from toksmith.functions.symbols import symbols_ids, syms
 from toksmith.operators import decode as DE
 from toksmith.operators import encode as EN

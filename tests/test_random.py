@@ -3,7 +3,7 @@
 import random
 
 import bruteforce as BF
-from conftest import CORPUS, texts_df
+from support import CORPUS, texts_df
 from toksmith.operators import decode as DE
 from toksmith.operators import encode as EN
 from toksmith.operators import train as TR

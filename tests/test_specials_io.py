@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import texts_df
+from support import texts_df
 from toksmith.operators import decode as DE
 from toksmith.operators import encode as EN
 from toksmith.streaming.encode_stream import encode_stream

@@ -19,7 +19,7 @@ def test_viterbi_matches_loop(spark):
 
 
 def test_unigram_training_and_sampling(spark):
-    from conftest import CORPUS, texts_df
+    from support import CORPUS, texts_df
     df = texts_df(spark, [CORPUS])
     v = UG.train(df, 60, max_len=6, min_share=5e-3)
     rows = v.collect()
@@ -34,6 +34,6 @@ def test_unigram_training_and_sampling(spark):
 
 
 def test_training_ends_with_more_characters_than_pieces(spark):
-    from conftest import texts_df
+    from support import texts_df
     v = UG.train(texts_df(spark, ["abcdefghijklmnopq abc abd qq"]), 5, max_len=4)
     assert {len(r.piece) for r in v.collect()} == {1} and v.count() == 18

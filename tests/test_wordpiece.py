@@ -1,7 +1,7 @@
 import regex
 
 import bruteforce as BF
-from conftest import CORPUS, texts_df
+from support import CORPUS, texts_df
 from toksmith.operators import wordpiece as WP
 
 
