@@ -5,6 +5,7 @@ from __future__ import annotations
 from toksmith.llm import (
     op1_language_id,
     op10_sentencepiece,
+    op12_token_counts,
     op2_jaccard_join,
     op3_pii,
     op4_decontamination,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup.op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules.op9_quality_rules,
     "op10_sentencepiece": op10_sentencepiece.op10_sentencepiece,
+    "op12_token_counts": op12_token_counts.op12_token_counts,
 }
 
 ORACLE: dict[str, str] = {
