@@ -5,7 +5,9 @@ from __future__ import annotations
 from toksmith.llm import (
     op1_language_id,
     op10_sentencepiece,
+    op11_conversation_repair,
     op12_token_counts,
+    op13_prefix_trie,
     op2_jaccard_join,
     op3_pii,
     op4_decontamination,
@@ -27,7 +29,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup.op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules.op9_quality_rules,
     "op10_sentencepiece": op10_sentencepiece.op10_sentencepiece,
+    "op11_conversation_repair": op11_conversation_repair.op11_conversation_repair,
     "op12_token_counts": op12_token_counts.op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie.op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
