@@ -1,129 +1,322 @@
-"""BPE training as rounds of Spark jobs.
-
-Each round is one aggregation over the (cached) dictionary of distinct
-symbol strings: count adjacent pairs with their weights, take the top few
-pairs (TakeOrderedAndProject, at most ``batch`` rows reach the driver),
-accept the longest prefix of pairs that share no token, and apply those merges
-with ``replace`` in rank order.  The prefix rule yields exactly the merges of
-one-merge-per-round training: a merge only lowers counts of pairs that share a
-token with it, and every pair it creates is at most as frequent (and not
-earlier) than such a pair, which ranks after the accepted prefix.  A
-self-pair ``(a, a)`` may be accepted but closes the batch.
-
-Lineage: the dictionary is persisted each round and checkpointed to the
-shared ``spark.checkpoint.dir`` every few rounds, so an executor loss replays
-at most a few cheap projections.
+"""BPE training by differences.
+
+The state between two rounds is a pair table ``(pair, n, pos)`` and an index from pairs to the
+sequences that hold them.  A round takes the best pairs, reads the sequences that hold one of them through
+the index, rewrites those with ``replace``, and adds the difference of their pairs to the table:
+
+* **Cuts.** A piece that spans two neighbouring base symbols ``x y`` is merged from a pair that occurs at
+  most as often as ``xy`` itself.  While the best pair occurs at least ``floor`` times, no merge can span a base pair
+  rarer than ``floor``; sequences are cut there, and equal segments are one row.  When the best
+  pair falls below it, the floor is lowered and the segments are cut anew (from the dictionary, with all merges so far).
+* **Index.** A pair of base symbols is found in a table sorted by pair, whose rows carry their segment
+  (segments beyond ``INLINE`` symbols, which hold most frequent pairs anyway, are searched directly).  A pair with a merged symbol
+  occurs only in sequences rewritten in the round that made the symbol, so that round's rewritten sequences are its
+  index.  A row found in an older state is brought up to date by the merges since, and checked.
+* **First positions.** Only rewritten sequences lose occurrences.  A pair whose first position lies in one of them either
+  still occurs there, at a position just read, or its true first position is later and unknown: the row is
+  marked, and looked up through the index only when its count ties with another candidate's.
+* **Batches.** A round accepts the longest prefix of ranked pairs that share no token.  This gives exactly the merges of
+  one-merge-per-round training: a merge only lowers counts of pairs that share a token with it, and every pair it
+  creates is at most as frequent (and not earlier) than such a pair, which ranks after the accepted prefix.
+  A self-pair ``(a, a)`` may be accepted but closes the batch.
+
+The sequences read and rewritten in a round are written to the shared ``spark.checkpoint.dir``, and later rounds read those
+tables, so an executor loss replays part of one round.  On the driver are the merges and the pair table's rows at or above the
+floor, at most ``MAX_KEPT``: of more, the first in rank, and the others wait for the next rebuild.
 """
 
 from __future__ import annotations
 
+import heapq
+from dataclasses import dataclass, field
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toksmith.functions import patterns
-from toksmith.functions.symbols import byte_symbols, chars, cp_to_id, sym, syms
+from toksmith.functions.symbols import CHUNK_SEP, adjacent_pairs, byte_symbols, chars, cp_to_id, sym, syms
 from toksmith.model import MAX_MODEL_ROWS, Merge, Model
 from toksmith.operators import pairs as P
 from toksmith.operators import pretokenize as PT
-from toksmith.session import cut_lineage
+from toksmith.session import Scratch
 from toksmith.sources.corpus import widen
 
+INLINE = 128  # symbols of a segment that index rows carry
+MAX_KEPT = 100_000  # base pairs in a cut rule
+FIRST_FLOOR = 64  # the first floor is half the count of this base pair (or of the last merge's, if fewer are asked)
+FLOOR_STEP = 8
+TOTAL = ""  # the pair table's row for the number of tokens
+
 
-def select_batch(top: list, cautious: bool = False) -> list:
-    """Longest prefix of ranked pairs with pairwise disjoint tokens."""
+def select_batch(top: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Longest prefix of ranked ``(pair, count)`` with pairwise disjoint tokens."""
     used: set[str] = set()
     out = []
     for row in top:
-        a, b = row["pair"][0], row["pair"][1]
+        a, b = row[0]
         if a in used or b in used:
             break
         out.append(row)
         if a == b:
             break
         used.update((a, b))
-    if cautious and len(out) < len(top) and out:
-        # also require a strictly larger count than the first rejected pair
-        bound = top[len(out)]["n"]
-        out = [r for r in out if r["n"] > bound] or out[:1]
     return out
 
 
+def _chain(s: Column, merges: list[Merge]) -> Column:
+    """``s`` brought up to date by some merges, in rank order."""
+    from toksmith.operators.encode import fold
+
+    return fold(s, Model("basic", merges))
+
+
+def _replaced(s: Column, accepted: list[tuple[str, str]]) -> Column:
+    for pair, new in accepted:
+        s = F.replace(s, F.lit(pair), F.lit(new))
+    return s
+
+
+def _first_held(s: Column, accepted: list[tuple[str, str]]) -> Column:
+    """The first accepted pair that ``s`` holds (null: none)."""
+    return F.coalesce(*[F.when(F.contains(s, F.lit(pair)), F.lit(pair)) for pair, _ in accepted])
+
+
+def cut_segments(d: DataFrame, kept: list[str] | None) -> DataFrame:
+    """``(sym, n, pos)``: distinct segments between neighbours that are no kept pair (None: no cuts), with the
+    position ``(doc_id, chunk_pos, segment)`` of their first occurrence."""
+    place = lambda k: F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.chunk_pos").cast("long").alias("chunk_pos"), k.cast("long").alias("segment"))
+    if kept is None:
+        return d.select("sym", "n", place(F.lit(0)).alias("pos"))
+    head = lambda p: F.substring(p, 1, 1)
+    marked = F.transform(adjacent_pairs("sym"), lambda p: F.when(p.isin(kept), head(p)).otherwise(F.concat(head(p), F.lit(CHUNK_SEP))))
+    parts = F.split(F.concat(F.array_join(marked, ""), F.substring("sym", -1, 1)), CHUNK_SEP)
+    cut = d.select("n", "first", F.posexplode(parts).alias("k", "sym")).select("sym", "n", place(F.col("k")).alias("pos"))
+    return cut.groupBy("sym").agg(F.sum("n").alias("n"), F.min("pos").alias("pos"))
+
+
+def _occurrences(rows: DataFrame, s: str, sign: int, column: str) -> DataFrame:
+    """A row per pair occurrence with its weight and, in ``column``, its position."""
+    ex = rows.select("n", "pos", F.posexplode(adjacent_pairs(s)).alias("offset", "pair"))
+    at = f"struct(pos.doc_id AS doc_id, pos.chunk_pos AS chunk_pos, pos.segment AS segment, cast(offset AS bigint) AS offset) AS {column}"
+    return ex.selectExpr("pair", f"n * {sign} AS n", at)
+
+
+@dataclass
+class Made:
+    """Sequences ``(pos, n, new)`` rewritten in a round: pairs whose newer symbol is one of the merges
+    ``start``..``end - 1`` occur only in them; their symbols have the merges up to ``end``."""
+
+    table: DataFrame
+    start: int
+    end: int
+
+
+@dataclass
+class Pair:
+    n: int
+    pos: tuple | None
+    late: bool = False  # the true first position is after ``pos``
+
+
+@dataclass
+class Rounds:
+    """State of a training: the pair table, the index, and what each round read."""
+
+    scratch: Scratch
+    base: DataFrame  # (sym, n, first), uncut
+    first_new_id: int
+    merges: list[Merge] = field(default_factory=list)
+
+    def rebuild(self, floor: int, kept: list[str] | None = None, cut: bool = False) -> None:
+        """Pair table and index from up-to-date segments: the present ones, or (``cut``) those of the dictionary, cut anew."""
+        self.floor = floor
+        rows, behind = (cut_segments(self.base, kept), self.merges) if cut else (self.rows, self.merges[self.start:])
+        self.rows = rows = self.scratch.write(rows.withColumn("sym", _chain(F.col("sym"), behind)) if behind else rows)
+        several = rows.where(F.length("sym") > 1)
+        total = rows.selectExpr(f"'{TOTAL}' AS pair", "n * length(sym) AS n")
+        both = _occurrences(several, "sym", 1, "pos").unionByName(total, allowMissingColumns=True)
+        stats = both.groupBy("pair").agg(F.sum("n").alias("n"), F.min("pos").alias("pos")).where((F.col("n") >= floor) | (F.col("pair") == TOTAL))
+        best = stats.orderBy((F.col("pair") == TOTAL).desc(), F.col("n").desc(), F.col("pos")).limit(MAX_KEPT + 2).collect()
+        self.pairs = {r["pair"]: Pair(r["n"], r["pos"] and tuple(r["pos"])) for r in best}
+        self.total = self.pairs.pop(TOTAL, Pair(0, None)).n or 0
+        self.edge = None  # with a full table: the position up to which pairs of ``floor`` occurrences are in it
+        self._bound()
+        short = several.where(F.length("sym") <= INLINE).select(F.explode(F.array_distinct(adjacent_pairs("sym"))).alias("pair"), "sym", "n", "pos")
+        self.by_pair = self.scratch.write(short.repartitionByRange("pair").sortWithinPartitions("pair"))
+        self.long = several.where(F.length("sym") > INLINE)
+        self.made: list[Made] = []
+        self.start = len(self.merges)  # merges that the index's sequences have
+        self.sequences = several
+
+    def _within(self, n: int, pos: tuple) -> bool:
+        return n > self.floor or n == self.floor and (self.edge is None or _order(pos) <= _order(self.edge))
+
+    def _bound(self) -> None:
+        """Keep the pair table bounded: of too many pairs the first in rank stay, and the others wait for a rebuild."""
+        if len(self.pairs) > MAX_KEPT:
+            first = heapq.nsmallest(MAX_KEPT, self.pairs.values(), key=_rank)
+            self.floor, self.edge = first[-1].n, first[-1].pos
+        self.pairs = {k: p for k, p in self.pairs.items() if self._within(p.n, p.pos)}
+
+    def _holders(self, chosen: list[str]) -> list[tuple[list[str], DataFrame]]:
+        """Per table to search, some pairs and the up-to-date sequences ``(cur, n, pos, pair)`` that may hold them;
+        ``pair`` is the index entry, null where sequences are searched directly."""
+        groups: dict[int, list[str]] = {}
+        for pair in chosen:
+            newest = max(cp_to_id(ord(c)) for c in pair) - self.first_new_id
+            at = next((k for k, m in enumerate(self.made) if m.start <= newest < m.end), -1)
+            groups.setdefault(at, []).append(pair)
+        out = []
+        for k, pairs in sorted(groups.items()):
+            def search(table: DataFrame, column: str, pairs=pairs) -> DataFrame:
+                held = F.lit(False)
+                for pair in pairs:
+                    held = held | F.contains(F.col(column), F.lit(pair))
+                return table.where(held).select(F.col(column).alias("sym"), "n", "pos", F.lit(None).cast("string").alias("pair"))
+
+            if k < 0:
+                rows = self.by_pair.where(F.col("pair").isin(pairs)).select("sym", "n", "pos", "pair").unionByName(search(self.long, "sym"))
+                known = self.start
+            else:
+                rows, known = search(self.made[k].table, "new"), self.made[k].end
+            out.append((pairs, rows.select(_chain(F.col("sym"), self.merges[known:]).alias("cur"), "n", "pos", "pair")))
+        return out
+
+    def best(self, k: int) -> list[tuple[str, int]]:
+        """The ``k`` best pairs and their counts, in exact order."""
+        while True:
+            top = heapq.nsmallest(k, self.pairs.items(), key=lambda x: _rank(x[1]))
+            n = [p.n for _, p in top]
+            last = n[-1] if len(top) == k else None
+            ranked = [(pair, p.n) for pair, p in top]
+            tied = [p.late and (n.count(p.n) > 1 or p.n == last or self.edge is not None and p.n == self.floor) for _, p in top]
+            if not any(tied[:len(select_batch(ranked)) + 1]):  # later rows do not decide what is accepted
+                return ranked
+            self._repair([pair for (pair, _), t in zip(top, tied, strict=True) if t])
+
+    def _repair(self, late: list[str]) -> None:
+        """True first positions of some pairs, by the index."""
+        found = None
+        for pairs, rows in self._holders(late):
+            rows = rows.withColumn("p", F.explode(F.array(*[F.lit(p) for p in pairs]))).where("contains(cur, p) AND (pair IS NULL OR pair = p)")
+            rows = rows.selectExpr("p AS pair", "struct(pos.doc_id AS doc_id, pos.chunk_pos AS chunk_pos, pos.segment AS segment, cast(instr(cur, p) - 1 AS bigint) AS offset) AS at")
+            found = rows if found is None else found.unionByName(rows)
+        for r in found.groupBy("pair").agg(F.min("at").alias("at")).collect():  # one row a pair asked for
+            self.pairs[r["pair"]] = Pair(self.pairs[r["pair"]].n, tuple(r["at"]))
+        self._bound()
+
+    def apply(self, accepted: list[tuple[str, str]]) -> None:
+        """Rewrite the sequences that hold an accepted pair; move the pair table by the difference."""
+        held = None
+        for pairs, rows in self._holders([p for p, _ in accepted]):
+            # a sequence with several accepted pairs is taken once: under the first of them
+            rows = rows.withColumn("key", _first_held(F.col("cur"), accepted))
+            rows = rows.where(F.col("key").isin(pairs) & (F.col("pair").isNull() | (F.col("pair") == F.col("key"))))
+            held = rows if held is None else held.unionByName(rows)
+        touched = self.scratch.write(held.select("pos", "n", F.col("cur").alias("old"), _replaced(F.col("cur"), accepted).alias("new")))
+        self.made.append(Made(touched, len(self.merges), len(self.merges) + len(accepted)))
+        shrink = touched.selectExpr(f"'{TOTAL}' AS pair", "n * (length(new) - length(old)) AS n")
+        change = _occurrences(touched, "old", -1, "was").unionByName(_occurrences(touched, "new", 1, "now"), allowMissingColumns=True)
+        change = change.unionByName(shrink, allowMissingColumns=True).groupBy("pair").agg(F.sum("n").alias("n"), F.min("was").alias("was"), F.min("now").alias("now"))
+        # what is asked for: the pairs of the table, and those at or above the floor among the new ones
+        ours = ", ".join(f"'{p.encode().hex().upper()}'" for p in [TOTAL, *self.pairs])
+        change = change.where(f"was IS NULL AND n >= {self.floor} OR hex(pair) IN ({ours})")
+        for r in change.collect():
+            pair, was, now = r["pair"], r["was"] and tuple(r["was"]), r["now"] and tuple(r["now"])
+            if pair == TOTAL:
+                self.total += r["n"] or 0
+                continue
+            known = self.pairs.get(pair)
+            if known is None:
+                self.pairs[pair] = Pair(r["n"], now)
+                continue
+            known.n += r["n"]
+            if was is not None and not known.late and was[:3] == known.pos[:3]:  # its first sequence was rewritten
+                if now is not None and now[:3] == known.pos[:3]:
+                    known.pos = now
+                else:
+                    known.late = True
+        self._bound()
+
+
+def _rank(p: Pair) -> tuple:
+    return (-p.n, _order(p.pos))
+
+
+def _order(pos: tuple) -> tuple:
+    """Sort key of a position; null ids first."""
+    return (pos[0] is not None, pos[0] if pos[0] is not None else 0, *pos[1:])
+
+
 def train_rounds(
     d: DataFrame,
     n_merges: int,
     first_new_id: int,
     batch: int = 64,
-    checkpoint_every: int = 8,
+    rebuild_every: int = 64,
+    floor: int | None = None,
+    log: list | None = None,
     verbose: bool = False,
 ) -> tuple[list[Merge], DataFrame]:
     """Learn up to ``n_merges`` merges over ``d(sym, n, first)``.
 
     Returns the merges (bounded by ``n_merges``) and the final dictionary
-    ``(sym, n, first)`` whose symbols are the training corpus's encoding.
+    ``(sym, n, first)`` whose symbols are the training corpus's encoding.  ``floor`` is the first count below which
+    base pairs are cut (default: from the base pairs' counts); ``rebuild_every`` bounds the merges by which the index's
+    sequences may be behind; a ``log`` list receives, per round, the merges made, all sequences, and those read.
     """
     if n_merges > MAX_MODEL_ROWS:
         raise ValueError("too many merges")
     base = widen(d.select("sym", "n", "first"), "sym").persist(StorageLevel.MEMORY_AND_DISK)
-    n_seq = base.where(F.length("sym") > 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # sequences of one symbol have no pairs and never change: drop them
-    d = base.where(F.length("sym") > 1).persist(StorageLevel.MEMORY_AND_DISK)
-    merges: list[Merge] = []
-    rounds = 0
-    prev = None
-    while len(merges) < n_merges:
-        got = P.top_pairs(P.pair_stats_with_total(d), min(batch, n_merges - len(merges)) + 1).collect()
-        if prev is not None:
-            prev.unpersist()
-        top = [r for r in got if r["pair"] != ""]
-        pair_total = sum(r["n"] for r in got if r["pair"] == "")
-        if not top:
-            break
-        total = pair_total + n_seq
+    with Scratch(d.sparkSession) as scratch:
+        state = Rounds(scratch, base.where(F.length("sym") > 0), first_new_id)
+        counts = scratch.write(base.select("n", F.explode(adjacent_pairs("sym")).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n")))
+
+        def kept(floor: int) -> list[str] | None:
+            got = counts.where(F.col("n") >= floor).select("pair").limit(MAX_KEPT + 1).collect() if floor > 1 else []
+            return [r["pair"] for r in got] if floor > 1 and len(got) <= MAX_KEPT else None
+
+        seen = counts.orderBy(F.col("n").desc()).limit(max(1, min(n_merges, FIRST_FLOOR))).collect()
+        floor = min(floor or max(1, seen[-1]["n"] // 2), seen[0]["n"]) if seen else 1
+        merges = state.merges
+        state.rebuild(floor, kept(floor), cut=True)
+        while len(merges) < n_merges:
+            if merges and merges[-1].total_tokens is None:
+                merges[-1].total_tokens = state.total
+            if not state.pairs or len(merges) - state.start >= rebuild_every:
+                if not state.pairs and state.floor <= 1 and state.edge is None:
+                    break
+                if state.pairs or state.edge is not None:
+                    state.rebuild(state.floor)
+                else:
+                    floor = max(1, state.floor // FLOOR_STEP)
+                    state.rebuild(floor, kept(floor), cut=True)
+                continue
+            total, accepted, made = state.total, [], []
+            for pair, n in select_batch(state.best(min(batch, n_merges - len(merges)))):
+                new_id = first_new_id + len(merges) + len(made)
+                a, b = pair
+                accepted.append((pair, sym(new_id)))
+                total -= n
+                made.append(Merge(new_id - first_new_id, cp_to_id(ord(a)), cp_to_id(ord(b)), new_id, n, None if a == b else total))
+                if verbose:
+                    print(f"merge {new_id - first_new_id + 1}/{n_merges} ({made[-1].left_id}, {made[-1].right_id}) -> {new_id} freq={n}")
+            if not accepted:  # the repaired pairs all wait for a rebuild
+                continue
+            state.apply(accepted)
+            merges.extend(made)
+            if log is not None:
+                log.append({"merges": len(made), "sequences": state.sequences.count(), "read": state.made[-1].table.count()})
         if merges and merges[-1].total_tokens is None:
-            merges[-1].total_tokens = total
-        accepted = select_batch(top)
-        expr = F.col("sym")
-        for row in accepted:
-            new_id = first_new_id + len(merges)
-            a, b = row["pair"][0], row["pair"][1]
-            expr = F.replace(expr, F.lit(row["pair"]), F.lit(sym(new_id)))
-            self_pair = a == b
-            if not self_pair:
-                total -= row["n"]
-            merges.append(Merge(len(merges), cp_to_id(ord(a)), cp_to_id(ord(b)), new_id, row["n"],
-                                None if self_pair else total))
-            if verbose:
-                print(f"merge {len(merges)}/{n_merges} ({merges[-1].left_id}, {merges[-1].right_id})"
-                      f" -> {new_id} freq={row['n']}")
-        rounds += 1
-        prev = d
-        d = d.select(expr.alias("sym"), "n", "first").where(F.length("sym") > 1).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        if rounds % checkpoint_every == 0:
-            ck = cut_lineage(d)  # reliable copy in spark.checkpoint.dir
-            d.unpersist()
-            d = ck.persist(StorageLevel.MEMORY_AND_DISK)
-    if merges and merges[-1].total_tokens is None:
-        pt = d.agg(F.sum(F.col("n") * (F.length("sym") - 1))).first()[0] or 0
-        merges[-1].total_tokens = pt + n_seq
-    if prev is not None:
-        prev.unpersist()
+            merges[-1].total_tokens = state.total
     final = base.select("sym", "n", "first")
     if merges:
-        final = base.select(_fold_all(merges).alias("sym"), "n", "first")
-    d.unpersist()
+        final = base.select(_chain(F.col("sym"), merges).alias("sym"), "n", "first")
     base.unpersist()
     return merges, final
 
 
-def _fold_all(merges: list[Merge]):
-    """Final symbols of the training dictionary: all merges folded in rank order."""
-    from toksmith.operators.encode import fold
-
-    return fold(F.col("sym"), Model("basic", merges))
-
-
 # -- the three model kinds ---------------------------------------------------
 
 def train_regex(

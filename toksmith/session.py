@@ -53,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(d)
         return d
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative jobs need a shared folder for checkpoints"
         )
@@ -76,3 +76,27 @@ def write_once(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables of an iterative job in a folder of the shared checkpoint folder; the folder goes when the
+    job ends, so only what the job returns may outlive it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        self.tables = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.tables += 1
+        path = f"{self.folder}/{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
