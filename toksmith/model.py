@@ -41,6 +41,7 @@ class Model:
     alphabet: str = ""  # char models: base characters in ID order, IDs from 3
     add_bos: bool = False
     add_eos: bool = False
+    byte_fallback: bool = False  # char models: 256 byte pieces after all others stand for characters outside the alphabet
 
     # -- vocabulary -------------------------------------------------------
     @property
@@ -64,8 +65,16 @@ class Model:
         if self.byte_level:
             for t, i in self.specials.items():
                 v[i] = t.encode("utf-8")
+        elif self.byte_fallback:
+            for b in range(256):
+                v[self.first_byte_id + b] = f"<0x{b:02X}>"
         return v
 
+    @property
+    def first_byte_id(self) -> int:
+        """ID of ``<0x00>`` in a char model with byte fallback."""
+        return self.first_merge_id + len(self.merges)
+
     def kinds(self) -> dict[int, str]:
         out = {}
         if self.byte_level:
@@ -74,6 +83,8 @@ class Model:
             out.update({i: "special" for i in patterns.SP_SPECIALS.values()})
             out.update({len(patterns.SP_SPECIALS) + j: "char" for j in range(len(self.alphabet))})
         out.update({m.new_id: "merge" for m in self.merges})
+        if self.byte_fallback and not self.byte_level:
+            out.update({self.first_byte_id + b: "byte" for b in range(256)})
         out.update({i: "special" for i in self.specials.values()})
         return out
 

@@ -27,10 +27,15 @@ def unknown_ids(ids, model: Model) -> Column:
     return F.filter(_c(ids), lambda i: _piece(pieces, i).isNull())
 
 
+def piece_symbols(ids, model: Model) -> Column:
+    """Concatenated piece bytes, one symbol a byte; unknown IDs contribute nothing."""
+    pieces = model.piece_array()
+    return F.array_join(F.transform(_c(ids), lambda i: _piece(pieces, i)), "")
+
+
 def decode_bytes_column(ids, model: Model) -> Column:
     """Concatenated piece bytes (BINARY); unknown IDs contribute nothing."""
-    pieces = model.piece_array()
-    return symbols_bytes(F.array_join(F.transform(_c(ids), lambda i: _piece(pieces, i)), ""))
+    return symbols_bytes(piece_symbols(ids, model))
 
 
 def decode_column(ids, model: Model, on_unknown: str | None = None) -> Column:
@@ -57,8 +62,17 @@ def _decode_char(ids: Column, model: Model) -> Column:
     pieces = model.piece_array()
     toks = F.transform(ids, lambda i: F.coalesce(_piece(pieces, i), F.lit("<unk>")))
     kept = F.filter(toks, lambda t: ~t.isin("<s>", "</s>"))
-    joined = F.replace(F.array_join(kept, ""), F.lit(patterns.SPACE_MARK), F.lit(" "))
-    return F.regexp_replace(joined, _STRIP, "")
+    if model.byte_fallback:
+        # byte tokens stand as they are among the other pieces' bytes, so a run of them forms characters again
+        joined = valid_utf8(F.unhex(F.array_join(F.transform(kept, _piece_hex), "")))
+    else:
+        joined = F.array_join(kept, "")
+    return F.regexp_replace(F.replace(joined, F.lit(patterns.SPACE_MARK), F.lit(" ")), _STRIP, "")
+
+
+def _piece_hex(piece: Column) -> Column:
+    byte = F.regexp_extract(piece, r"^<0x([0-9A-F]{2})>\z", 1)
+    return F.when(byte != "", byte).otherwise(F.hex(F.encode(piece, "UTF-8")))
 
 
 def decode(df: DataFrame, model: Model, ids_col: str = "ids", id_col: str = "doc_id",

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toksmith.functions import patterns
-from toksmith.functions.symbols import CHUNK_SEP, OOV_MARK, byte_symbols, sym, symbols_ids
+from toksmith.functions.symbols import CHUNK_SEP, OOV_MARK, byte_symbols, const_list, sym, symbols_ids
 from toksmith.model import Model
 from toksmith.operators import pretokenize as PT
 from toksmith.operators.joins import hot_cold_join
@@ -139,11 +139,31 @@ def char_base_symbols(text, model: Model) -> Column:
         norm = F.regexp_replace(norm, f"[^{_char_class(model.alphabet)}]", _OOV)
     else:
         norm = F.regexp_replace(norm, "(?s).", _OOV)
+    if model.byte_fallback:
+        return _with_fallback(F.replace(_c(text), F.lit(" "), F.lit(patterns.SPACE_MARK)), model)
     # translate() deletes characters mapped to U+0000, so <unk> (ID 0) is set afterwards
     dst = "".join(sym(len(patterns.SP_SPECIALS) + j) for j in range(len(model.alphabet)))
     return F.replace(F.translate(norm, model.alphabet, dst), F.lit(_OOV), F.lit(sym(patterns.SP_UNK)))
 
 
+def _with_fallback(norm: Column, model: Model) -> Column:
+    """Runs of alphabet characters as their symbols, every other character as one symbol for each of its UTF-8 bytes."""
+    first = len(patterns.SP_SPECIALS)
+    dst = "".join(sym(first + j) for j in range(len(model.alphabet)))
+    known = f"[{_char_class(model.alphabet)}]+|" if model.alphabet else ""
+    runs = F.regexp_extract_all(norm, F.lit(f"(?s){known}."), 0)
+    byte_symbols_of = const_list([sym(model.first_byte_id + b) for b in range(256)])
+
+    def spelled(run: Column) -> Column:
+        codes = F.transform(F.regexp_extract_all(F.hex(F.encode(run, "UTF-8")), F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int"))
+        return F.array_join(F.transform(codes, lambda b: F.element_at(byte_symbols_of, b + 1)), "")
+
+    if not model.alphabet:
+        return F.array_join(F.transform(runs, spelled), "")
+    inside = lambda run: run.rlike(f"^[{_char_class(model.alphabet)}]")
+    return F.array_join(F.transform(runs, lambda run: F.when(inside(run), F.translate(run, model.alphabet, dst)).otherwise(spelled(run))), "")
+
+
 def char_symbols(text, model: Model) -> Column:
     """Char-model encoding with optional BOS/EOS."""
     s = fold(char_base_symbols(text, model), model)

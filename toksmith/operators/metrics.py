@@ -139,3 +139,34 @@ def mutual_information(enc: DataFrame) -> DataFrame:
         r6(lt - F.col("s_a") / F.col("T")).alias("left_entropy"),
         r6((F.col("s_a") - F.col("s_ab")) / F.col("T")).alias("cond_entropy"),
     )
+
+
+def perplexity_by_model(logprobs: DataFrame) -> DataFrame:
+    """Q12: ``(model, doc_id, pos, piece BINARY, logprob)`` -> perplexity, bits per character and per byte of each model.
+    Characters are counted where their first byte is, so pieces may cut them.  One partial aggregate a model."""
+    first_bytes = F.length(F.regexp_replace(F.decode("piece", "ISO-8859-1"), r"[\x{80}-\x{bf}]", ""))
+    g = logprobs.groupBy("model").agg(F.count("logprob").alias("n_tokens"), F.sum("logprob").alias("_lp"),
+                                      F.sum(first_bytes).alias("_chars"), F.sum(F.octet_length("piece")).alias("_bytes"))
+    bits = -F.col("_lp") / F.log(F.lit(2.0))
+    return g.select("model", "n_tokens", r6(F.exp(-F.col("_lp") / F.col("n_tokens"))).alias("perplexity"),
+                    r6(bits / F.col("_chars")).alias("bits_per_char"), r6(bits / F.col("_bytes")).alias("bits_per_byte"))
+
+
+def number_spans(chunks: DataFrame, model) -> DataFrame:
+    """Q16: ``(number, n_chunks, n_tokens, pieces, n_occurrences)`` of the whole numbers that stand in several adjacent digit chunks.
+
+    Gaps and islands: consecutive positions minus their row number are constant within a run of digit chunks.  ``pieces``
+    are each chunk's token IDs, chunks separated by ``|``."""
+    from toksmith.functions.symbols import byte_symbols, symbols_ids
+    from toksmith.operators.encode import fold
+
+    digits = chunks.where(F.col("chunk").rlike(r"^\p{N}+$"))
+    run = F.col("chunk_pos") - F.row_number().over(Window.partitionBy("doc_id").orderBy("chunk_pos"))
+    ids = symbols_ids(fold(byte_symbols("chunk"), model))
+    part = F.struct("chunk_pos", "chunk", ids.alias("ids"))
+    runs = digits.withColumn("run", run).groupBy("doc_id", "run").agg(F.array_sort(F.collect_list(part)).alias("parts")).where(F.size("parts") > 1)
+    numbers = runs.select(
+        F.array_join(F.transform("parts", lambda p: p["chunk"]), "").alias("number"), F.size("parts").cast("bigint").alias("n_chunks"),
+        F.aggregate("parts", F.lit(0), lambda n, p: n + F.size(p["ids"])).cast("bigint").alias("n_tokens"),
+        F.array_join(F.transform("parts", lambda p: F.array_join(p["ids"], " ")), "|").alias("pieces"))
+    return numbers.groupBy("number", "n_chunks", "n_tokens", "pieces").agg(F.count(F.lit(1)).alias("n_occurrences"))

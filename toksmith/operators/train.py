@@ -332,6 +332,38 @@ def train_regex(
     return Model("regex", merges, pattern=patterns.resolve(pattern)), final
 
 
+def balance_weights(sizes: DataFrame) -> DataFrame:
+    """``(_group, k)`` chunk counts -> ``(_group, weight)``: weights in thousandths that give every group the same share."""
+    from pyspark.sql import Window
+
+    everyone = Window.partitionBy()  # one row a group
+    share = F.round(F.lit(1000.0) * F.sum("k").over(everyone) / F.count(F.lit(1)).over(everyone) / F.col("k"))
+    return sizes.select("_group", F.greatest(F.lit(1), share).cast("long").alias("weight"))
+
+
+def train_balanced(
+    docs: DataFrame, vocab_size: int, group: str, weights: DataFrame | None = None, pattern: str | None = "gpt4", text_col: str = "text",
+    id_col: str = "doc_id", **kw,
+) -> tuple[Model, DataFrame]:
+    """:func:`train_regex` on weighted chunk counts (T6): an occurrence counts as its group's weight, in thousandths (whole numbers, so
+    counts stay exact and independent of the order of addition), and so do ``freq`` and ``total_tokens``.
+    ``weights(group, weight)`` is a row a group; default: equal shares for all groups.  Rows of a group without weight do not count."""
+    if vocab_size < 256:
+        raise ValueError("vocab_size must be at least 256")
+    pieces = docs.select(F.col(id_col).alias("doc_id"), F.col(group).alias("_group"), F.posexplode(PT.split_column(text_col, pattern)).alias("chunk_pos", "chunk"))
+    # counted by (chunk, group) first: the weights meet the dictionary, not the corpus
+    first = F.min(F.struct("doc_id", "chunk_pos")).alias("first")
+    counted = pieces.groupBy("chunk", "_group").agg(F.count(F.lit(1)).alias("k"), first).persist(StorageLevel.MEMORY_AND_DISK)
+    if weights is None:
+        weights = balance_weights(counted.groupBy("_group").agg(F.sum("k").alias("k")))
+    else:
+        weights = weights.select(F.col(group).alias("_group"), "weight")
+    d = counted.join(weights.withColumnRenamed("_group", "_g"), F.col("_group").eqNullSafe(F.col("_g"))).groupBy("chunk").agg(F.sum(F.col("k") * F.col("weight")).alias("n"), F.min("first").alias("first"))
+    merges, final = train_rounds(d.select("chunk", "n", "first", byte_symbols("chunk").alias("sym")), vocab_size - 256, 256, **kw)
+    counted.unpersist()
+    return Model("regex", merges, pattern=patterns.resolve(pattern)), final
+
+
 def train_basic(
     docs: DataFrame, vocab_size: int, text_col: str = "text", id_col: str = "doc_id", **kw
 ) -> tuple[Model, DataFrame]:

@@ -7,15 +7,14 @@ chunk's edges (``aggregate``) finds the best-scoring path; ties go to the
 larger start.  Characters outside the vocabulary become single-character
 edges with a penalty score.
 
-Training (X5) is hard EM on the chunk dictionary: seed pieces are all
-substrings up to ``max_len`` characters found in at least ``min_share`` as many
-places as there are chunks (plus every single character), E-step = best segmentation of each distinct
+Training (X5) is hard EM on the chunk dictionary: seed pieces are every single
+character and the most frequent longer substrings up to ``max_len`` characters, ``seed_factor`` times
+as many as the vocabulary asked for (a distributed rank cut), E-step = best segmentation of each distinct
 chunk weighted by its count, M-step = log relative frequencies, and pruning
 drops the pieces whose removal costs least:
 ``loss = uses · (logp(piece) − score of its best split without it)``.
 Single characters are never pruned, so training ends at the latest when no
-longer piece is left.  Seed pieces number at most (characters of an average
-chunk) · ``max_len`` / ``min_share``, whatever the corpus size.
+longer piece is left.
 
 Sampling (X7) draws a segmentation from the forward scores with a
 deterministic hash of (key, position, seed) per step.
@@ -28,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toksmith.operators import pretokenize as PT
-from toksmith.session import cut_lineage
+from toksmith.session import cut_lineage, write_once
 
 UNK_PENALTY = 10.0
 
@@ -103,14 +102,41 @@ def segment(words: DataFrame, vocab: DataFrame, max_len: int, col: str = "chunk"
     return r.select(col, "score", pieces.alias("pieces"))
 
 
-def train(docs: DataFrame, vocab_size: int, max_len: int = 8, min_share: float = 2e-4, em_iters: int = 2,
+def seeds(d: DataFrame, k: int, max_len: int) -> DataFrame:
+    """``(piece, f)``: every character of the dictionary ``d(chunk, n)``, and its longer substrings from the most frequent
+    down to the count of the ``k``-th (all that tie with it).
+
+    The rank cut is distributed: substrings are counted by count, and the running number of substrings over those
+    (few) counts gives the least count kept; no list of substrings is ranked in one place."""
+    from pyspark.sql import Window
+
+    cand = _candidates(d, max_len, keep=("n",)).groupBy("piece", "len").agg(F.sum("n").alias("f")).persist(StorageLevel.MEMORY_AND_DISK)
+    by_count = cand.where(F.col("len") > 1).groupBy("f").agg(F.count(F.lit(1)).alias("m"))
+    down = by_count.select("f", (F.sum("m").over(Window.orderBy(F.col("f").desc())) - F.col("m")).alias("above"))
+    least = down.where(F.col("above") < k).agg(F.min("f")).first()[0]
+    kept = write_once(cand.where((F.col("len") == 1) | (F.col("f") >= F.lit(least if least is not None else 0))).select("piece", "f"))
+    cand.unpersist()
+    return kept
+
+
+def log_shares(v: DataFrame) -> DataFrame:
+    """``(piece, f)`` -> ``(piece, logp)``."""
+    total = float(v.agg(F.sum("f")).first()[0] or 1)
+    return v.select("piece", F.log(F.col("f") / F.lit(total)).alias("logp"))
+
+
+def train(docs: DataFrame, vocab_size: int, max_len: int = 8, seed_factor: int = 4, em_iters: int = 2,
           shrink: float = 0.8, pattern: str | None = "gpt4", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Unigram vocabulary ``(piece, logp)`` of at most ``vocab_size`` pieces (plus all characters)."""
+    """Unigram vocabulary ``(piece, logp)`` of ``vocab_size`` pieces, or of all characters where those are more.
+    Training starts from ``seed_factor * vocab_size`` longer substrings, and raises where the corpus has fewer pieces than asked for."""
     d = PT.chunk_dictionary(PT.split_chunks(docs, pattern, text_col, id_col)).select("chunk", "n") \
         .persist(StorageLevel.MEMORY_AND_DISK)
-    least = min_share * (d.agg(F.sum("n")).first()[0] or 0)
-    cand = _candidates(d, max_len, keep=("n",)).groupBy("piece", "len").agg(F.sum("n").alias("f"))
-    v = _normalise(cand.where((F.col("len") == 1) | (F.col("f") >= least)).select("piece", "f"))
+    first = seeds(d, seed_factor * vocab_size, max_len)
+    found = first.count()
+    if found < vocab_size:
+        d.unpersist()
+        raise ValueError(f"the corpus has {found} substrings of up to {max_len} characters, fewer than the {vocab_size} pieces asked for")
+    v = _normalise(first)
     while True:
         for _ in range(em_iters):
             v = _em_step(d, v, max_len)
@@ -138,10 +164,8 @@ def _usage(d: DataFrame, v: DataFrame, max_len: int) -> DataFrame:
 
 def _em_step(d: DataFrame, v: DataFrame, max_len: int) -> DataFrame:
     u = _usage(d, v, max_len)
-    keep = v.join(u, "piece", "left").select("piece", F.coalesce("f", F.lit(0)).alias("f"))
-    keep = keep.where((F.col("f") > 0) | (F.length("piece") == 1)).withColumn(
-        "f", F.greatest(F.col("f").cast("double"), F.lit(0.5)))
-    return _normalise(keep)
+    # unused pieces keep a small share: only pruning takes pieces away, so the size asked for is met
+    return _normalise(v.join(u, "piece", "left").select("piece", F.greatest(F.coalesce("f", F.lit(0)).cast("double"), F.lit(0.5)).alias("f")))
 
 
 def _prune(v: DataFrame, d: DataFrame, max_len: int, target: int) -> DataFrame:
@@ -162,28 +186,26 @@ def _logaddexp(a: Column, b: Column) -> Column:
     return F.when(a.isNull(), b).otherwise(F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b))))
 
 
-def sample(words: DataFrame, vocab: DataFrame, max_len: int, key: Column, seed: int = 0, col: str = "chunk") -> DataFrame:
-    """One segmentation drawn from the lattice with probability ∝ exp(path score):
-    forward sums α, then backward steps choosing the edge into j with
-    probability ∝ exp(α[start] + logp − α[j]), the uniform draw being
-    ``xxhash64(key, j, seed)`` scaled to [0, 1)."""
-    e = _edges(words, vocab, max_len, False, col)
-    g = _by_end(e, col)
-    n = F.length(col)
-    by_end = F.col("B")
-    alpha_expr = F.aggregate(
-        F.sequence(F.lit(1), n), F.array(F.lit(0.0)),
+def forward(words: DataFrame, vocab: DataFrame, max_len: int, col: str = "chunk") -> DataFrame:
+    """``(chunk, B, alpha)`` of distinct chunks: the edges into each position, and the log sum of the scores of all paths to it."""
+    g = _by_end(_edges(words, vocab, max_len, False, col), col)
+    alpha = F.aggregate(
+        F.sequence(F.lit(1), F.length(col)), F.array(F.lit(0.0)),
         lambda acc, j: F.concat(acc, F.array(F.aggregate(
-            _into(by_end, j), F.lit(None).cast("double"),
+            _into(F.col("B"), j), F.lit(None).cast("double"),
             lambda s, x: _logaddexp(s, F.element_at(acc, x["start"] + 1) + x["logp"])))))
+    return g.select(col, "B", alpha.alias("alpha"))  # materialized once per chunk
+
 
-    alpha = F.col("alpha")
+def _drawn(n: Column, uniform) -> Column:
+    """Backward draw over the columns ``B`` and ``alpha``: ``(s, e)`` of the pieces; ``uniform(j)`` is the draw at end ``j``."""
+    by_end, alpha = F.col("B"), F.col("alpha")
 
     def step(acc, _):
         j = acc["j"]
         into = _into(by_end, j)
         probs = F.transform(into, lambda x: F.exp(F.element_at(alpha, x["start"] + 1) + x["logp"] - F.element_at(alpha, j + 1)))
-        u = F.pmod(F.xxhash64(key, j, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        u = uniform(j)
         cum = F.aggregate(probs, F.struct(F.lit(0.0).alias("c"), F.lit(-1).alias("k"), F.lit(0).alias("i")),
                           lambda a, p: F.struct((a["c"] + p).alias("c"),
                                                 F.when((a["k"] < 0) & (a["c"] + p > u), a["i"]).otherwise(a["k"]).alias("k"),
@@ -192,7 +214,43 @@ def sample(words: DataFrame, vocab: DataFrame, max_len: int, key: Column, seed:
         return F.when(j <= 0, acc).otherwise(F.struct(
             pick["start"].alias("j"),
             F.concat(F.array(F.struct(pick["start"].alias("s"), j.alias("e"))), acc["path"]).alias("path")))
-    back = F.aggregate(F.sequence(F.lit(1), n),
-                       F.struct(n.alias("j"), F.array().cast("array<struct<s:int,e:int>>").alias("path")), step)
-    ga = g.select(col, "B", alpha_expr.alias("alpha"))  # forward sums materialized once per chunk
-    return ga.select(col, F.transform(back["path"], lambda p: F.substring(F.col(col), p["s"] + 1, p["e"] - p["s"])).alias("pieces"))
+    return F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("j"), F.array().cast("array<struct<s:int,e:int>>").alias("path")), step)["path"]
+
+
+def sample(words: DataFrame, vocab: DataFrame, max_len: int, key: Column, seed: int = 0, col: str = "chunk") -> DataFrame:
+    """One segmentation of each distinct word, drawn from the lattice with probability ∝ exp(path score):
+    forward sums α, then backward steps choosing the edge into j with
+    probability ∝ exp(α[start] + logp − α[j]), the uniform draw being
+    ``xxhash64(key, j, seed)`` scaled to [0, 1)."""
+    path = _drawn(F.length(col), lambda j: F.pmod(F.xxhash64(key, j, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    return forward(words, vocab, max_len, col).select(
+        col, F.transform(path, lambda p: F.substring(F.col(col), p["s"] + 1, p["e"] - p["s"])).alias("pieces"))
+
+
+# Fixed values of the draw of one occurrence: a small prime field, so that SQL can recompute it.
+DRAW_MOD, DRAW_ID, DRAW_POS, DRAW_STEP, DRAW_MIX = 1000003, 7919, 40503, 9973, 48271
+
+
+def draw_sql(row: str, pos: str, step: str, seed: int) -> str:
+    """SQL of the uniform draw in [0, 1) keyed by (row, position, step, seed)."""
+    x = f"(({row} % {DRAW_MOD} * {DRAW_ID} + {pos} % {DRAW_MOD} * {DRAW_POS} + {step} * {DRAW_STEP} + {seed}) % {DRAW_MOD})"
+    return f"(({x} * {x} % {DRAW_MOD} * {DRAW_MIX} + {x}) % {DRAW_MOD} / CAST({DRAW_MOD} AS DOUBLE))"
+
+
+def sample_occurrences(chunks: DataFrame, vocab: DataFrame, max_len: int, seed: int = 0) -> DataFrame:
+    """``chunks(doc_id, chunk_pos, chunk)`` -> ``(doc_id, pos, chunk, ends)``, a segmentation drawn for every occurrence, so a
+    frequent chunk is cut in different ways in different places.  The forward table is made once per distinct chunk and
+    joined to the occurrences (frequent chunks through a bounded broadcast); draws are keyed by (doc_id, position, step, seed), so a
+    rerun, or a task run again after a lost executor, gives the same rows."""
+    from toksmith.operators.joins import hot_cold_join
+
+    counts = chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    table = write_once(forward(counts.select("chunk"), vocab, max_len))
+    rows = hot_cold_join(chunks.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("chunk_pos").cast("long").alias("pos"), "chunk"), table, "chunk", counts=counts)
+
+    def uniform(j: Column) -> Column:
+        m = F.lit(DRAW_MOD).cast("long")
+        x = (F.pmod("doc_id", m) * DRAW_ID + F.pmod("pos", m) * DRAW_POS + j * DRAW_STEP + seed) % m
+        return (x * x % m * DRAW_MIX + x) % m / F.lit(float(DRAW_MOD))
+
+    return rows.select("doc_id", "pos", "chunk", F.transform(_drawn(F.length("chunk"), uniform), lambda p: p["e"]).alias("ends"))

@@ -89,3 +89,47 @@ def budget(df: DataFrame, group: str, order: str, n_col: str, limit: int, span:
 def truncate(ids, k: int) -> Column:
     """Keep the first ``k`` tokens."""
     return F.slice(F.col(ids) if isinstance(ids, str) else ids, 1, k)
+
+
+def context_rows(enc: DataFrame, context: int, eot_id: int, order_col: str = "doc_id", buckets: int | None = None) -> DataFrame:
+    """The packed contexts themselves, ``(context_id, ids)``: documents in ``order_col`` order, each followed by the
+    end-of-text ID, laid end to end; every context but the last has ``context`` tokens.
+
+    ``enc(order_col, ids)``; rows with null IDs are no documents.  A document is cut at context borders in its own
+    row, so what is shuffled are pieces of at most ``context`` tokens, and a context is put together from those
+    that hold its ``context`` tokens: neither a long document nor a frequent one meets in one task."""
+    from pyspark import StorageLevel
+
+    rows = enc.where(F.col("ids").isNotNull()).select(order_col, F.concat("ids", F.array(F.lit(eot_id))).alias("ids"))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by the quantiles, the windows and the cuts
+    placed = running_offsets(rows.select(order_col, "ids", F.size("ids").cast("long").alias("_len")), order_col, "_len", buckets)
+    first, last = F.floor(F.col("offset") / context), F.floor((F.col("offset") + F.col("_len") - 1) / context)
+    pieces = placed.select("ids", "offset", F.explode(F.sequence(first, last)).alias("context_id"))
+    start = F.greatest(F.col("context_id") * context - F.col("offset"), F.lit(0))  # first token of the document in this context
+    at = F.col("offset") + start - F.col("context_id") * context
+    pieces = pieces.select("context_id", F.struct(at.cast("int").alias("at"), F.slice("ids", (start + 1).cast("int"), (F.lit(context) - at).cast("int")).alias("ids")).alias("piece"))
+    dealt = pieces.repartitionByRange("context_id")
+    return dealt.groupBy("context_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["ids"])).alias("ids"))
+
+
+def utf8_edges(symbols: Column) -> tuple[Column, Column]:
+    """Whether a byte run (one symbol a byte) starts, and whether it ends, inside a UTF-8 character.
+
+    The state carried over the bytes is how many a character still lacks: a run that starts with a continuation byte
+    began with some lacking, and one whose last lead byte is followed by fewer bytes than it announces ends so."""
+    starts = symbols.rlike(r"^[\x{80}-\x{bf}]")
+    ends = symbols.rlike(r"[\x{c2}-\x{df}]\z|[\x{e0}-\x{ef}][\x{80}-\x{bf}]{0,1}\z|[\x{f0}-\x{f4}][\x{80}-\x{bf}]{0,2}\z")
+    # a run of continuation bytes alone may end a character or not; only the bytes before it could tell, so it counts as a start
+    return starts, ends
+
+
+def chunk_rows(enc: DataFrame, model, size: int, overlap: int = 0) -> DataFrame:
+    """Retrieval chunks ``(doc_id, window, start, ids, text, starts_inside, ends_inside)`` of a byte-level model's encoding;
+    the text has U+FFFD where a chunk border cuts a character, and the flags say at which end."""
+    from toksmith.functions.symbols import symbols_bytes, valid_utf8
+    from toksmith.operators.decode import piece_symbols
+
+    w = token_windows(enc, size, overlap).withColumn("_bytes", piece_symbols(F.col("ids"), model))
+    starts, ends = utf8_edges(F.col("_bytes"))
+    return w.select("doc_id", "window", "start", "ids", valid_utf8(symbols_bytes(F.col("_bytes"))).alias("text"),
+                    starts.alias("starts_inside"), ends.alias("ends_inside"))

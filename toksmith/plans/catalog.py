@@ -453,6 +453,7 @@ def decode_char(spark, sf):
 # == special tokens ==================================================================================
 
 from toksmith.operators import specials as SP  # noqa: E402
+from toksmith.operators import vocabulary as VO  # noqa: E402
 from toksmith.operators import windows as WN  # noqa: E402
 
 # Special tokens and IDs used by the reference's tests, plus the chat markers.
@@ -904,13 +905,7 @@ def prune_vocab(spark, sf):
     merges = m.merges_df(spark).select(F.col("new_id").cast("bigint").alias("id"), "left_id", "right_id")
     total = f.agg(F.sum("n")).first()[0] or 0  # one scalar
     rare = merges.join(f, "id", "left").where(F.coalesce(F.col("n"), F.lit(0)) < F.lit(0.01 * total)).select("id")
-    rare_ids = {r["id"] for r in rare.collect()}  # ≤ vocab size
-    dropped = set(rare_ids)
-    for mg in m.merges:  # rank order: parents precede children
-        if mg.left_id in dropped or mg.right_id in dropped:
-            dropped.add(mg.new_id)
-    rows = [(i, i in rare_ids) for i in sorted(dropped)]
-    return spark.createDataFrame(rows, "id BIGINT, rare BOOLEAN")
+    return VO.pruned_ids(merges, rare)
 
 
 # == corpus transforms and other tokenizations ==========================================================
@@ -1364,3 +1359,6 @@ def encode_repeated(spark, sf):
     e = EN.encode(docs, regex_model(spark, sf), strategy="dictionary")
     n = F.coalesce(F.col("n_tokens").cast("bigint"), F.lit(-1).cast("bigint")).alias("n_tokens")  # -1: no text
     return e.select("doc_id", n, F.when(F.col("ids").isNotNull(), _ids_str()).alias("ids"))
+
+
+from toksmith.plans import results  # noqa: E402, F401  (registers its queries)
