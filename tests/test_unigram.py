@@ -21,7 +21,7 @@ def test_viterbi_matches_loop(spark):
 def test_unigram_training_and_sampling(spark):
     from support import CORPUS, texts_df
     df = texts_df(spark, [CORPUS])
-    v = UG.train(df, 60, max_len=6)
+    v = UG.train(df, 60, max_len=4, em_iters=1, shrink=0.3)
     rows = v.collect()
     singles = {r.piece for r in rows if len(r.piece) == 1}
     assert set(CORPUS) <= singles  # every character survives pruning
@@ -35,5 +35,5 @@ def test_unigram_training_and_sampling(spark):
 
 def test_training_ends_with_more_characters_than_pieces(spark):
     from support import texts_df
-    v = UG.train(texts_df(spark, ["abcdefghijklmnopq abc abd qq"]), 5, max_len=4)  # more characters than pieces asked for
+    v = UG.train(texts_df(spark, ["abcdefghijklmnopq abc abd qq"]), 5, max_len=3, em_iters=1, shrink=0.2)  # more characters than pieces asked for
     assert {len(r.piece) for r in v.collect()} == {1} and v.count() == 18

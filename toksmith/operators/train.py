@@ -214,7 +214,8 @@ class Rounds:
             rows = rows.withColumn("key", _first_held(F.col("cur"), accepted))
             rows = rows.where(F.col("key").isin(pairs) & (F.col("pair").isNull() | (F.col("pair") == F.col("key"))))
             held = rows if held is None else held.unionByName(rows)
-        touched = self.scratch.write(held.select("pos", "n", F.col("cur").alias("old"), _replaced(F.col("cur"), accepted).alias("new")))
+        # written to the checkpoint folder after its first use: later rounds read it, and no plan grows with the rounds
+        touched = held.select("pos", "n", F.col("cur").alias("old"), _replaced(F.col("cur"), accepted).alias("new")).checkpoint(eager=False)
         self.made.append(Made(touched, len(self.merges), len(self.merges) + len(accepted)))
         shrink = touched.selectExpr(f"'{TOTAL}' AS pair", "n * (length(new) - length(old)) AS n")
         change = _occurrences(touched, "old", -1, "was").unionByName(_occurrences(touched, "new", 1, "now"), allowMissingColumns=True)
