@@ -21,6 +21,7 @@ from toksmith.operators import pairs as P
 from toksmith.operators import pretokenize as PT
 from toksmith.operators import train as TR
 from toksmith.plans import oracle as O
+from toksmith.session import write_once
 from toksmith.sources import corpus
 
 REGEX_VOCAB = 300  # 44 merges, the size used by the reference's tests
@@ -1121,12 +1122,13 @@ def wordpiece_train(spark, sf):
 def wordpiece_encode(spark, sf):
     """documents' words encoded greedily longest-match-first with the WordPiece vocabulary; [UNK] rate."""
     m = wordpiece_model(spark, sf)
-    w = WPC.words(_docs(spark, sf).select("doc_id", "text", "lang").withColumnRenamed("lang", "_lang"))
-    occ = _docs(spark, sf).select("doc_id", "lang").join(w, "doc_id")
-    enc = WPC.encode_words(occ, m)
-    j = occ.join(enc, "word")
-    return j.groupBy("lang").agg(F.count(F.lit(1)).alias("n_words"), F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
-                                 F.sum((F.col("ids") == F.array(F.lit(0))).cast("int")).cast("bigint").alias("n_unk"))
+    # words are counted by language before they meet their encoding: a row per (language, word), whatever a word's frequency
+    occ = _docs(spark, sf).select("lang", F.explode(F.regexp_extract_all("text", F.lit(WPC.WORD_PATTERN), 0)).alias("word"))
+    counts = write_once(occ.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
+    enc = WPC.encode_words(counts.select("word"), m)
+    return counts.join(enc, "word").groupBy("lang").agg(
+        F.sum("n").cast("bigint").alias("n_words"), F.sum(F.col("n") * F.size("ids")).cast("bigint").alias("n_tokens"),
+        F.sum(F.when(F.col("ids") == F.array(F.lit(0)), F.col("n")).otherwise(0)).cast("bigint").alias("n_unk"))
 
 
 # == subword regularization, vocabulary transfer, relational forms ==========================================
@@ -1277,13 +1279,10 @@ def _doc_chunks(spark, sf):
 def unigram_viterbi(spark, sf):
     """Best unigram segmentation of every distinct document chunk, joined back; tokens by language."""
     v = unigram_vocab(spark, sf)
-    ch = _doc_chunks(spark, sf)
-    from pyspark import StorageLevel
-    counts = PT.chunk_dictionary(ch).select("chunk", "n").persist(StorageLevel.MEMORY_AND_DISK)
-    seg = UG.segment(counts.select("chunk"), v, UNIGRAM_MAXLEN).select("chunk", F.size("pieces").alias("k"))
-    from toksmith.operators.joins import hot_cold_join
-    j = hot_cold_join(ch, seg, "chunk", counts=counts).join(_docs(spark, sf).select("doc_id", "lang"), "doc_id")
-    return j.groupBy("lang").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("k").cast("bigint").alias("n_tokens"))
+    occ = _docs(spark, sf).select("lang", F.explode(PT.split_column("text")).alias("chunk"))
+    counts = write_once(occ.groupBy("lang", "chunk").agg(F.count(F.lit(1)).alias("n")))  # a row per (language, chunk)
+    seg = UG.segment(counts.select("chunk").distinct(), v, UNIGRAM_MAXLEN).select("chunk", F.size("pieces").alias("k"))
+    return counts.join(seg, "chunk").groupBy("lang").agg(F.sum("n").cast("bigint").alias("n_chunks"), F.sum(F.col("n") * F.col("k")).cast("bigint").alias("n_tokens"))
 
 
 @query("unigram_sample")
