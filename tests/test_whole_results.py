@@ -174,3 +174,12 @@ def test_numbers_over_chunks_and_logprob_tables(spark):
     r = {x.model: x for x in MX.perplexity_by_model(lp).collect()}
     assert r["m"].n_tokens == 3 and abs(r["m"].bits_per_char - 5 / 3) < 1e-6 and abs(r["m"].bits_per_byte - 5 / 4) < 1e-6 and abs(r["m"].perplexity - 2 ** (5 / 3)) < 1e-5
     assert abs(r["n"].perplexity - math.e) < 1e-5
+
+
+def test_lookups_take_the_largest_id(spark):
+    m = byte_model((97, 98), (98, 99), (256, 99), (97, 257))  # 258 and 259 both spell abc
+    rows = spark.createDataFrame([("abc", 1), ("a", 2), ("zz", 3), (None, 4), ("abc", 5)], "token string, k int")
+    got = {r.k: r.id for r in VO.token_to_id(rows, m).collect()}
+    assert got == {1: 259, 2: 97, 3: None, 4: None, 5: 259}
+    ids = spark.createDataFrame([(258,), (259,), (9999,), (None,)], "id int")
+    assert sorted((str(r.id), r.piece and bytes(r.piece)) for r in VO.id_to_token(ids, m).collect()) == [("258", b"abc"), ("259", b"abc"), ("9999", None), ("None", None)]

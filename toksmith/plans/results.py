@@ -63,6 +63,18 @@ def healing_list(spark, sf):
         "item_id", F.col("last_id").cast("bigint"), F.col("extension_id").cast("bigint"), "extension_hex")
 
 
+@C.query("piece_lookup", "WITH RECURSIVE " + C._VOCAB_SQL + """,
+ dc AS (SELECT chunk, count(*) AS n FROM chunks GROUP BY chunk),
+ best AS (SELECT piece_hex, max(id) AS id FROM vocab GROUP BY piece_hex)
+ SELECT chunk, n::BIGINT AS n, best.id, best.piece_hex FROM dc JOIN best ON best.piece_hex = hex(encode(chunk))""")
+def piece_lookup(spark, sf):
+    """The document chunks that are pieces of the vocabulary, with their ID, and the ID's piece looked up again."""
+    m = C.regex_model(spark, sf)
+    d = PT.chunk_dictionary(PT.split_chunks(C._docs(spark, sf))).select("chunk", "n")
+    found = VO.token_to_id(d, m, "chunk").where(F.col("id").isNotNull())
+    return VO.id_to_token(found, m).select("chunk", "n", F.col("id").cast("bigint"), F.hex("piece").alias("piece_hex"))
+
+
 GRAMS = 20
 _EXPAND = C._ENC + ",\n" + C._VOCAB_SQL.replace(C._REGEX + ",\n", "") + f""",
  gr AS (SELECT substr(S, i, k) AS gram FROM enc, LATERAL (SELECT unnest(range(1, length(S))) AS i) p, LATERAL (SELECT unnest([2, 3, 4]) AS k) q WHERE i + k - 1 <= length(S)),
