@@ -4,8 +4,8 @@ The text is normalised as the model does (spaces become U+2581, one in front) an
 falls into *words* at places that no piece spans: before a run of U+2581 and around
 line feeds.  Each distinct word is encoded once:
 
-* its substrings of bounded length are exploded and equi-joined to the piece
-  table (broadcast; bounded by the vocabulary, at most ``MAX_PIECES``),
+* its substrings of bounded length are exploded (from each start, the lengths that pieces with the same first
+  characters have) and equi-joined to the piece table (broadcast; bounded by the vocabulary, at most ``MAX_PIECES``),
 * the edges found are grouped by word, and
 * Viterbi is a higher-order ``aggregate`` over them in order of their end.
 
@@ -38,17 +38,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from toksmith.session import cut_lineage
-
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN = 10.0
 MAX_PIECES = (1 << 20) - 1
 _ID = (1 << 20) - 1
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 2 << 20  # of text for each bucket of words; a bucket's edges are sorted in memory
 NAME = 40  # characters of a word that may name it
 SEGMENT = 256  # characters of a word whose substrings one row makes; pointers of a chunk
+SLOTS = 1 << 16  # of the table of piece lengths by first characters
+_MASK_BITS = 62
+_MAX_LEN = (1 << 11) - 1  # of a piece in characters
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 
 
@@ -96,12 +97,39 @@ def split(text: str) -> list[str]:
     return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def _lengths(model: Pieces) -> Column:
+    """A constant: by the slot of three characters, the lengths of the pieces that start with them, as a
+    bit mask (its last bit: all greater lengths too).  One and two characters are always looked up; slots
+    that characters share only add candidates."""
+    masks = [0b110] * SLOTS
+    for p, _, _ in model.pieces:
+        if len(p) > 2:
+            masks[zlib.crc32(p[:3].encode()) % SLOTS] |= 1 << min(len(p), _MASK_BITS)
+    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
+
+
+def _scores(model: Pieces) -> Column:
+    """A constant: the score by id + 1; 0 stands for an unknown character."""
+    scores = [model.unknown_score] + [0.0] * len(model.by_id)
+    for _, i, score in model.pieces:
+        scores[i + 1] = score
+    return F.split(F.lit(",".join(map(repr, scores))), ",").cast("array<double>")
+
+
+def _end(edge: Column) -> Column:
+    return F.shiftright(edge, 32).cast("int")
+
+
 def lattice(words: DataFrame, model: Pieces, spark: SparkSession) -> DataFrame:
-    """``(bucket, word)`` -> ``(bucket, word, edges)``: per edge its end, minus its length, its score and
-    pointer (length and id + 1 in one number; no id: unknown character), sorted.  In the result a long word is named by its :func:`short_name`,
-    so that its edges do not each carry it."""
+    """``(bucket, word)`` -> ``(bucket, word, edges)``: the edges sorted by end, longer ones first.  An edge is one
+    number: its end (31 bits), ``_MAX_LEN`` minus its length (12), and its id + 1 (20; 0: unknown character).
+    A substring is made only if its length is that of some piece with the same first three characters.  In
+    the result a long word is named by its :func:`short_name`, so that its edges do not each carry it."""
     longest = model.longest
-    table = spark.createDataFrame(model.pieces, "piece string, id int, score double")
+    if longest > _MAX_LEN:
+        raise ValueError("a piece is too long to pack")
+    table = spark.createDataFrame([(p, i) for p, i, _ in model.pieces], "piece string, id int")
+    masks = _lengths(model)
     n = F.length("word")
     segment = lambda k: F.struct((k * SEGMENT).alias("base"), F.substring("word", k * SEGMENT + 1, F.lit(SEGMENT + longest - 1)).alias("seg"))
     name = F.when(n > NAME, F.concat(F.lit("\n"), F.md5("word"))).otherwise(F.col("word")).alias("name")
@@ -109,13 +137,15 @@ def lattice(words: DataFrame, model: Pieces, spark: SparkSession) -> DataFrame:
     m = F.length("seg")
 
     def from_start(s: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), m - s)), lambda k: F.struct(
-            (F.col("base") + s + k).alias("end"), k.alias("len"), F.substring(F.col("seg"), s + 1, k).alias("sub")))
+        mask = F.get(masks, F.crc32(F.substring(F.col("seg"), s + 1, F.lit(3)).cast("binary")).bitwiseAND(SLOTS - 1).cast("int"))
+        fits = F.filter(F.sequence(F.lit(1), F.least(F.lit(longest), m - s)), lambda k: F.bit_get(mask, F.least(k, F.lit(_MASK_BITS))) == 1)
+        return F.transform(fits, lambda k: F.struct(
+            (F.shiftleft((F.col("base") + s + k).cast("long"), 32) + F.shiftleft((F.lit(_MAX_LEN) - k).cast("long"), 20)).alias("key"),
+            (k == 1).alias("one"), F.substring(F.col("seg"), s + 1, k).alias("sub")))
 
     subs = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.least(m, F.lit(SEGMENT)) - 1), from_start)))
-    found = parts.select("bucket", "name", subs.alias("e")).join(F.broadcast(table), F.col("e.sub") == F.col("piece"), "left").where("piece is not null or e.len = 1")
-    pointer = F.shiftleft(F.col("e.len"), 20) + F.coalesce("id", F.lit(-1)) + 1
-    edge = F.struct(F.col("e.end").alias("end"), (-F.col("e.len")).alias("back"), F.coalesce("score", F.lit(model.unknown_score)).alias("score"), pointer.alias("ptr"))
+    found = parts.select("bucket", "name", subs.alias("e")).join(F.broadcast(table), F.col("e.sub") == F.col("piece"), "left").where("piece is not null or e.one")
+    edge = F.col("e.key") + F.coalesce(F.col("id") + 1, F.lit(0))
     return found.groupBy("bucket", F.col("name").alias("word")).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
@@ -126,27 +156,30 @@ def short_name(word: str) -> str:
 def _chunks(edges: Column) -> Column:
     """The edges in stretches of ``SEGMENT`` end positions; most words are one."""
     step = F.aggregate(edges, F.struct(F.lit(0).alias("i"), F.array().cast("array<int>").alias("cuts")), lambda a, e: F.struct(
-        (a["i"] + 1).alias("i"), F.when(F.floor((e["end"] - 1) / SEGMENT) < F.size(a["cuts"]), a["cuts"]).otherwise(F.concat(a["cuts"], F.array(a["i"]))).alias("cuts")))
+        (a["i"] + 1).alias("i"), F.when(F.floor((_end(e) - 1) / SEGMENT) < F.size(a["cuts"]), a["cuts"]).otherwise(F.concat(a["cuts"], F.array(a["i"]))).alias("cuts")))
     cuts = F.concat(step["cuts"], F.array(F.size(edges)))
     # bound to a name by an array of one, so that the cuts are not found anew for each chunk
     many = F.transform(F.array(cuts), lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 2), lambda k: F.slice(edges, F.get(c, k) + 1, F.get(c, k + 1) - F.get(c, k))))[0]
-    return F.when(F.element_at(edges, -1)["end"] <= SEGMENT, F.array(edges)).otherwise(many)
+    return F.when(_end(F.element_at(edges, -1)) <= SEGMENT, F.array(edges)).otherwise(many)
 
 
-def viterbi(edges: Column, longest: int) -> Column:
-    """``array<int>``, by end position: the last piece of the best path to each place, packed as in
-    the edges.  ``aggregate`` copies its state at every step, so it is kept flat, an inner
+def viterbi(edges: Column, model: Pieces) -> Column:
+    """``array<int>``, by end position: the last piece of the best path to each place (length, and id + 1 in
+    the lower 20 bits).  ``aggregate`` copies its state at every step, so it is kept flat, an inner
     fold over a chunk holds the chunk's pointers and scores (and the last ``longest`` before it),
     and an outer one collects the chunks."""
+    scores, longest = _scores(model), model.longest
 
     def step(a: Column, e: Column) -> Column:
-        same = e["end"] == a["end"]
+        end, id1 = _end(e), e.bitwiseAND(_ID).cast("int")
+        length = F.lit(_MAX_LEN) - F.shiftright(e, 20).bitwiseAND(_MAX_LEN).cast("int")
+        same = end == a["end"]
         # the place before is not in the list yet: it is the current best
-        before = F.when(same | (e["back"] < -1), F.get(a["scores"], e["end"] + e["back"] - a["base"])).otherwise(a["score"])
-        total = before + e["score"]
+        before = F.when(same | (length > 1), F.get(a["scores"], end - length - a["base"])).otherwise(a["score"])
+        total = before + F.get(scores, id1)
         return F.struct(
-            a["base"].alias("base"), e["end"].alias("end"), F.greatest(F.when(same, a["score"]), total).alias("score"),
-            F.when(same & (total <= a["score"]), a["ptr"]).otherwise(e["ptr"]).alias("ptr"),
+            a["base"].alias("base"), end.alias("end"), F.greatest(F.when(same, a["score"]), total).alias("score"),
+            F.when(same & (total <= a["score"]), a["ptr"]).otherwise(F.shiftleft(length, 20) + id1).alias("ptr"),
             F.when(same, a["scores"]).otherwise(F.concat(a["scores"], F.array(a["score"]))).alias("scores"),
             F.when(same, a["ptrs"]).otherwise(F.concat(a["ptrs"], F.array(a["ptr"]))).alias("ptrs"))
 
@@ -260,10 +293,13 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text") -> DataFrame:
     buckets = max(slots, int(-(-total // BUCKET_BYTES)))
     block = F.pmod(F.xxhash64("row", "text"), F.lit(n_blocks)).alias("block")
     dealt = rows.select("row", "text", block).repartition(max(slots, int(n_blocks)), "block")
-    sent = cut_lineage(dealt.groupBy("block").applyInArrow(_send(buckets), "bucket long, block long, words string"))
+    sent = dealt.groupBy("block").applyInArrow(_send(buckets), "bucket long, block long, words string")
     by_bucket = sent.repartition(buckets, "bucket")
-    words = by_bucket.select("bucket", F.explode(F.split("words", "\n")).alias("word")).groupBy("bucket", "word").agg(F.lit(1).alias("_")).select("bucket", "word")
-    known = lattice(words, model, spark).select(F.col("bucket").alias("to"), "word", viterbi(F.col("edges"), model.longest).alias("best"))
+    # the words are taken by way of their block: with the same columns both branches read one exchange, and so
+    # the documents are shuffled once for the two cogroups
+    own = F.when(F.col("block") >= 0, F.col("words"))
+    words = by_bucket.select("bucket", F.explode(F.split(own, "\n")).alias("word")).groupBy("bucket", "word").agg(F.lit(1).alias("_")).select("bucket", "word")
+    known = lattice(words, model, spark).select(F.col("bucket").alias("to"), "word", viterbi(F.col("edges"), model).alias("best"))
     answer = by_bucket.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(_answer(model.byte_ids), "block long, bucket long, sizes binary, ids binary")
     newline = np.array([model.byte_ids[10]], np.int32).tobytes()
     shape = T.StructType([rows.schema["row"], T.StructField("text", rows.schema["text"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
