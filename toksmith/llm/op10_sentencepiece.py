@@ -28,6 +28,7 @@ own; an empty table gives an empty result; U+2581 in a text decodes to a space.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from dataclasses import dataclass
@@ -48,7 +49,6 @@ BUCKET_BYTES = 2 << 20  # of text for each bucket of words; a bucket's edges are
 NAME = 40  # characters of a word that may name it
 SEGMENT = 256  # characters of a word whose substrings one row makes; pointers of a chunk
 SLOTS = 1 << 16  # of the table of piece lengths by first characters
-_MASK_BITS = 62
 _MAX_LEN = (1 << 11) - 1  # of a piece in characters
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 
@@ -98,14 +98,13 @@ def split(text: str) -> list[str]:
 
 
 def _lengths(model: Pieces) -> Column:
-    """A constant: by the slot of three characters, the lengths of the pieces that start with them, as a
-    bit mask (its last bit: all greater lengths too).  One and two characters are always looked up; slots
-    that characters share only add candidates."""
-    masks = [0b110] * SLOTS
+    """A constant: by the slot of three characters, the lengths of the pieces that start with them.  One
+    and two characters are always looked up; slots that characters share only add candidates."""
+    lengths = [{1, 2} for _ in range(SLOTS)]
     for p, _, _ in model.pieces:
         if len(p) > 2:
-            masks[zlib.crc32(p[:3].encode()) % SLOTS] |= 1 << min(len(p), _MASK_BITS)
-    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
+            lengths[zlib.crc32(p[:3].encode()) % SLOTS].add(len(p))
+    return F.from_json(F.lit(json.dumps([sorted(x) for x in lengths])), "array<array<int>>")
 
 
 def _scores(model: Pieces) -> Column:
@@ -129,23 +128,18 @@ def lattice(words: DataFrame, model: Pieces, spark: SparkSession) -> DataFrame:
     if longest > _MAX_LEN:
         raise ValueError("a piece is too long to pack")
     table = spark.createDataFrame([(p, i) for p, i, _ in model.pieces], "piece string, id int")
-    masks = _lengths(model)
+    lengths = _lengths(model)
     n = F.length("word")
     segment = lambda k: F.struct((k * SEGMENT).alias("base"), F.substring("word", k * SEGMENT + 1, F.lit(SEGMENT + longest - 1)).alias("seg"))
     name = F.when(n > NAME, F.concat(F.lit("\n"), F.md5("word"))).otherwise(F.col("word")).alias("name")
     parts = words.select("bucket", name, F.explode(F.transform(F.sequence(F.lit(0), F.floor((n - 1) / SEGMENT).cast("int")), segment)).alias("x")).select("bucket", "name", "x.*")
-    m = F.length("seg")
-
-    def from_start(s: Column) -> Column:
-        mask = F.get(masks, F.crc32(F.substring(F.col("seg"), s + 1, F.lit(3)).cast("binary")).bitwiseAND(SLOTS - 1).cast("int"))
-        fits = F.filter(F.sequence(F.lit(1), F.least(F.lit(longest), m - s)), lambda k: F.bit_get(mask, F.least(k, F.lit(_MASK_BITS))) == 1)
-        return F.transform(fits, lambda k: F.struct(
-            (F.shiftleft((F.col("base") + s + k).cast("long"), 32) + F.shiftleft((F.lit(_MAX_LEN) - k).cast("long"), 20)).alias("key"),
-            (k == 1).alias("one"), F.substring(F.col("seg"), s + 1, k).alias("sub")))
-
-    subs = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.least(m, F.lit(SEGMENT)) - 1), from_start)))
-    found = parts.select("bucket", "name", subs.alias("e")).join(F.broadcast(table), F.col("e.sub") == F.col("piece"), "left").where("piece is not null or e.one")
-    edge = F.col("e.key") + F.coalesce(F.col("id") + 1, F.lit(0))
+    starts = parts.select("*", F.explode(F.sequence(F.lit(0), F.least(F.length("seg"), F.lit(SEGMENT)) - 1)).alias("s"))
+    slot = F.crc32(F.substring("seg", F.col("s") + 1, F.lit(3)).cast("binary")).bitwiseAND(SLOTS - 1).cast("int")
+    fits = starts.select("*", F.explode(F.get(lengths, slot)).alias("k")).where(F.col("s") + F.col("k") <= F.length("seg"))
+    key = F.shiftleft((F.col("base") + F.col("s") + F.col("k")).cast("long"), 32) + F.shiftleft((F.lit(_MAX_LEN) - F.col("k")).cast("long"), 20)
+    subs = fits.select("bucket", "name", "k", key.alias("key"), F.substring("seg", F.col("s") + 1, F.col("k")).alias("sub"))
+    found = subs.join(F.broadcast(table), F.col("sub") == F.col("piece"), "left").where("piece is not null or k = 1")
+    edge = F.col("key") + F.coalesce(F.col("id") + 1, F.lit(0))
     return found.groupBy("bucket", F.col("name").alias("word")).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
