@@ -44,7 +44,7 @@ SPACE = "▁"
 UNKNOWN = 10.0
 MAX_PIECES = (1 << 20) - 1
 _ID = (1 << 20) - 1
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 2 << 20  # of text for each bucket of words; a bucket's edges are sorted in memory
 NAME = 40  # characters of a word that may name it
 SEGMENT = 256  # characters of a word whose substrings one row makes; pointers of a chunk
@@ -227,9 +227,13 @@ def _send(buckets: int):
     return run
 
 
-def _answer(byte_ids: list[int]):
+def _id_type(mark: int) -> type:
+    return np.uint16 if mark < 1 << 16 else np.int32
+
+
+def _answer(byte_ids: list[int], mark: int):
     def run(sent: pa.Table, known: pa.Table) -> pa.Table:
-        """To each block the ids of its words, in the order in which it sent them."""
+        """To each block the ids of its words, in the order in which it sent them, each word's ended by ``mark``."""
         back = known.column("best").combine_chunks()
         if isinstance(back, pa.ChunkedArray):
             back = pa.concat_arrays(back.chunks)
@@ -243,25 +247,24 @@ def _answer(byte_ids: list[int]):
             for w in own:
                 if w not in table:
                     k = place[short_name(w)]
-                    table[w] = np.array(_trace(w, pointers[at[k]:at[k + 1]].tolist(), byte_ids), np.int32).tobytes()
-            got = [table[w] for w in own]
-            out.append((np.array([len(x) // 4 for x in got], np.int32).tobytes(), b"".join(got)))
+                    table[w] = np.array([*_trace(w, pointers[at[k]:at[k + 1]].tolist(), byte_ids), mark], _id_type(mark)).tobytes()
+            out.append(b"".join([table[w] for w in own]))
         return pa.table({"block": sent.column("block").cast(pa.int64()), "bucket": sent.column("bucket").cast(pa.int64()),
-                         "sizes": pa.array([o[0] for o in out], pa.binary()), "ids": pa.array([o[1] for o in out], pa.binary())})
+                         "ids": pa.array(out, pa.binary())})
 
     return run
 
 
-def _write(buckets: int, newline: bytes):
+def _write(buckets: int, newline: bytes, mark: int):
     def run(docs: pa.Table, answer: pa.Table) -> pa.Table:
         own = _bucket_words(docs, buckets)
         table = {"\n": newline}
-        for bucket, sizes, raw in zip(*(answer.column(c).to_pylist() for c in ("bucket", "sizes", "ids")), strict=True):
-            ends = np.cumsum(np.frombuffer(sizes, np.int32)) * 4
-            begin = 0
-            for w, end in zip(own[bucket], ends.tolist(), strict=True):
+        for bucket, sent in zip(*(answer.column(c).to_pylist() for c in ("bucket", "ids")), strict=True):
+            ids = np.frombuffer(sent, _id_type(mark)).astype(np.int32)
+            raw, begin = ids.tobytes(), 0
+            for w, end in zip(own[bucket], (np.flatnonzero(ids == mark) * 4).tolist(), strict=True):
                 table[w] = raw[begin:end]
-                begin = end
+                begin = end + 4
         out = []
         for batch in docs.to_batches():
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
@@ -294,10 +297,11 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text") -> DataFrame:
     own = F.when(F.col("block") >= 0, F.col("words"))
     words = by_bucket.select("bucket", F.explode(F.split(own, "\n")).alias("word")).groupBy("bucket", "word").agg(F.lit(1).alias("_")).select("bucket", "word")
     known = lattice(words, model, spark).select(F.col("bucket").alias("to"), "word", viterbi(F.col("edges"), model).alias("best"))
-    answer = by_bucket.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(_answer(model.byte_ids), "block long, bucket long, sizes binary, ids binary")
+    mark = len(model.by_id)
+    answer = by_bucket.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(_answer(model.byte_ids, mark), "block long, bucket long, ids binary")
     newline = np.array([model.byte_ids[10]], np.int32).tobytes()
     shape = T.StructType([rows.schema["row"], T.StructField("text", rows.schema["text"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    out = dealt.groupBy("block").cogroup(answer.groupBy("block")).applyInArrow(_write(buckets, newline), shape)
+    out = dealt.groupBy("block").cogroup(answer.groupBy("block")).applyInArrow(_write(buckets, newline, mark), shape)
     size = F.when(F.col("ids").isNotNull(), F.size("ids").cast("long")).alias("n_tokens")
     return out.select(*((F.col("text") if c == text else F.col("row").getField(c)).alias(c) for c in kept), "ids", size)
 
