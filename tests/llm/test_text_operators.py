@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+import zlib
 
 import brute
 import pyarrow as pa
@@ -183,6 +184,10 @@ def test_language_id_cases(make):
     both = [("a", b"same same same"), ("b", b"same same same")]
     assert [r["accepted"] for r in op1.predict(make(["abcdef ghijkl " * 20]), both).collect()] == [False]  # no margin at all
     assert op1.predict(make([]), model).count() == 0
+    signs = op1.predict(make(["²", "½ ①", "Ⅷ ٣"]), model).collect()  # numerals are no letters
+    assert {(r["lang_pred"], r["score"], r["accepted"]) for r in signs} == {("und", 0.0, False)}
+    held = make(["a", "a", "b"], ids=[None, None, 3]).select("doc_id", op1.held_out().alias("h")).collect()
+    assert [r["h"] for r in held] == [True, True, zlib.crc32(b"3") % 5 == 0]  # null ids: as the empty text
 
 
 def test_sentencepiece_paths_and_round_trip(spark, make, sf):

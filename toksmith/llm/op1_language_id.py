@@ -15,17 +15,17 @@ more training rows, then to the smaller name.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
 is rejected; null languages are not learned; without any labelled row every
-text is ``und``; null ids hash like other values; each input row, repeated
+text is ``und``; null ids hash as the empty text, which holds them out; each input row, repeated
 ones included, gives one output row; an empty table gives an empty result;
 other columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ MIN_MARGIN = 0.002
 MIN_EVIDENCE = 100
 UND = "und"
 
-_OTHER = re.compile(r"[\W\d_]+")
+_OTHER = regex.compile(r"\P{L}+")  # signs such as ² or ½ are no letters
 
 
 def _letters(text: str) -> str:
@@ -50,7 +50,8 @@ def _letters(text: str) -> str:
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+    """A null id counts as the empty text, so its rows are held out."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
 def _excerpt(text: str) -> bytes:
