@@ -162,3 +162,12 @@ def test_hot_cold_join_equals_plain_join_with_a_hot_key(spark):
         got = sorted(tuple(r) for r in hot_cold_join(probe, build, "chunk", min_share=0.2, counts=c).select("doc_id", "chunk", "v").collect())
         want = sorted(tuple(r) for r in probe.join(build, "chunk").select("doc_id", "chunk", "v").collect())
         assert got == want
+
+
+def test_hot_keys_are_few_on_small_probes(spark):
+    """Below ``1 / min_share`` rows a share is less than a row; a key must still hold a whole one."""
+    from toksmith.operators.joins import hot_keys
+
+    probe = spark.range(15).selectExpr("cast(id as string) as chunk")
+    assert hot_keys(probe, "chunk", min_share=0.1).count() == 0  # 1.5 rows: no key of one row
+    assert hot_keys(probe.unionAll(probe.where("chunk < '2'")), "chunk", min_share=0.1).count() <= 10

@@ -9,6 +9,8 @@ shuffle-joined; no key of the rest holds more than ``min_share`` of the rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def hot_keys(probe: DataFrame, key: str, min_share: float = MIN_SHARE, counts: D
     if counts is None:
         counts = probe.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.where(F.col("n") >= F.lit(max(1, int(total * min_share)))).select(key)
+    return counts.where(F.col("n") >= F.lit(max(1, math.ceil(total * min_share)))).select(key)
 
 
 def hot_cold_join(probe: DataFrame, build: DataFrame, key: str, min_share: float = MIN_SHARE,
