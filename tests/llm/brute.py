@@ -3,8 +3,11 @@
 import collections
 import hashlib
 import re
+import unicodedata
 import zlib
 
+import zstandard
+
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -14,6 +17,23 @@ def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
 
 
+def language(text, model, level, block, margin):
+    """``(language, accepted, score)`` of compression with each language's raw-content dictionary."""
+    plain = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (text or "").lower())
+    raw = " ".join(plain.split(" ")).encode() if plain.strip() else b""
+    raw = re.sub(rb" +", b" ", raw)
+    if not raw:
+        return "und", False, 0.0
+    sizes = []
+    for rank, (name, content) in enumerate(model):
+        known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        coder = zstandard.ZstdCompressor(level=level, dict_data=known, write_content_size=False, write_dict_id=False, write_checksum=False)
+        sizes.append((sum(len(coder.compress(raw[a:a + block])) for a in range(0, len(raw), block)), rank, name))
+    (best, _, name), (second, _, _) = sorted(sizes)[:2]
+    gain = second / best - 1
+    return name, second - best >= margin * best, gain / (gain + 0.05)
+
+
 def shingle_set(text):
     w = SPACE_WORD.findall((text or "").translate(ASCII_LOWER))
     if not w:

@@ -190,6 +190,21 @@ def test_language_id_cases(make):
     assert [r["h"] for r in held] == [True, True, zlib.crc32(b"3") % 5 == 0]  # null ids: as the empty text
 
 
+def test_language_id_equals_a_plain_loop(make):
+    """Predictions, scores and rejections against a loop over plain zstandard compressors; null ids, repeated rows and clashing columns."""
+    content = {"en": "the house and the garden are here and the cat sleeps in the sun ", "de": "das Haus und der Garten sind hier und die Katze liegt in der Sonne "}
+    model = [(name, (x.lower() * 20).encode()) for name, x in content.items()]
+    r = random.Random(8)
+    texts = [" ".join(r.choice((content["en"] + content["de"]).split()) for _ in range(n)) for n in (1, 1, 2, 2, 3, 5, 9, 40, 400, 9000)] * 2 + ["x", "zq", "2", None]
+    docs = make(texts, ids=[None, None, *range(len(texts) - 2)]).withColumnsRenamed({"block": "lang_pred", "shard": "_p"})
+    got = op1.predict(docs, model).collect()
+    assert len(got) == len(texts) and all(x["_p"] == 7 for x in got)
+    want = {t: brute.language(t, model, op1.LEVEL, op1.BLOCK_BYTES, op1.MIN_MARGIN) for t in texts}
+    assert [(x["lang_pred"], x["accepted"]) for x in got] == [want[x["text"]][:2] for x in got]
+    assert all(abs(x["score"] - want[x["text"]][2]) < 1e-12 for x in got)
+    assert {a for _, a, _ in want.values()} == {True, False} and not want["zq"][1]  # short texts are rejected too
+
+
 def test_sentencepiece_paths_and_round_trip(spark, make, sf):
     model = op10.load()
     pieces = {p: (i, s) for p, i, s in model.pieces}

@@ -4,13 +4,12 @@ One zstandard raw-content dictionary per language; a text (lower-cased, runs of
 other characters than letters as one space) is encoded with each of them, block
 by block, so that a dictionary stays in reach of a long text's whole length;
 the dictionary that leaves the fewest bytes names the language.  A narrow
-margin between the best two is a rejection; a text of fewer than
-``MIN_EVIDENCE`` bytes, whose sizes cannot differ by much more than a byte, is
-left to the tie rule instead.
+margin between the best two is a rejection, for texts of every length: a short
+text, whose sizes are a few whole bytes, is rejected when its best two are equal.
 
-The dictionaries come from a bounded sample of labelled rows: per language the
-``SAMPLE_ROWS`` texts of smallest id hash, of each at most ``ROW_BYTES`` bytes
-spread over its length, ``DICT_BYTES`` in all.  Ties go to the language with
+The dictionaries come from a bounded sample of labelled rows, bounded by parameters
+of :func:`learn`: per language the ``sample_rows`` texts of smallest id hash, of each
+at most ``row_bytes`` bytes spread over its length, ``dict_bytes`` in all.  Ties go to the language with
 more training rows, then to the smaller name.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
@@ -39,7 +38,6 @@ BLOCK_BYTES = 16 * 1024
 LEVEL = 5
 #: best and second-best compressed size closer than this share of the best: rejected
 MIN_MARGIN = 0.002
-MIN_EVIDENCE = 100
 UND = "und"
 
 _OTHER = regex.compile(r"\P{L}+")  # signs such as ² or ½ are no letters
@@ -54,35 +52,42 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _excerpt(text: str) -> bytes:
-    """At most ``ROW_BYTES`` bytes of a training text: three stretches across it."""
+def _excerpt(text: str, row_bytes: int = ROW_BYTES) -> bytes:
+    """At most ``row_bytes`` bytes of a training text: three stretches across it."""
     raw = _letters(text).encode()
-    if len(raw) <= ROW_BYTES:
+    if len(raw) <= row_bytes:
         return raw
-    part = ROW_BYTES // 3
+    part = row_bytes // 3
     return b" ".join(raw[a:a + part] for a in (0, (len(raw) - part) // 2, len(raw) - part))
 
 
-def learn(train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[str, bytes]]:
+def learn(train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS,
+          row_bytes: int = ROW_BYTES, dict_bytes: int = DICT_BYTES, max_languages: int = MAX_LANGUAGES) -> list[tuple[str, bytes]]:
     """``(language, dictionary)``, most frequent language first.  The sample is bounded by
-    ``MAX_LANGUAGES * SAMPLE_ROWS`` excerpts; the language counts cover all training rows."""
+    ``max_languages * sample_rows`` excerpts; the language counts cover all training rows, and more
+    than ``max_languages`` languages (all dictionaries lie in each task's memory) are an error."""
     rows = train.select(F.col(doc_id).alias("d"), F.col(text).alias("t"), F.col(lang).alias("l")).where(
         F.col("l").isNotNull() & (F.length("t") > 0))
-    counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    cut = F.udf(_excerpt, "binary")
+    counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+
+    @F.pandas_udf("binary")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _excerpt(t, row_bytes))
+
     # the rank limit is applied within each task before the shuffle, on ids and hashes alone
     rank = F.row_number().over(Window.partitionBy("l").orderBy("h", "d", "x"))
     keyed = rows.withColumn("h", F.xxhash64(F.col("d").cast("string"))).withColumn("x", F.xxhash64("t"))
-    picked = keyed.select("l", "h", "d", "x").withColumn("r", rank).where(F.col("r") <= SAMPLE_ROWS).select("h", "x").distinct()
-    sample = keyed.join(F.broadcast(picked), ["h", "x"]).groupBy("l", "h", "x").agg(F.first(cut("t")).alias("e"))
+    picked = keyed.select("l", "h", "d", "x").withColumn("r", rank).where(F.col("r") <= sample_rows).select("h", "x").distinct()
+    found = keyed.join(F.broadcast(picked), ["h", "x"]).select("l", "h", "x", cut("t").alias("e"))
+    sample = found.groupBy("l", "h", "x").agg(F.min("e").alias("e"))
     by_lang: dict[str, list] = {}
     for r in sample.collect():
         by_lang.setdefault(r["l"], []).append((r["h"], r["x"], bytes(r["e"])))
     out = []
     for c in counts:
-        content = b" ".join(e for *_, e in sorted(by_lang.get(c["l"], [])))[:DICT_BYTES]
+        content = b" ".join(e for *_, e in sorted(by_lang.get(c["l"], [])))[:dict_bytes]
         out.append((c["l"], content))
     return out
 
@@ -111,14 +116,15 @@ def predict(docs: DataFrame, dictionaries: list[tuple[str, bytes]], text: str =
                 return names[0], 1.0, True
             second = min(s for i, s in enumerate(size) if i != best)
             gain = (second - size[best]) / size[best]
-            return names[best], gain / (gain + 0.05), gain >= MIN_MARGIN or len(raw) < MIN_EVIDENCE
+            return names[best], gain / (gain + 0.05), gain >= MIN_MARGIN
 
         for texts in parts:
             yield pd.DataFrame([one(t) for t in texts], columns=["lang_pred", "score", "accepted"])
 
     score = F.pandas_udf(scorer, "lang_pred string, score double, accepted boolean")
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "accepted")]
-    return docs.select(*kept, score(text).alias("_p")).select(*kept, "_p.lang_pred", "_p.score", "_p.accepted")
+    row = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row")
+    return docs.select(row, score(text).alias("found")).select("row.*", "found.*")
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
