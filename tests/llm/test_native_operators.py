@@ -39,6 +39,20 @@ def test_pii_added_spans_and_masking(make):
     assert op3.personal_data(make([])).count() == 0
 
 
+def test_pii_spans_added_without_a_cue(make):
+    """Pattern and gazetteer together are enough; a failing check or a word against a span is not outvoted."""
+    texts = ["office 555-234-5678 open", "bob at example dot com", "2001:db8:0:0:0:ff00:42:8329", "4111.1111.1111.1111 and 4111  1111  1111  1111",
+             "4111.1111.1111.1112", "0:0:0:0:0:0:0:0", "version 555.234.5678", "4111 1111 1111 1111", None, "", "look at it dot 55"] + ["call +1 555 123 4567"] * 2
+    ids = [None, None, *range(2, len(texts) - 1), len(texts) - 2]
+    out = op3.personal_data(make(texts, ids))
+    assert python_free(out)
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, [(op3.KINDS[s["kind"]], s["start"], s["end"]) for s in r["added"]]) for r in out.collect())
+    one = {d: spans for known, d, spans in got if known}
+    assert sorted(s for known, _, s in got if not known) == [[("email", 0, 22)], [("phone", 7, 19)]]
+    assert one[2] == [("ip", 0, 27)] and one[3] == [("card", 0, 19), ("card", 24, 46)]
+    assert all(one[d] == [] for d in one if d > 3) and len(got) == len(texts)
+
+
 def test_reliabilities_tell_a_bad_labeler():
     votes = [((1, 1, -1), 40), ((1, 1, 1), 40), ((-1, -1, 1), 40), ((-1, -1, -1), 40), ((0, 1, 0), 3)]
     p = op3.reliabilities(votes)
@@ -63,12 +77,15 @@ def test_line_dedup_equals_brute_force(make):
 
 
 def test_line_dedup_deletes_single_lines_of_ordinary_length(make):
-    """A repeated line goes though the lines around it differ; only very short ones are exempt."""
+    """A repeated line goes though the lines around it differ; a floor exempts shorter ones where asked for."""
     nine, seven, six = "one line of nine words stands here by itself", "a b c d e f g", "a b c d e f"
     texts = [f"first {i}\n{nine}\nsecond {i}\n{seven}\nthird {i}\n{six}\nlast {i}" for i in range(4)]
-    got = {x["doc_id"]: (x["text"], x["n_removed"]) for x in op5.dedup_lines(make(texts)).collect()}
+    got = {x["doc_id"]: (x["text"], x["n_removed"]) for x in op5.dedup_lines(make(texts), long_words=7).collect()}
     assert got[0] == (texts[0], 0)
     assert all(got[i] == (f"first {i}\nsecond {i}\nthird {i}\n{six}\nlast {i}", 2) for i in (1, 2, 3))
+    every = {x["doc_id"]: x["text"] for x in op5.dedup_lines(make([f"a\n{i}x\n\n{i}y\nb c\n \nz" for i in range(3)])).collect()}
+    # by default any line with a word goes, a blank one only inside a repeated run
+    assert every == {0: "a\n0x\n\n0y\nb c\n \nz", 1: "1x\n\n1y", 2: "2x\n\n2y"}
 
 
 def test_line_dedup_oracle(spark, sf):

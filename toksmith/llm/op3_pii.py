@@ -2,15 +2,18 @@
 
 Candidate spans of four kinds come from patterns: the base ones, whose checked
 matches always stay, and looser ones (obfuscated mail addresses, national and
-``00`` phone numbers, IPv6 addresses, card-like numbers that fail the check).
-Three labelers vote on each (-1, 0, 1): the pattern with its check, a gazetteer
-(top-level domains, issuer prefixes, reserved ranges, area codes) and the cue
-words before the span.  Expectation-maximisation over the counts of vote
+``00`` phone numbers, IPv6 addresses, cards in dotted, slashed or wide groups);
+matches of a base pattern that fail its check are candidates too.
+Three labelers vote on each (-1, 0, 1): the pattern with its check (base and
+loose patterns each have one), a gazetteer (top-level domains, issuer prefixes,
+reserved ranges, area codes) and the cue words before the span.  Expectation-maximisation over the counts of vote
 patterns (at most 27 a kind, all that reaches the driver) estimates the
 labelers' reliabilities; its posteriors train the final span classifier, a naive
 Bayes model over votes and span shape, whose counts are one aggregation over all
-candidates.  A loose span is added if the classifier accepts it, two labelers
-speak for it and none against, and it overlaps no base span.
+candidates.  Another span is added if the classifier accepts it and it overlaps no
+base span.  Where base matches are almost all candidates of a kind, the fitted prior
+alone would accept anything, so ``MIN_LEAD`` more votes for it than against are
+asked for too: two labelers are enough, a cue word is not necessary.
 
 Offsets are code points, ends exclusive; a kind's matches are leftmost and do not
 overlap.  Defined cases: a null text is empty and has no span; every input row
@@ -39,6 +42,7 @@ BASE = {
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?[(\[]at[)\]] ?| at )[A-Za-z0-9-]++(?:(?: ?[(\[]dot[)\]] ?| dot )[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
+    "card": r"(?<![0-9])(?<![0-9][./_])[0-9]{4}(?:(?:[./_]|  | - )[0-9]{4}){3}(?![./_]?[0-9])",
     "phone": r"(?<![0-9+(])(?:\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|00[1-9][0-9 ().-]{7,16}[0-9])(?![0-9])",
 }
 #: what a text must hold for a pattern to be tried at all
@@ -59,6 +63,7 @@ CONTEXT = 40
 LABELERS = "check", "gazetteer", "context"
 SHAPES = "grouped", "size"
 ROUNDS = 30
+MIN_LEAD = 2
 PRIOR = 8.0  # pseudo-votes behind "a labeler is right in four of five votes"
 
 
@@ -101,6 +106,18 @@ def check(kind: str, value: Column) -> Column:
     return luhn(value) if kind == "card" else (n >= 9) & (n <= 15)
 
 
+def loose_check(kind: str, value: Column) -> Column:
+    """What a match of the loose pattern of a kind must hold to be voted for."""
+    if kind == "email":
+        return value.rlike("[A-Za-z]{2}$")
+    if kind == "ip":
+        return F.size(F.array_distinct(F.split(F.lower(value), ":"))) > 2
+    if kind == "card":
+        return luhn(value)
+    n = F.length(F.regexp_replace(_digits(value), "^00", ""))
+    return (n >= 9) & (n <= 15)
+
+
 def _gazetteer(kind: str, value: Column) -> Column:
     if kind == "email":
         known = F.lower(F.regexp_extract(value, r"([A-Za-z0-9-]+)$", 1)).isin(TLDS)
@@ -118,10 +135,9 @@ def _candidates(text: Column, kind: str, strict: bool) -> Column:
 
     def judge(x: Column) -> Column:
         value, before = x["value"], F.lower(F.substring(text, F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1, F.least(x["start"], F.lit(CONTEXT))))
-        good = check(kind, value) if strict else F.lit(False)
-        vote = F.when(good, 1).otherwise(-1) if strict else F.lit(0)
+        good = check(kind, value) if strict else loose_check(kind, value)
         return F.struct(
-            F.lit(KINDS.index(kind)).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), good.alias("base"), vote.alias("check"),
+            F.lit(KINDS.index(kind)).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), (good if strict else F.lit(False)).alias("base"), F.when(good, 1).otherwise(-1).alias("check"),
             _gazetteer(kind, value).alias("gazetteer"), F.when(before.rlike(CUES[kind]), 1).when(before.rlike(AGAINST), -1).otherwise(0).alias("context"),
             value.rlike(r"[ ()\[\]-]").cast("int").alias("grouped"), F.least(F.length(value) / 6, F.lit(9)).cast("int").alias("size"))
 
@@ -193,8 +209,7 @@ def classify(found: DataFrame, odds: dict[str, float]) -> DataFrame:
         score = _lookup(odds, s["kind"].cast("string"))
         for f in LABELERS + SHAPES:
             score = score + _lookup(odds, F.concat_ws("|", s["kind"].cast("string"), F.lit(f), s[f].cast("string")))
-        vote = [s[f] for f in LABELERS]
-        return (score > 0) & (sum(F.when(v > 0, 1).otherwise(0) for v in vote) >= 2) & ~(F.least(*vote) < 0)
+        return (score > 0) & (sum(s[f] for f in LABELERS) >= MIN_LEAD)
 
     def free(s: Column) -> Column:
         return ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))
