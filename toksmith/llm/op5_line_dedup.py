@@ -2,8 +2,8 @@
 
 Lines are what ``split`` at line feeds gives.  Of every window of ``MIN_LINES``
 consecutive lines the smallest line hash is a fingerprint, so any repeated run of
-that many lines shares one; a single line of ``LONG_WORDS`` words or more, which
-only very short lines have not, is a window of its own.  Fingerprint positions that share a value with another
+that many lines shares one; a single line of ``LONG_WORDS`` words or more (by default
+any line with a word) is a window of its own, so blank lines go only with a repeated run.  Fingerprint positions that share a value with another
 position are extended both ways to the windows around them, equal windows are
 traced to their first occurrence in order of (id, line), and every line that a
 later occurrence covers is deleted: the union of equal windows is the maximal
@@ -25,7 +25,7 @@ from toksmith.operators.joins import hot_cold_join
 from toksmith.session import write_once
 
 MIN_LINES = 2
-LONG_WORDS = 7
+LONG_WORDS = 1
 
 
 def _windows(docs: DataFrame, min_lines: int, long_words: int) -> DataFrame:
