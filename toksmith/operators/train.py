@@ -1,52 +1,53 @@
 """BPE training by differences.
 
-The state between two rounds is a pair table ``(pair, n, pos)`` and an index from pairs to the
-sequences that hold them.  A round takes the best pairs, reads the sequences that hold one of them through
-the index, rewrites those with ``replace``, and adds the difference of their pairs to the table:
-
-* **Cuts.** A piece that spans two neighbouring base symbols ``x y`` is merged from a pair that occurs at
-  most as often as ``xy`` itself.  While the best pair occurs at least ``floor`` times, no merge can span a base pair
-  rarer than ``floor``; sequences are cut there, and equal segments are one row.  When the best
-  pair falls below it, the floor is lowered and the segments are cut anew (from the dictionary, with all merges so far).
-* **Index.** A pair of base symbols is found in a table sorted by pair, whose rows carry their segment
-  (segments beyond ``INLINE`` symbols, which hold most frequent pairs anyway, are searched directly).  A pair with a merged symbol
-  occurs only in sequences rewritten in the round that made the symbol, so that round's rewritten sequences are its
-  index.  A row found in an older state is brought up to date by the merges since, and checked.
-* **First positions.** Only rewritten sequences lose occurrences.  A pair whose first position lies in one of them either
-  still occurs there, at a position just read, or its true first position is later and unknown: the row is
-  marked, and looked up through the index only when its count ties with another candidate's.
+The state between two rounds is a pair table ``{pair: n}`` on the driver and the distinct sequences, packed into *blocks*:
+sequences of one weight and one partition, joined by a separator.  A round takes the best pairs, replaces them in the blocks that
+hold one (a ``mapInArrow`` over numpy arrays) and moves the table by the difference of the pairs beside the replaced places, so no
+row is made per symbol and no sequence is sorted or shuffled in a round.
+
+* **Blocks.** They are written to the shared ``spark.checkpoint.dir`` and read again, with the merges made since put in first;
+  every ``rebuild_every`` merges they are written anew.  A lost executor replays part of one round.
+* **Ties.** A pair's first position ``(doc_id, chunk_pos, offset)`` is looked up only where its count ties with another
+  candidate's: the blocks keep their sequences in corpus order.
 * **Batches.** A round accepts the longest prefix of ranked pairs that share no token.  This gives exactly the merges of
   one-merge-per-round training: a merge only lowers counts of pairs that share a token with it, and every pair it
   creates is at most as frequent (and not earlier) than such a pair, which ranks after the accepted prefix.
   A self-pair ``(a, a)`` may be accepted but closes the batch.
 
-The sequences read and rewritten in a round are written to the shared ``spark.checkpoint.dir``, and later rounds read those
-tables, so an executor loss replays part of one round.  On the driver are the merges and the pair table's rows at or above the
-floor, at most ``MAX_KEPT``: of more, the first in rank, and the others wait for the next rebuild.
+On the driver are the merges and the pairs that occur at least ``floor`` times, at most ``MAX_KEPT``.  A pair below the floor
+can only lose occurrences (new pairs hold a new symbol), so it is not missed before the table is empty; then pairs are counted anew.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toksmith.functions import patterns
-from toksmith.functions.symbols import CHUNK_SEP, adjacent_pairs, byte_symbols, chars, cp_to_id, sym, syms
+from toksmith.functions.symbols import CHUNK_SEP, byte_symbols, chars, cp_to_id, sym, syms
 from toksmith.model import MAX_MODEL_ROWS, Merge, Model
-from toksmith.operators import pairs as P
 from toksmith.operators import pretokenize as PT
 from toksmith.session import Scratch
 from toksmith.sources.corpus import widen
 
-INLINE = 128  # symbols of a segment that index rows carry
-MAX_KEPT = 100_000  # base pairs in a cut rule
-FIRST_FLOOR = 64  # the first floor is half the count of this base pair (or of the last merge's, if fewer are asked)
+MAX_KEPT = 100_000  # pairs in the driver's table
+FLOOR_SHARE = 1024  # the first floor: this part of the best pair's count
 FLOOR_STEP = 8
+BLOCK = 1 << 20  # symbols of a block
+PART = 1 << 21  # symbols of a partition of blocks: a round over few symbols has few tasks
+BINS = 1 << 22  # counters of a direct count
+FEW = 32  # pairs that are searched one by one; tasks whose changes the driver sums
 TOTAL = ""  # the pair table's row for the number of tokens
+READ = "\n"  # the row for the number of sequences read
 
 
 def select_batch(top: list[tuple[str, int]]) -> list[tuple[str, int]]:
@@ -71,180 +72,258 @@ def _chain(s: Column, merges: list[Merge]) -> Column:
     return fold(s, Model("basic", merges))
 
 
-def _replaced(s: Column, accepted: list[tuple[str, str]]) -> Column:
-    for pair, new in accepted:
-        s = F.replace(s, F.lit(pair), F.lit(new))
-    return s
-
-
-def _first_held(s: Column, accepted: list[tuple[str, str]]) -> Column:
-    """The first accepted pair that ``s`` holds (null: none)."""
-    return F.coalesce(*[F.when(F.contains(s, F.lit(pair)), F.lit(pair)) for pair, _ in accepted])
-
-
-def cut_segments(d: DataFrame, kept: list[str] | None) -> DataFrame:
-    """``(sym, n, pos)``: distinct segments between neighbours that are no kept pair (None: no cuts), with the
-    position ``(doc_id, chunk_pos, segment)`` of their first occurrence."""
-    place = lambda k: F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.chunk_pos").cast("long").alias("chunk_pos"), k.cast("long").alias("segment"))
-    if kept is None:
-        return d.select("sym", "n", place(F.lit(0)).alias("pos"))
-    head = lambda p: F.substring(p, 1, 1)
-    marked = F.transform(adjacent_pairs("sym"), lambda p: F.when(p.isin(kept), head(p)).otherwise(F.concat(head(p), F.lit(CHUNK_SEP))))
-    parts = F.split(F.concat(F.array_join(marked, ""), F.substring("sym", -1, 1)), CHUNK_SEP)
-    cut = d.select("n", "first", F.posexplode(parts).alias("k", "sym")).select("sym", "n", place(F.col("k")).alias("pos"))
-    return cut.groupBy("sym").agg(F.sum("n").alias("n"), F.min("pos").alias("pos"))
-
-
-def _occurrences(rows: DataFrame, s: str, sign: int, column: str) -> DataFrame:
-    """A row per pair occurrence with its weight and, in ``column``, its position."""
-    ex = rows.select("n", "pos", F.posexplode(adjacent_pairs(s)).alias("offset", "pair"))
-    at = f"struct(pos.doc_id AS doc_id, pos.chunk_pos AS chunk_pos, pos.segment AS segment, cast(offset AS bigint) AS offset) AS {column}"
-    return ex.selectExpr("pair", f"n * {sign} AS n", at)
-
-
-@dataclass
-class Made:
-    """Sequences ``(pos, n, new)`` rewritten in a round: pairs whose newer symbol is one of the merges
-    ``start``..``end - 1`` occur only in them; their symbols have the merges up to ``end``."""
-
-    table: DataFrame
-    start: int
-    end: int
+# -- inside tasks ------------------------------------------------------------------
+
+def _pack(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows ``(n, sym, doc_id, chunk_pos)`` sorted by weight and position -> blocks ``(n, text, doc_ids, chunk_poss)``."""
+    for b in batches:
+        weights, texts = b.column("n").to_pylist(), b.column("sym").to_pylist()
+        start = 0
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and weights[end] == weights[start] and size < BLOCK:
+                size += len(texts[end]) + 1
+                end += 1
+            places = [pa.ListArray.from_arrays(pa.array([0, end - start], pa.int32()), b.column(c).slice(start, end - start)).cast(schema.field(k).type)
+                      for c, k in (("doc_id", "doc_ids"), ("chunk_pos", "chunk_poss"))]
+            text = CHUNK_SEP + CHUNK_SEP.join(texts[start:end]) + CHUNK_SEP
+            yield pa.RecordBatch.from_arrays([pa.array([weights[start]], pa.int64()), pa.array([text], schema.field("text").type), *places], schema=schema)
+            start = end
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+
+
+def _updated(text: str, behind: list[tuple[str, str]]) -> str:
+    for pair, new in behind:
+        text = text.replace(pair, new)
+    return text
+
+
+def _counted(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of two symbol arrays and their counts."""
+    if not len(left):
+        return left, right, np.zeros(0, np.int64)
+    top = int(max(left.max(), right.max())) + 1
+    keys = left.astype(np.int64) * top + right
+    if top * top <= BINS and len(keys) * 8 > top * top:
+        counts = np.bincount(keys, minlength=1)
+        found = np.flatnonzero(counts)
+        counts = counts[found]
+    else:
+        found, counts = np.unique(keys, return_counts=True)
+    return found // top, found % top, counts
+
+
+def _pairs_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    codes, sep = _codes(text), ord(CHUNK_SEP)
+    both = np.flatnonzero((codes[:-1] != sep) & (codes[1:] != sep))
+    return both, codes[both], codes[both + 1]
+
+
+def _differences(text: str, pair: str, new: str, weight: int, change: dict[str, int]) -> None:
+    """Adds to ``change`` what replacing ``pair`` in ``text`` does to the pair counts and to the number of tokens."""
+    a, b, sep, codes = ord(pair[0]), ord(pair[1]), ord(CHUNK_SEP), _codes(text)
+
+    def beside(symbols: np.ndarray, left: bool) -> None:
+        found, n = np.unique(symbols[symbols != sep], return_counts=True)
+        old, made = (pair[0], new) if left else (pair[1], new)
+        for c, k in zip(map(chr, found.tolist()), n.tolist(), strict=True):
+            change[c + old if left else old + c] -= k * weight
+            change[c + made if left else made + c] += k * weight
+
+    if a != b:
+        at = np.flatnonzero((codes[:-1] == a) & (codes[1:] == b))
+        joined = np.diff(at) == 2  # an occurrence followed by the next
+        twice = int(joined.sum())
+        beside(codes[at[np.concatenate(([True], ~joined))] - 1], True)
+        beside(codes[at[np.concatenate((~joined, [True]))] + 2], False)
+        change[pair] -= len(at) * weight
+        change[pair[1] + pair[0]] -= twice * weight
+        change[new + new] += twice * weight
+        change[TOTAL] -= len(at) * weight
+        return
+    same = codes == a
+    begin, end = np.flatnonzero(same[1:] & ~same[:-1]) + 1, np.flatnonzero(same[:-1] & ~same[1:]) + 1
+    several = end - begin > 1
+    begin, end = begin[several], end[several]
+    length = end - begin
+    half, odd = length // 2, length % 2 == 1
+    beside(codes[begin - 1], True)
+    beside(codes[end[~odd]], False)
+    change[pair] -= int((length - 1).sum()) * weight
+    change[new + new] += int((half - 1).sum()) * weight
+    change[new + pair[0]] += int(odd.sum()) * weight
+    change[TOTAL] -= int(half.sum()) * weight
+
+
+def _counts(behind: list[tuple[str, str]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = defaultdict(int)
+        for b in batches:
+            for weight, text in zip(b.column("n").to_pylist(), b.column("text").to_pylist(), strict=True):
+                text = _updated(text, behind)
+                for x, y, n in zip(*(v.tolist() for v in _counted(*_pairs_of(text)[1:])), strict=True):
+                    counts[chr(x) + chr(y)] += n * weight
+                counts[TOTAL] += (len(text) - text.count(CHUNK_SEP)) * weight
+        yield _rows(counts)
+
+    return run
+
+
+def _rows(counts: dict[str, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pair", "n"])
+
+
+def _changes(behind: list[tuple[str, str]], accepted: list[tuple[str, str]], known: set[str], read: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change: dict[str, int] = defaultdict(int)
+        for b in batches:
+            for weight, text in zip(b.column("n").to_pylist(), b.column("text").to_pylist(), strict=True):
+                text = _updated(text, behind)
+                if read:
+                    change[READ] += sum(any(pair in s for pair, _ in accepted) for s in text.split(CHUNK_SEP))
+                for pair, new in accepted:
+                    if pair in text:
+                        _differences(text, pair, new, weight, change)
+                        text = text.replace(pair, new)
+        made = {new for _, new in accepted}
+        yield _rows({p: n for p, n in change.items() if n and (p in (TOTAL, READ) or p in known or not made.isdisjoint(p))})
+
+    return run
+
+
+def _firsts(behind: list[tuple[str, str]], pairs: set[str] | None, schema: pa.Schema):
+    """Per block, the first position of each of the pairs (None: of all) and its weighted count there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, (weight, text) in enumerate(zip(b.column("n").to_pylist(), b.column("text").to_pylist(), strict=True)):
+                text = _updated(text, behind)
+                if pairs is not None and len(pairs) <= FEW:
+                    found = {p: (text.find(p), 0) for p in pairs if p in text}
+                else:
+                    at, left, right = _pairs_of(text)
+                    keys, first, n = np.unique(left.astype(np.int64) << 21 | right, return_index=True, return_counts=True)
+                    named = (chr(k >> 21) + chr(k & 0x1FFFFF) for k in keys.tolist())
+                    found = {p: (k, m) for p, k, m in zip(named, at[first].tolist(), n.tolist(), strict=True) if pairs is None or p in pairs}
+                if not found:
+                    continue
+                starts = np.flatnonzero(_codes(text) == ord(CHUNK_SEP))
+                offsets = np.array([k for k, _ in found.values()], dtype=np.int64)
+                which = np.searchsorted(starts, offsets) - 1
+                take = pa.array(which, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(found), schema.field("pair").type), pa.array([m * weight for _, m in found.values()], pa.int64()),
+                     b.column("doc_ids")[i].values.take(take), b.column("chunk_poss")[i].values.take(take), pa.array(offsets - starts[which] - 1, pa.int64())], schema=schema)
 
+    return run
 
-@dataclass
-class Pair:
-    n: int
-    pos: tuple | None
-    late: bool = False  # the true first position is after ``pos``
 
+# -- rounds ---------------------------------------------------------------------------
 
 @dataclass
 class Rounds:
-    """State of a training: the pair table, the index, and what each round read."""
+    """State of a training: the pair table, the blocks, and the merges that the blocks do not have yet."""
 
     scratch: Scratch
-    base: DataFrame  # (sym, n, first), uncut
+    base: DataFrame  # (sym, n, first)
     first_new_id: int
     merges: list[Merge] = field(default_factory=list)
 
-    def rebuild(self, floor: int, kept: list[str] | None = None, cut: bool = False) -> None:
-        """Pair table and index from up-to-date segments: the present ones, or (``cut``) those of the dictionary, cut anew."""
-        self.floor = floor
-        rows, behind = (cut_segments(self.base, kept), self.merges) if cut else (self.rows, self.merges[self.start:])
-        self.rows = rows = self.scratch.write(rows.withColumn("sym", _chain(F.col("sym"), behind)) if behind else rows)
-        several = rows.where(F.length("sym") > 1)
-        total = rows.selectExpr(f"'{TOTAL}' AS pair", "n * length(sym) AS n")
-        both = _occurrences(several, "sym", 1, "pos").unionByName(total, allowMissingColumns=True)
-        stats = both.groupBy("pair").agg(F.sum("n").alias("n"), F.min("pos").alias("pos")).where((F.col("n") >= floor) | (F.col("pair") == TOTAL))
-        best = stats.orderBy((F.col("pair") == TOTAL).desc(), F.col("n").desc(), F.col("pos")).limit(MAX_KEPT + 2).collect()
-        self.pairs = {r["pair"]: Pair(r["n"], r["pos"] and tuple(r["pos"])) for r in best}
-        self.total = self.pairs.pop(TOTAL, Pair(0, None)).n or 0
-        self.edge = None  # with a full table: the position up to which pairs of ``floor`` occurrences are in it
+    def __post_init__(self) -> None:
+        rows = self.base.select("n", "sym", F.col("first.doc_id").alias("doc_id"), F.col("first.chunk_pos").cast("long").alias("chunk_pos"))
+        self.id_type = rows.schema["doc_id"].dataType.simpleString()
+        size = rows.agg(F.sum(F.length("sym"))).first()[0] or 0
+        self.parts = 1 + size // PART
+        rows = rows.where(F.length("sym") > 0).repartition(self.parts, "sym").sortWithinPartitions("n", "doc_id", "chunk_pos", "sym")
+        out = f"n BIGINT, text STRING, doc_ids ARRAY<{self.id_type}>, chunk_poss ARRAY<BIGINT>"
+        schema = self._arrow(out)
+        self.blocks = self.scratch.write(rows.mapInArrow(lambda it: _pack(it, schema), out))
+        self.start = 0  # merges that the blocks have
+        self.read = 0
+
+    def _arrow(self, ddl: str) -> pa.Schema:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        from pyspark.sql.types import StructType
+
+        return to_arrow_schema(StructType.fromDDL(ddl))
+
+    def behind(self) -> list[tuple[str, str]]:
+        return [(sym(m.left_id) + sym(m.right_id), sym(m.new_id)) for m in self.merges[self.start:]]
+
+    def rebuild(self) -> None:
+        """The blocks written anew with all merges so far."""
+        behind = self.behind()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                at = b.schema.get_field_index("text")
+                yield b.set_column(at, b.schema.field(at), pa.array([_updated(t, behind) for t in b.column(at).to_pylist()], b.schema.field(at).type))
+
+        self.blocks = self.scratch.write(self.blocks.mapInArrow(run, self.blocks.schema))
+        self.start = len(self.merges)
+
+    def count(self, floor: int | None) -> None:
+        """The pair table from the blocks: pairs of at least ``floor`` occurrences, the most frequent ones if they are too many."""
+        counts = self.blocks.select("n", "text").mapInArrow(_counts(self.behind()), "pair STRING, n BIGINT").groupBy("pair").agg(F.sum("n").alias("n"))
+        best = counts.orderBy((F.col("pair") == TOTAL).desc(), F.col("n").desc()).limit(MAX_KEPT + 2).collect()
+        self.pairs = {r["pair"]: r["n"] for r in best}
+        self.total = self.pairs.pop(TOTAL, 0)
+        most = max(self.pairs.values(), default=0)
+        self.floor = 1 if not most else min(most, floor or max(1, most // FLOOR_SHARE))
+        full = len(self.pairs) > MAX_KEPT
         self._bound()
-        short = several.where(F.length("sym") <= INLINE).select(F.explode(F.array_distinct(adjacent_pairs("sym"))).alias("pair"), "sym", "n", "pos")
-        self.by_pair = self.scratch.write(short.repartitionByRange("pair").sortWithinPartitions("pair"))
-        self.long = several.where(F.length("sym") > INLINE)
-        self.made: list[Made] = []
-        self.start = len(self.merges)  # merges that the index's sequences have
-        self.sequences = several
-
-    def _within(self, n: int, pos: tuple) -> bool:
-        return n > self.floor or n == self.floor and (self.edge is None or _order(pos) <= _order(self.edge))
+        if full and not self.pairs:  # too many pairs share the highest count: the first of them alone
+            first = self._positions(None).where(F.col("n") == most).orderBy("at").first()
+            self.pairs = {first["pair"]: most}
 
     def _bound(self) -> None:
-        """Keep the pair table bounded: of too many pairs the first in rank stay, and the others wait for a rebuild."""
         if len(self.pairs) > MAX_KEPT:
-            first = heapq.nsmallest(MAX_KEPT, self.pairs.values(), key=_rank)
-            self.floor, self.edge = first[-1].n, first[-1].pos
-        self.pairs = {k: p for k, p in self.pairs.items() if self._within(p.n, p.pos)}
-
-    def _holders(self, chosen: list[str]) -> list[tuple[list[str], DataFrame]]:
-        """Per table to search, some pairs and the up-to-date sequences ``(cur, n, pos, pair)`` that may hold them;
-        ``pair`` is the index entry, null where sequences are searched directly."""
-        groups: dict[int, list[str]] = {}
-        for pair in chosen:
-            newest = max(cp_to_id(ord(c)) for c in pair) - self.first_new_id
-            at = next((k for k, m in enumerate(self.made) if m.start <= newest < m.end), -1)
-            groups.setdefault(at, []).append(pair)
-        out = []
-        for k, pairs in sorted(groups.items()):
-            def search(table: DataFrame, column: str, pairs=pairs) -> DataFrame:
-                held = F.lit(False)
-                for pair in pairs:
-                    held = held | F.contains(F.col(column), F.lit(pair))
-                return table.where(held).select(F.col(column).alias("sym"), "n", "pos", F.lit(None).cast("string").alias("pair"))
-
-            if k < 0:
-                rows = self.by_pair.where(F.col("pair").isin(pairs)).select("sym", "n", "pos", "pair").unionByName(search(self.long, "sym"))
-                known = self.start
-            else:
-                rows, known = search(self.made[k].table, "new"), self.made[k].end
-            out.append((pairs, rows.select(_chain(F.col("sym"), self.merges[known:]).alias("cur"), "n", "pos", "pair")))
-        return out
+            self.floor = max(self.floor, heapq.nlargest(MAX_KEPT + 1, self.pairs.values())[-1] + 1)
+        self.pairs = {p: n for p, n in self.pairs.items() if n >= self.floor}
 
-    def best(self, k: int) -> list[tuple[str, int]]:
-        """The ``k`` best pairs and their counts, in exact order."""
-        while True:
-            top = heapq.nsmallest(k, self.pairs.items(), key=lambda x: _rank(x[1]))
-            n = [p.n for _, p in top]
-            last = n[-1] if len(top) == k else None
-            ranked = [(pair, p.n) for pair, p in top]
-            tied = [p.late and (n.count(p.n) > 1 or p.n == last or self.edge is not None and p.n == self.floor) for _, p in top]
-            if not any(tied[:len(select_batch(ranked)) + 1]):  # later rows do not decide what is accepted
-                return ranked
-            self._repair([pair for (pair, _), t in zip(top, tied, strict=True) if t])
-
-    def _repair(self, late: list[str]) -> None:
-        """True first positions of some pairs, by the index."""
-        found = None
-        for pairs, rows in self._holders(late):
-            rows = rows.withColumn("p", F.explode(F.array(*[F.lit(p) for p in pairs]))).where("contains(cur, p) AND (pair IS NULL OR pair = p)")
-            rows = rows.selectExpr("p AS pair", "struct(pos.doc_id AS doc_id, pos.chunk_pos AS chunk_pos, pos.segment AS segment, cast(instr(cur, p) - 1 AS bigint) AS offset) AS at")
-            found = rows if found is None else found.unionByName(rows)
-        for r in found.groupBy("pair").agg(F.min("at").alias("at")).collect():  # one row a pair asked for
-            self.pairs[r["pair"]] = Pair(self.pairs[r["pair"]].n, tuple(r["at"]))
-        self._bound()
+    def _positions(self, pairs: set[str] | None) -> DataFrame:
+        """``(pair, n, at)``: first positions of some pairs."""
+        out = f"pair STRING, n BIGINT, doc_id {self.id_type}, chunk_pos BIGINT, offset BIGINT"
+        rows = self.blocks.mapInArrow(_firsts(self.behind(), pairs, self._arrow(out)), out)
+        return rows.groupBy("pair").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "chunk_pos", "offset")).alias("at"))
 
-    def apply(self, accepted: list[tuple[str, str]]) -> None:
-        """Rewrite the sequences that hold an accepted pair; move the pair table by the difference."""
-        held = None
-        for pairs, rows in self._holders([p for p, _ in accepted]):
-            # a sequence with several accepted pairs is taken once: under the first of them
-            rows = rows.withColumn("key", _first_held(F.col("cur"), accepted))
-            rows = rows.where(F.col("key").isin(pairs) & (F.col("pair").isNull() | (F.col("pair") == F.col("key"))))
-            held = rows if held is None else held.unionByName(rows)
-        # written to the checkpoint folder after its first use: later rounds read it, and no plan grows with the rounds
-        touched = held.select("pos", "n", F.col("cur").alias("old"), _replaced(F.col("cur"), accepted).alias("new")).checkpoint(eager=False)
-        self.made.append(Made(touched, len(self.merges), len(self.merges) + len(accepted)))
-        shrink = touched.selectExpr(f"'{TOTAL}' AS pair", "n * (length(new) - length(old)) AS n")
-        change = _occurrences(touched, "old", -1, "was").unionByName(_occurrences(touched, "new", 1, "now"), allowMissingColumns=True)
-        change = change.unionByName(shrink, allowMissingColumns=True).groupBy("pair").agg(F.sum("n").alias("n"), F.min("was").alias("was"), F.min("now").alias("now"))
-        # what is asked for: the pairs of the table, and those at or above the floor among the new ones
-        ours = ", ".join(f"'{p.encode().hex().upper()}'" for p in [TOTAL, *self.pairs])
-        change = change.where(f"was IS NULL AND n >= {self.floor} OR hex(pair) IN ({ours})")
-        for r in change.collect():
-            pair, was, now = r["pair"], r["was"] and tuple(r["was"]), r["now"] and tuple(r["now"])
-            if pair == TOTAL:
-                self.total += r["n"] or 0
-                continue
-            known = self.pairs.get(pair)
-            if known is None:
-                self.pairs[pair] = Pair(r["n"], now)
-                continue
-            known.n += r["n"]
-            if was is not None and not known.late and was[:3] == known.pos[:3]:  # its first sequence was rewritten
-                if now is not None and now[:3] == known.pos[:3]:
-                    known.pos = now
-                else:
-                    known.late = True
+    def best(self, k: int) -> list[tuple[str, int]]:
+        """Up to ``k`` best pairs that share no token, in exact order."""
+        lowest = heapq.nlargest(k, self.pairs.values())[-1]
+        near = sorted(((p, n) for p, n in self.pairs.items() if n >= lowest), key=lambda x: -x[1])
+        chosen: list[tuple[str, int]] = []
+        for _, tied in groupby(near, key=lambda x: x[1]):
+            tied = list(tied)
+            if len(tied) > 1:
+                at = {r["pair"]: tuple(r["at"]) for r in self._positions({p for p, _ in tied}).collect()}
+                tied.sort(key=lambda x: (_order(at[x[0]]), x[0]))
+            if len(select_batch([*chosen, *tied])) < len(chosen) + len(tied) or len(chosen) + len(tied) >= k:
+                return select_batch([*chosen, *tied])[:k]
+            chosen += tied
+        return chosen
+
+    def apply(self, accepted: list[tuple[str, str]], read: bool = False) -> None:
+        """Move the pair table by what replacing the accepted pairs changes."""
+        tokens = {c for pair, _ in accepted for c in pair}
+        known = {p for p in self.pairs if not tokens.isdisjoint(p)}
+        change = self.blocks.select("n", "text").mapInArrow(_changes(self.behind(), accepted, known, read), "pair STRING, n BIGINT")
+        if self.parts > FEW:
+            change = change.groupBy("pair").agg(F.sum("n").alias("n")).where((F.col("n") < 0) | (F.col("n") >= self.floor) | (F.col("pair") == READ))
+        moved: dict[str, int] = defaultdict(int)
+        for r in change.collect():  # pairs beside an accepted one, from a few tasks or summed
+            moved[r["pair"]] += r["n"]
+        self.total += moved.pop(TOTAL, 0)
+        self.read = moved.pop(READ, 0)
+        for pair, n in moved.items():
+            if pair in self.pairs:
+                self.pairs[pair] += n
+            elif n >= self.floor:
+                self.pairs[pair] = n
         self._bound()
 
 
-def _rank(p: Pair) -> tuple:
-    return (-p.n, _order(p.pos))
-
-
 def _order(pos: tuple) -> tuple:
     """Sort key of a position; null ids first."""
     return (pos[0] is not None, pos[0] if pos[0] is not None else 0, *pos[1:])
@@ -255,7 +334,7 @@ def train_rounds(
     n_merges: int,
     first_new_id: int,
     batch: int = 64,
-    rebuild_every: int = 64,
+    rebuild_every: int = 32,
     floor: int | None = None,
     log: list | None = None,
     verbose: bool = False,
@@ -264,53 +343,43 @@ def train_rounds(
 
     Returns the merges (bounded by ``n_merges``) and the final dictionary
     ``(sym, n, first)`` whose symbols are the training corpus's encoding.  ``floor`` is the first count below which
-    base pairs are cut (default: from the base pairs' counts); ``rebuild_every`` bounds the merges by which the index's
-    sequences may be behind; a ``log`` list receives, per round, the merges made, all sequences, and those read.
+    pairs stay off the driver (default: from the best pair's count); ``rebuild_every`` bounds the merges by which the
+    blocks may be behind; a ``log`` list receives, per round, the merges made, all sequences, and those rewritten.
     """
     if n_merges > MAX_MODEL_ROWS:
         raise ValueError("too many merges")
     base = widen(d.select("sym", "n", "first"), "sym").persist(StorageLevel.MEMORY_AND_DISK)
-    with Scratch(d.sparkSession) as scratch:
-        state = Rounds(scratch, base.where(F.length("sym") > 0), first_new_id)
-        counts = scratch.write(base.select("n", F.explode(adjacent_pairs("sym")).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n")))
-
-        def kept(floor: int) -> list[str] | None:
-            got = counts.where(F.col("n") >= floor).select("pair").limit(MAX_KEPT + 1).collect() if floor > 1 else []
-            return [r["pair"] for r in got] if floor > 1 and len(got) <= MAX_KEPT else None
-
-        seen = counts.orderBy(F.col("n").desc()).limit(max(1, min(n_merges, FIRST_FLOOR))).collect()
-        floor = min(floor or max(1, seen[-1]["n"] // 2), seen[0]["n"]) if seen else 1
-        merges = state.merges
-        state.rebuild(floor, kept(floor), cut=True)
-        while len(merges) < n_merges:
+    merges: list[Merge] = []
+    if n_merges > 0:
+        with Scratch(d.sparkSession) as scratch:
+            state = Rounds(scratch, base, first_new_id, merges)
+            sequences = base.where(F.length("sym") > 1).count() if log is not None else None
+            state.count(floor)
+            while len(merges) < n_merges:
+                if merges and merges[-1].total_tokens is None:
+                    merges[-1].total_tokens = state.total
+                if not state.pairs:
+                    if state.floor <= 1:
+                        break
+                    state.count(max(1, state.floor // FLOOR_STEP))
+                    continue
+                if len(merges) - state.start >= rebuild_every:
+                    state.rebuild()
+                total, accepted, made = state.total, [], []
+                for pair, n in state.best(min(batch, n_merges - len(merges))):
+                    new_id = first_new_id + len(merges) + len(made)
+                    a, b = pair
+                    accepted.append((pair, sym(new_id)))
+                    total -= n
+                    made.append(Merge(new_id - first_new_id, cp_to_id(ord(a)), cp_to_id(ord(b)), new_id, n, None if a == b else total))
+                    if verbose:
+                        print(f"merge {new_id - first_new_id + 1}/{n_merges} ({made[-1].left_id}, {made[-1].right_id}) -> {new_id} freq={n}")
+                state.apply(accepted, log is not None)
+                merges.extend(made)
+                if log is not None:
+                    log.append({"merges": len(made), "sequences": sequences, "read": state.read})
             if merges and merges[-1].total_tokens is None:
                 merges[-1].total_tokens = state.total
-            if not state.pairs or len(merges) - state.start >= rebuild_every:
-                if not state.pairs and state.floor <= 1 and state.edge is None:
-                    break
-                if state.pairs or state.edge is not None:
-                    state.rebuild(state.floor)
-                else:
-                    floor = max(1, state.floor // FLOOR_STEP)
-                    state.rebuild(floor, kept(floor), cut=True)
-                continue
-            total, accepted, made = state.total, [], []
-            for pair, n in select_batch(state.best(min(batch, n_merges - len(merges)))):
-                new_id = first_new_id + len(merges) + len(made)
-                a, b = pair
-                accepted.append((pair, sym(new_id)))
-                total -= n
-                made.append(Merge(new_id - first_new_id, cp_to_id(ord(a)), cp_to_id(ord(b)), new_id, n, None if a == b else total))
-                if verbose:
-                    print(f"merge {new_id - first_new_id + 1}/{n_merges} ({made[-1].left_id}, {made[-1].right_id}) -> {new_id} freq={n}")
-            if not accepted:  # the repaired pairs all wait for a rebuild
-                continue
-            state.apply(accepted)
-            merges.extend(made)
-            if log is not None:
-                log.append({"merges": len(made), "sequences": state.sequences.count(), "read": state.made[-1].table.count()})
-        if merges and merges[-1].total_tokens is None:
-            merges[-1].total_tokens = state.total
     final = base.select("sym", "n", "first")
     if merges:
         final = base.select(_chain(F.col("sym"), merges).alias("sym"), "n", "first")
