@@ -15,26 +15,37 @@ Two plans, same result; the caller picks one (``strategy``):
   between two base symbols that are adjacent in no piece).  Each distinct
   segment is folded once over the merges whose piece occurs in it and joined
   back (frequent segments through a bounded broadcast, the rest by a shuffle
-  join).  Texts are rebuilt under a digest of the text, so repeated or NULL ids
-  cannot mix rows, and rows carry keys, never whole texts.
+  join).  Texts lie in blocks, each with its distinct segments, and are rebuilt in
+  their block: a segment is sent once a block, not once an occurrence, and
+  repeated or NULL ids cannot mix rows.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from toksmith.functions import patterns
 from toksmith.functions.symbols import CHUNK_SEP, OOV_MARK, byte_symbols, const_list, sym, symbols_ids
 from toksmith.model import Model
 from toksmith.operators import pretokenize as PT
 from toksmith.operators.joins import hot_cold_join
+from toksmith.session import write_once
 
 SLICE = 256  # symbols of a segment whose substrings one row makes
 NAME = 48  # longer segments are named by a digest
 MAX_CUT_RULES = 512
+BLOCK = 1 << 23  # bytes of joined segments in a block of texts
+ROW = 16  # bytes that a row counts besides its text
 SEP = CHUNK_SEP  # chunk separator inside a row's symbol string; never part of a merge
+DONE = chr(0x10FFFA)  # before a segment that is final (a special token)
 _OOV = OOV_MARK  # placeholder for characters outside a char model's alphabet
 
 
@@ -253,54 +264,124 @@ def candidate_fold(segments: DataFrame, model: Model) -> DataFrame:
     apply: a merge applies inside a string only if its piece occurs there, so every substring up to the
     longest piece is equi-joined with the piece table (bounded by the model) and the matching merges
     are folded in rank order.  Exact; the work per segment does not grow with the number of
-    merges, and a row holds a slice of a segment and its name, so it is linear in its length."""
+    merges.  Short segments stay in the task that holds them; of a long one a row holds a slice and its name, so it is linear
+    in its length."""
     if not model.merges:
         return segments.select("seg", F.col("seg").alias("sym"))
     model.check()
     exp = expansions(model)
     longest = max(map(len, exp.values()))
-    pieces = segments.sparkSession.createDataFrame(
-        [(exp[m.new_id], m.rank, sym(m.left_id) + sym(m.right_id), sym(m.new_id)) for m in model.merges],
-        "piece STRING, rank INT, pair STRING, new STRING")
-    name = F.when(F.length("seg") > NAME, F.concat(F.lit(SEP), F.md5(F.col("seg").cast("binary")))).otherwise(F.col("seg"))
-    named = segments.select("seg", name.alias("name"), F.length("seg").alias("n"))
-    slices = named.where("n >= 2").select("name", F.explode(F.transform(
-        F.sequence(F.lit(0), F.floor((F.col("n") - 2) / SLICE).cast("int")),
+    pieces = F.broadcast(segments.sparkSession.createDataFrame([(exp[m.new_id], m.rank) for m in model.merges], "piece STRING, rank INT"))
+    pairs, news = model.merge_arrays()
+    at = {m.rank: i + 1 for i, m in enumerate(model.merges)}
+    place = (lambda r: r + 1) if all(r + 1 == i for r, i in at.items()) else (lambda r: F.array_position(F.array(*map(F.lit, at)), r).cast("int"))
+    merged = lambda ranks: F.aggregate(ranks, F.col("seg"), lambda acc, r: F.replace(acc, F.element_at(pairs, place(r)), F.element_at(news, place(r))))
+
+    def substrings(part: str) -> Column:
+        starts = F.sequence(F.lit(0), F.least(F.length(part), F.lit(SLICE)) - 1)
+        sizes = lambda s: F.filter(F.sequence(F.lit(2), F.lit(max(2, longest))), lambda k: k <= F.length(part) - s)
+        return F.flatten(F.transform(starts, lambda s: F.transform(sizes(s), lambda k: F.substring(F.col(part), s + 1, k))))
+
+    def found(rows: DataFrame, key: str, part: str) -> DataFrame:
+        cut = rows.select(key, F.explode_outer(F.array_distinct(substrings(part))).alias("piece")).join(pieces, "piece", "left")
+        return cut.groupBy(key).agg(F.array_sort(F.collect_set("rank")).alias("ranks"))  # at most the merges
+
+    n = F.length("seg")
+    short = found(segments.where((n >= 2) & (n <= NAME)), "seg", "seg").select("seg", merged(F.col("ranks")).alias("sym"))
+    single = segments.where(n < 2).select("seg", F.col("seg").alias("sym"))
+    named = segments.where(n > NAME).select("seg", F.md5(F.col("seg").cast("binary")).alias("name"))
+    slices = named.select("name", F.explode(F.transform(
+        F.sequence(F.lit(0), F.floor((n - 2) / SLICE).cast("int")),
         lambda k: F.substring(F.col("seg"), k * SLICE + 1, F.lit(SLICE + longest - 1)))).alias("part"))
-    starts = F.sequence(F.lit(0), F.least(F.length("part"), F.lit(SLICE)) - 1)
-    sizes = lambda s: F.filter(F.sequence(F.lit(2), F.lit(max(2, longest))), lambda k: k <= F.length("part") - s)
-    subs = F.flatten(F.transform(starts, lambda s: F.transform(sizes(s), lambda k: F.substring(F.col("part"), s + 1, k))))
-    found = slices.select("name", F.explode(F.array_distinct(subs)).alias("piece")).join(F.broadcast(pieces), "piece")
-    per = found.groupBy("name").agg(F.array_sort(F.collect_set(F.struct("rank", "pair", "new"))).alias("ms"))  # at most the merges
-    none = F.array().cast("array<struct<rank:int,pair:string,new:string>>")
-    folded = F.aggregate(F.coalesce(F.col("ms"), none), F.col("seg"), lambda acc, m: F.replace(acc, m["pair"], m["new"]))
-    return named.join(per, "name", "left").select("seg", folded.alias("sym"))
+    long = named.join(found(slices, "name", "part"), "name").select("seg", merged(F.col("ranks")).alias("sym"))
+    return short.unionByName(single).unionByName(long)
+
+
+# -- inside tasks ------------------------------------------------------------------
+
+def _blocks(schema: pa.Schema):
+    """Rows ``(row, text)``, segments joined by a separator -> blocks ``(block, rows, segs, texts)``: the distinct segments
+    once, and the texts as their places in them."""
+    def packed(block: int, waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(waiting).combine_chunks()
+        rows, texts = (_whole(table.column(c)) for c in ("row", "text"))
+        cut = pc.split_pattern(texts, SEP)
+        coded = cut.flatten().dictionary_encode()
+        counts = pc.fill_null(pc.list_value_length(cut), 0).to_numpy()
+        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), mask=np.append(texts.is_null().to_numpy(zero_copy_only=False), False))
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, table.num_rows], pa.int32()), values)
+        out = [pa.array([block], pa.int64()), one(rows), pa.array([SEP.join(coded.dictionary.to_pylist())]),
+               one(pa.ListArray.from_arrays(offsets, coded.indices.cast(pa.int32())))]
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32  # numbers hold for the one table they are written to
+        waiting: list[pa.RecordBatch] = []
+        size = 0
+        for b in batches:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy().astype(np.int64) + ROW)
+            start = 0
+            while start < b.num_rows:
+                before = int(ends[start - 1]) if start else 0
+                end = min(int(np.searchsorted(ends, before + BLOCK - size)) + 1, b.num_rows)
+                waiting.append(b.slice(start, end - start))
+                size += int(ends[end - 1]) - before
+                start = end
+                if size >= BLOCK:
+                    yield packed(block, waiting)
+                    block, waiting, size = block + 1, [], 0
+        if waiting:
+            yield packed(block, waiting)
+
+    return run
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    array = column.combine_chunks()
+    return pa.concat_arrays(array.chunks) if isinstance(array, pa.ChunkedArray) else array
+
+
+def _rebuilt(schema: pa.Schema):
+    """A block and the symbols of its segments, by place -> the rows of its texts."""
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        rows, segs, texts = (_whole(blocks.column(c)) for c in ("rows", "segs", "texts"))
+        known = [s[1:] if s.startswith(DONE) else "" for s in segs[0].as_py().split(SEP)]
+        for at, symbols in zip(answers.column("at").to_pylist(), answers.column("sym").to_pylist(), strict=True):
+            known[at] = symbols
+        cut = texts.flatten()
+        parts = pa.array(known, pa.string()).take(cut.flatten())
+        counts = pc.fill_null(pc.list_value_length(cut), 0).to_numpy()
+        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), mask=np.append(cut.is_null().to_numpy(zero_copy_only=False), False))
+        symbols = pc.binary_join(pa.ListArray.from_arrays(offsets, parts), "")
+        return pa.table([rows.flatten().cast(schema.field(0).type), symbols.cast(schema.field(1).type)], schema=schema)
+
+    return run
 
 
 def _by_dictionary(df, model, text_col, id_col, allowed_special, keep) -> DataFrame:
-    text = F.col("text")
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    spark, text = df.sparkSession, F.col(text_col)
     if allowed_special == "none_raise" and model.specials and model.kind != "char":
         text = F.when(contains_special(text, model.specials), F.raise_error(
             F.lit("special token found in text; pass allowed_special='all' or a set"))).otherwise(text)
     allowed = allowed_specials(model, allowed_special) if model.kind != "char" else {}
-    base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
-    names = [c for c in base.columns if c not in ("doc_id", "text")]
-    base = base.withColumn("_text", F.sha2(F.col("text").cast("binary"), 256))
-    texts = base.where(F.col("text").isNotNull()).groupBy("_text").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
-    texts = texts.withColumn("segs", _segments(text, model, allowed))
-    parts = texts.select("_text", F.posexplode("segs").alias("pos", "x")).select("_text", "pos", "x.seg", "x.done").persist(StorageLevel.MEMORY_AND_DISK)
-    counts = parts.where("not done").groupBy("seg").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-    folded = candidate_fold(counts.select("seg"), model)
-    joined = hot_cold_join(parts.where("not done").select("_text", "pos", "seg"), folded, "seg", counts=counts).select("_text", "pos", "sym")
-    joined = joined.unionByName(parts.where("done").select("_text", "pos", F.col("seg").alias("sym")))
-    built = joined.groupBy("_text").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sym"))), lambda x: x["sym"]), "").alias("sym"))
-    whole = texts.select("_text").join(built, "_text", "left").withColumn("sym", F.coalesce("sym", F.lit("")))
+    segs = F.transform(_segments(text, model, allowed), lambda x: F.when(x["done"], F.concat(F.lit(DONE), x["seg"])).otherwise(x["seg"]))
+    rows = df.select(F.struct(F.col(id_col).alias("doc_id"), *keep).alias("row"), F.array_join(segs, SEP).alias("text"))
+    row, ids = rows.schema["row"].dataType, T.ArrayType(T.IntegerType())
+    shape = T.StructType([T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(row)), T.StructField("segs", T.StringType()), T.StructField("texts", T.ArrayType(ids))])
+    blocks = write_once(rows.mapInArrow(_blocks(to_arrow_schema(shape)), shape))
+    n = max(spark.sparkContext.defaultParallelism, blocks.count())
+    words = blocks.select(F.col("block").alias("to"), F.posexplode(F.split("segs", SEP)).alias("at", "seg")).where(~F.col("seg").startswith(DONE) & (F.col("seg") != ""))
+    dealt = words.repartition(n, "seg")
+    counts = words.select("seg").repartition(n, "seg").groupBy("seg").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = candidate_fold(counts.select("seg"), model).persist(StorageLevel.MEMORY_AND_DISK)
+    known = hot_cold_join(dealt, folded, "seg", counts=counts).select("to", "at", "sym")
+    whole = T.StructType([T.StructField("row", row), T.StructField("sym", T.StringType())])
+    out = blocks.repartition(n, "block").groupBy("block").cogroup(known.repartition(n, "to").groupBy("to")).applyInArrow(_rebuilt(to_arrow_schema(whole)), whole)
+    symbols = F.col("sym")
     if model.kind == "char" and model.add_bos:
-        whole = whole.withColumn("sym", F.concat(F.lit(sym(patterns.SP_BOS)), "sym"))
+        symbols = F.concat(F.lit(sym(patterns.SP_BOS)), symbols)
     if model.kind == "char" and model.add_eos:
-        whole = whole.withColumn("sym", F.concat("sym", F.lit(sym(patterns.SP_EOS))))
-    rows = base.select("doc_id", *names, "_text")
-    full = hot_cold_join(rows.where(F.col("_text").isNotNull()), whole, "_text", counts=texts.select("_text", "n"))
-    out = full.select("doc_id", *names, "sym").unionByName(
-        rows.where(F.col("_text").isNull()).select("doc_id", *names, F.lit(None).cast("string").alias("sym")))
-    return out.withColumn("n_tokens", F.length("sym"))
+        symbols = F.concat(symbols, F.lit(sym(patterns.SP_EOS)))
+    return out.select("row.*", symbols.alias("sym")).withColumn("n_tokens", F.length("sym"))
