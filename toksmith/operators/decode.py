@@ -1,4 +1,4 @@
-"""Decoding ID arrays back to text, inline (constant piece array, no join)."""
+"""Decoding ID arrays back to text, inline (the pieces go with the tasks, no join)."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toksmith.functions import patterns
-from toksmith.functions.symbols import symbols_bytes, valid_utf8
+from toksmith.functions.symbols import valid_utf8
 from toksmith.model import Model
+from toksmith.operators.batches import piece_bytes
 
 # Python's str.strip() removes Unicode whitespace plus the separators U+001C..U+001F.
 _STRIP = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+\z"
@@ -29,13 +30,12 @@ def unknown_ids(ids, model: Model) -> Column:
 
 def piece_symbols(ids, model: Model) -> Column:
     """Concatenated piece bytes, one symbol a byte; unknown IDs contribute nothing."""
-    pieces = model.piece_array()
-    return F.array_join(F.transform(_c(ids), lambda i: _piece(pieces, i)), "")
+    return F.decode(decode_bytes_column(ids, model), "ISO-8859-1")
 
 
 def decode_bytes_column(ids, model: Model) -> Column:
     """Concatenated piece bytes (BINARY); unknown IDs contribute nothing."""
-    return symbols_bytes(piece_symbols(ids, model))
+    return piece_bytes(_c(ids), model)
 
 
 def decode_column(ids, model: Model, on_unknown: str | None = None) -> Column:
@@ -49,32 +49,18 @@ def decode_column(ids, model: Model, on_unknown: str | None = None) -> Column:
     ids = _c(ids)
     if model.kind == "char":
         return _decode_char(ids, model)
-    on_unknown = on_unknown or "error"
-    text = valid_utf8(decode_bytes_column(ids, model))
-    if on_unknown == "error":
-        pieces = model.piece_array()
-        bad = F.exists(ids, lambda i: _piece(pieces, i).isNull())
-        text = F.when(bad, F.raise_error(F.lit("invalid token id"))).otherwise(text)
-    return text
+    if (on_unknown or "error") != "error":
+        return valid_utf8(decode_bytes_column(ids, model))
+    known = piece_bytes(ids, model, None)  # NULL where an ID is unknown
+    return F.when(ids.isNotNull() & known.isNull(), F.raise_error(F.lit("invalid token id"))).otherwise(valid_utf8(known))
 
 
 def _decode_char(ids: Column, model: Model) -> Column:
-    pieces = model.piece_array()
-    toks = F.transform(ids, lambda i: F.coalesce(_piece(pieces, i), F.lit("<unk>")))
-    kept = F.filter(toks, lambda t: ~t.isin("<s>", "</s>"))
-    if model.byte_fallback:
-        # byte tokens stand as they are among the other pieces' bytes, so a run of them forms characters again
-        joined = valid_utf8(F.unhex(F.array_join(F.transform(kept, _piece_hex), "")))
-    else:
-        joined = F.array_join(kept, "")
+    # byte tokens stand as they are among the other pieces' bytes, so a run of them forms characters again
+    joined = valid_utf8(piece_bytes(ids, model, b"<unk>", ("<s>", "</s>")))
     return F.regexp_replace(F.replace(joined, F.lit(patterns.SPACE_MARK), F.lit(" ")), _STRIP, "")
 
 
-def _piece_hex(piece: Column) -> Column:
-    byte = F.regexp_extract(piece, r"^<0x([0-9A-F]{2})>\z", 1)
-    return F.when(byte != "", byte).otherwise(F.hex(F.encode(piece, "UTF-8")))
-
-
 def decode(df: DataFrame, model: Model, ids_col: str = "ids", id_col: str = "doc_id",
            on_unknown: str | None = None) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), decode_column(ids_col, model, on_unknown).alias("text"))

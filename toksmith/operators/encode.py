@@ -1,15 +1,16 @@
 """Encoding corpora with a trained model.
 
-Merges are applied as one ascending fold over the model's merge list:
-``aggregate(merges, s, (s, m) -> replace(s, m.pair, m.new))``.  A merge of
+Merges are applied as one ascending fold over the model's merge list, each
+a replacement in the symbol string (:func:`batches.fold`).  A merge of
 rank r only creates pairs containing its new ID, whose ranks exceed r, so one
 ascending pass equals the "repeat the lowest-rank pair" loop.
 
 Two plans, same result; the caller picks one (``strategy``):
 
 * ``inline`` — the pre-split chunks of a row are joined with a separator
-  symbol that no merge contains, and the fold runs once over the whole row:
-  no shuffle at all, cost ∝ merges × bytes.  For small models and streams.
+  symbol that no merge contains, and the fold runs over the distinct chunks of
+  an Arrow batch: no shuffle at all, cost ∝ bytes + merges × bytes of distinct
+  chunks.  For small models and streams.
 * ``dictionary`` — for vocabularies of any size.  Texts fall into *segments*
   that no merge spans (pre-split chunks; for whole-text and char models, cuts
   between two base symbols that are adjacent in no piece).  Each distinct
@@ -33,9 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from toksmith.functions import patterns
-from toksmith.functions.symbols import CHUNK_SEP, OOV_MARK, byte_symbols, const_list, sym, symbols_ids
+from toksmith.functions.symbols import CHUNK_SEP, OOV_MARK, byte_symbols, const_list, sym
 from toksmith.model import Model
+from toksmith.operators import batches
 from toksmith.operators import pretokenize as PT
+from toksmith.operators.batches import symbols_ids
 from toksmith.operators.joins import hot_cold_join
 from toksmith.session import write_once
 
@@ -55,24 +58,27 @@ def _c(c) -> Column:
 
 def fold(s, model: Model) -> Column:
     """Apply all merges of ``model`` in rank order to symbol string ``s``."""
-    s = _c(s)
-    if not model.merges:
-        return s
-    pairs, news = model.merge_arrays()
-    return F.aggregate(F.sequence(F.lit(1), F.lit(len(model.merges))), s,
-                       lambda acc, i: F.replace(acc, F.element_at(pairs, i), F.element_at(news, i)))
+    return batches.fold(_c(s), model) if model.merges else _c(s)
 
 
 # -- byte models ----------------------------------------------------------------
 
+def _base(text: Column, model: Model) -> Column:
+    """The symbols that the merges start from; the chunks of a regex model are joined with a separator."""
+    if model.kind == "basic":
+        return byte_symbols(text)
+    return F.array_join(F.transform(PT.split_column(text, model.pattern), lambda c: byte_symbols(c)), SEP)
+
+
+def _folded(base: Column, model: Model) -> Column:
+    if model.kind == "basic":
+        return fold(base, model)
+    return batches.fold(base, model, joined=True) if model.merges else F.replace(base, F.lit(SEP), F.lit(""))
+
+
 def ordinary_symbols(text, model: Model) -> Column:
     """Encoded symbol string of a text without special-token handling."""
-    text = _c(text)
-    if model.kind == "basic":
-        return fold(byte_symbols(text), model)
-    chunks = PT.split_column(text, model.pattern)
-    joined = F.array_join(F.transform(chunks, lambda c: byte_symbols(c)), SEP)
-    return F.replace(fold(joined, model), F.lit(SEP), F.lit(""))
+    return _folded(_base(_c(text), model), model)
 
 
 def _special_case(seg: Column, specials: dict[str, int]) -> Column:
@@ -124,9 +130,10 @@ def text_symbols(text, model: Model, allowed_special="none_raise") -> Column:
     if not special:
         return ordinary_symbols(text, model)
     segs = F.regexp_extract_all(text, F.lit(patterns.segment_pattern(list(special))), 0)
-    parts = F.transform(segs, lambda g: F.coalesce(_special_case(g, special), ordinary_symbols(g, model)))
-    return F.when(contains_special(text, special), F.array_join(parts, "")).otherwise(
-        ordinary_symbols(text, model))
+    parts = F.transform(segs, lambda g: F.coalesce(_special_case(g, special), _base(g, model)))
+    # no merge holds a special token's symbol, so the fold leaves it and joins nothing across it
+    joined = F.array_join(parts, "" if model.kind == "basic" else SEP)
+    return _folded(F.when(contains_special(text, special), joined).otherwise(_base(text, model)), model)
 
 
 # -- char models --------------------------------------------------------------------

@@ -14,6 +14,7 @@ from toksmith.functions.symbols import byte_symbols
 from toksmith.model import Model
 from toksmith.operators import encode as EN
 from toksmith.operators import pretokenize as PT
+from toksmith.operators.batches import fold_some
 
 # Fixed values of the draw: multiplier, rank step and modulus of the integer hash.
 HASH_MULT, HASH_STEP, HASH_MOD = 2654435761, 40503, 1000003
@@ -30,8 +31,6 @@ def dropout_symbols(text: Column, key: Column, model: Model, p: float, seed: int
     chunks = PT.split_column(text, model.pattern)
     s = F.array_join(F.transform(chunks, lambda c: byte_symbols(c)), EN.SEP)
     if model.merges:
-        pairs, news = model.merge_arrays()
-        s = F.aggregate(F.sequence(F.lit(1), F.lit(len(model.merges))), s,
-                        lambda acc, i: F.when(dropped(key, i, p, seed), acc).otherwise(
-                            F.replace(acc, F.element_at(pairs, i), F.element_at(news, i))))
+        kept = F.filter(F.sequence(F.lit(1), F.lit(len(model.merges))), lambda i: F.coalesce(~dropped(key, i, p, seed), F.lit(True)))
+        s = fold_some(s, kept, model)
     return F.replace(s, F.lit(EN.SEP), F.lit(""))

@@ -126,10 +126,10 @@ def utf8_edges(symbols: Column) -> tuple[Column, Column]:
 def chunk_rows(enc: DataFrame, model, size: int, overlap: int = 0) -> DataFrame:
     """Retrieval chunks ``(doc_id, window, start, ids, text, starts_inside, ends_inside)`` of a byte-level model's encoding;
     the text has U+FFFD where a chunk border cuts a character, and the flags say at which end."""
-    from toksmith.functions.symbols import symbols_bytes, valid_utf8
-    from toksmith.operators.decode import piece_symbols
+    from toksmith.functions.symbols import valid_utf8
+    from toksmith.operators.decode import decode_bytes_column
 
-    w = token_windows(enc, size, overlap).withColumn("_bytes", piece_symbols(F.col("ids"), model))
-    starts, ends = utf8_edges(F.col("_bytes"))
-    return w.select("doc_id", "window", "start", "ids", valid_utf8(symbols_bytes(F.col("_bytes"))).alias("text"),
+    w = token_windows(enc, size, overlap).withColumn("_bytes", decode_bytes_column(F.col("ids"), model))
+    starts, ends = utf8_edges(F.decode("_bytes", "ISO-8859-1"))
+    return w.select("doc_id", "window", "start", "ids", valid_utf8(F.col("_bytes")).alias("text"),
                     starts.alias("starts_inside"), ends.alias("ends_inside"))
