@@ -100,8 +100,9 @@ def context_rows(enc: DataFrame, context: int, eot_id: int, order_col: str = "do
     that hold its ``context`` tokens: neither a long document nor a frequent one meets in one task."""
     from pyspark import StorageLevel
 
-    rows = enc.where(F.col("ids").isNotNull()).select(order_col, F.concat("ids", F.array(F.lit(eot_id))).alias("ids"))
+    rows = enc.select(order_col, F.concat("ids", F.array(F.lit(eot_id))).alias("ids"))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by the quantiles, the windows and the cuts
+    rows = rows.where(F.col("ids").isNotNull())  # behind the stored rows: before them, the encoding would run for the filter too
     placed = running_offsets(rows.select(order_col, "ids", F.size("ids").cast("long").alias("_len")), order_col, "_len", buckets)
     first, last = F.floor(F.col("offset") / context), F.floor((F.col("offset") + F.col("_len") - 1) / context)
     pieces = placed.select("ids", "offset", F.explode(F.sequence(first, last)).alias("context_id"))
