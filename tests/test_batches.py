@@ -106,3 +106,30 @@ def test_perplexity_with_null_pieces_and_logprobs(spark):
     bits = 3.5 / 0.6931471805599453
     assert abs(got["m"].bits_per_char - bits / 3) < 1e-5 and abs(got["m"].bits_per_byte - bits / 4) < 1e-5
     assert got["n"].n_tokens == 0 and got["n"].perplexity is None
+
+
+def encodings(df):
+    """How often the plan folds merges."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython [")
+
+
+def test_the_encoding_runs_once_for_what_is_read_from_it(spark):
+    from toksmith.operators import windows as WN
+    from toksmith.plans import catalog, results
+
+    df = spark.createDataFrame([(1, "abcc abcc", "x"), (2, None, "x"), (3, "", "y"), (4, "cc", None)], "doc_id long, text string, lang string")
+    enc = EN.encode(df, MODEL, keep=("lang",))
+    assert encodings(enc.select("doc_id", F.posexplode(EN.each()))) == 1
+    assert [tuple(r) for r in enc.select("doc_id", F.posexplode(EN.each())).orderBy("doc_id", "pos").collect()] == [
+        tuple(r) for r in enc.select("doc_id", F.posexplode("ids")).orderBy("doc_id", "pos").collect()]
+    packed = WN.context_rows(enc.select("doc_id", "ids"), 4, 400, buckets=1)
+    stored = packed._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[1:]
+    assert stored and all(p.count("ArrowEvalPython [") == 1 for p in stored)
+    catalog._MODELS[("regex", "no table", catalog.REGEX_VOCAB)] = Model("regex", MODEL.merges, pattern="gpt4")
+    whole = catalog._docs
+    try:
+        catalog._docs = lambda *_: df.withColumn("source", F.lit("s"))
+        assert encodings(results.logprob_table(spark, "no table")) == 2  # the shares, and the tokens
+    finally:
+        catalog._docs = whole
+        del catalog._MODELS[("regex", "no table", catalog.REGEX_VOCAB)]

@@ -199,6 +199,12 @@ def encode_column(text, model: Model, allowed_special="none_raise") -> Column:
     return symbols_ids(text_symbols(text, model, allowed_special))
 
 
+def each(ids="ids") -> Column:
+    """An array column as the input of ``explode``.  Of a bare column Spark infers that it is not empty, and pushes that filter down to the
+    scan: the whole encoding would run once more for it, in the few tasks of the scan."""
+    return F.coalesce(_c(ids), F.array().cast("array<int>"))
+
+
 def encode(
     df: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id",
     allowed_special="none_raise", strategy: str = "inline", keep: tuple = (),

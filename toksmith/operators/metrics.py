@@ -143,10 +143,12 @@ def mutual_information(enc: DataFrame) -> DataFrame:
 
 def perplexity_by_model(logprobs: DataFrame) -> DataFrame:
     """Q12: ``(model, doc_id, pos, piece BINARY, logprob)`` -> perplexity, bits per character and per byte of each model.
-    Characters are counted where their first byte is, so pieces may cut them.  One partial aggregate a model."""
+    Characters are counted where their first byte is, so pieces may cut them.  Rows are summed by piece first: a model has no more
+    pieces than its vocabulary, so that is a partial aggregate in the task, and a piece is looked at once, not once a token."""
     first_bytes = F.length(F.regexp_replace(F.decode("piece", "ISO-8859-1"), r"[\x{80}-\x{bf}]", ""))
-    g = logprobs.groupBy("model").agg(F.count("logprob").alias("n_tokens"), F.sum("logprob").alias("_lp"),
-                                      F.sum(first_bytes).alias("_chars"), F.sum(F.octet_length("piece")).alias("_bytes"))
+    by_piece = logprobs.groupBy("model", "piece").agg(F.count("logprob").alias("n"), F.sum("logprob").alias("lp"), F.count(F.lit(1)).alias("k"))
+    g = by_piece.groupBy("model").agg(F.sum("n").alias("n_tokens"), F.sum("lp").alias("_lp"),
+                                      F.sum(F.col("k") * first_bytes).alias("_chars"), F.sum(F.col("k") * F.octet_length("piece")).alias("_bytes"))
     bits = -F.col("_lp") / F.log(F.lit(2.0))
     return g.select("model", "n_tokens", r6(F.exp(-F.col("_lp") / F.col("n_tokens"))).alias("perplexity"),
                     r6(bits / F.col("_chars")).alias("bits_per_char"), r6(bits / F.col("_bytes")).alias("bits_per_byte"))

@@ -1200,7 +1200,7 @@ def bigram_window(spark, sf):
     """Adjacent token pairs as a sliding window of width 2 over the long (doc_id, pos, id) form."""
     from pyspark.sql import Window
     e = _enc_docs(spark, sf, ())
-    t = e.select("doc_id", F.posexplode("ids").alias("pos", "id"))
+    t = e.select("doc_id", F.posexplode(EN.each()).alias("pos", "id"))
     w = t.withColumn("b", F.lead("id").over(Window.partitionBy("doc_id").orderBy("pos")))
     return w.where(F.col("b").isNotNull()).groupBy(F.col("id").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")) \
         .agg(F.count(F.lit(1)).alias("n"))

@@ -194,7 +194,7 @@ def _logprob_rows(spark, sf):
     over = lambda *c: F.sum("n").over(Window.partitionBy(*c))
     shares = freq.select("lang", "id", F.log(over("id") / over()).alias("all"), F.log(F.col("n") / over("lang")).alias("by_lang"))
     vocab = m.vocab_df(spark).select(F.col("id").cast("long").alias("id"), "piece")
-    tokens = C._enc_docs(spark, sf, ("lang",)).select("doc_id", "lang", F.posexplode("ids").alias("pos", "id")).withColumn("id", F.col("id").cast("long"))
+    tokens = C._enc_docs(spark, sf, ("lang",)).select("doc_id", "lang", F.posexplode(EN.each()).alias("pos", "id")).withColumn("id", F.col("id").cast("long"))
     rows = tokens.join(F.broadcast(shares), ["lang", "id"]).join(F.broadcast(vocab), "id")
     both = F.array(*[F.struct(F.lit(n).alias("model"), F.col(n).alias("logprob")) for n in ("all", "by_lang")])
     return rows.select("doc_id", "pos", "piece", F.explode(both).alias("m")).select("m.model", "doc_id", "pos", "piece", "m.logprob")
