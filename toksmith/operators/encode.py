@@ -40,13 +40,15 @@ from toksmith.operators import batches
 from toksmith.operators import pretokenize as PT
 from toksmith.operators.batches import symbols_ids
 from toksmith.operators.joins import hot_cold_join
-from toksmith.session import write_once
+from toksmith.session import arrow_rows, write_once
 
 SLICE = 256  # symbols of a segment whose substrings one row makes
 NAME = 48  # longer segments are named by a digest
-MAX_CUT_RULES = 512
+SLICE_BYTES = 1 << 20  # of text that is cut at once
+BATCH_ROWS = 512  # of texts on their way into the tasks
 BLOCK = 1 << 23  # bytes of joined segments in a block of texts
 ROW = 16  # bytes that a row counts besides its text
+PART = 1 << 18  # bytes of texts in a row of a block
 SEP = CHUNK_SEP  # chunk separator inside a row's symbol string; never part of a merge
 DONE = chr(0x10FFFA)  # before a segment that is final (a special token)
 _OOV = OOV_MARK  # placeholder for characters outside a char model's alphabet
@@ -235,41 +237,19 @@ def expansions(model: Model) -> dict[int, str]:
     return out
 
 
-def _cut_pattern(model: Model) -> str | None:
-    """Pattern of the places that no merge spans: after a symbol, before one that follows it in no
-    piece.  Left symbols with the same followers share a rule; symbols beyond ``MAX_CUT_RULES`` rules
-    are never cut after, which leaves longer segments and the same result."""
-    follow: dict[str, set[str]] = {}
-    for piece in expansions(model).values():
-        for x, y in zip(piece, piece[1:], strict=False):
-            follow.setdefault(x, set()).add(y)
-    rules: dict[str, str] = {}
-    for x, ys in sorted(follow.items()):
-        ys = "".join(sorted(ys))
-        rules[ys] = rules.get(ys, "") + x
-    shown = sorted(rules.items(), key=lambda r: -len(r[1]))[:MAX_CUT_RULES]
-    parts = [f"(?<=[{_char_class(xs)}])(?=[^{_char_class(ys)}])" for ys, xs in shown]
-    if follow:
-        parts.append(f"(?<=[^{_char_class(''.join(follow))}])(?=.)")
-    return "(?s)" + "|".join(parts) if parts else None
-
-
-def _segments(text: Column, model: Model, allowed: dict[str, int]) -> Column:
-    """``array<struct<seg, done>>``: base symbols of the segments, and whether they are final (specials)."""
-    def plain(t: Column) -> Column:
-        if model.kind == "regex":
-            pieces = F.transform(PT.split_column(t, model.pattern), lambda c: byte_symbols(c))
-        else:
-            base = byte_symbols(t) if model.kind == "basic" else char_base_symbols(t, model)
-            cut = _cut_pattern(model)
-            pieces = F.split(base, cut, -1) if cut else F.array(base)
-        return F.transform(F.filter(pieces, lambda p: p != ""), lambda p: F.struct(p.alias("seg"), F.lit(False).alias("done")))
+def _adjacent(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The base symbols that stand side by side in some piece; no merge spans a place between two others."""
+    pairs = sorted({xy for piece in expansions(model).values() for xy in zip(piece, piece[1:], strict=False)})
+    return tuple(np.array([ord(xy[k]) for xy in pairs], dtype=np.uint32) for k in (0, 1))
 
+
+def _joined(text: Column, model: Model, allowed: dict[str, int]) -> Column:
+    """Base symbols of a text, its chunks (regex models) and its special tokens, which are final, between separators."""
+    plain = (lambda t: char_base_symbols(t, model)) if model.kind == "char" else (lambda t: _base(t, model))
     if not allowed:
         return plain(text)
     runs = F.regexp_extract_all(text, F.lit(patterns.segment_pattern(list(allowed))), 0)
-    special = lambda g: F.array(F.struct(_special_case(g, allowed).alias("seg"), F.lit(True).alias("done")))
-    return F.flatten(F.transform(runs, lambda g: F.when(_special_case(g, allowed).isNotNull(), special(g)).otherwise(plain(g))))
+    return F.array_join(F.transform(runs, lambda g: F.coalesce(F.concat(F.lit(DONE), _special_case(g, allowed)), plain(g))), SEP)
 
 
 def candidate_fold(segments: DataFrame, model: Model) -> DataFrame:
@@ -312,26 +292,69 @@ def candidate_fold(segments: DataFrame, model: Model) -> DataFrame:
 
 # -- inside tasks ------------------------------------------------------------------
 
-def _blocks(schema: pa.Schema):
+def _cut(texts: pa.Array, inside: np.ndarray) -> pa.Array:
+    """Texts with a separator more at each place that no merge spans; ``inside``: the map of the symbol pairs that some piece has."""
+    rows = texts.to_pylist()
+    codes = np.frombuffer("".join(t for t in rows if t).encode("utf-32-le"), dtype=np.uint32)
+    if len(codes) < 2:
+        return texts
+    apart = codes == ord(SEP)
+    cut = ~(inside[batches._places(codes[:-1], codes[1:])] | apart[:-1] | apart[1:] | (codes[:-1] == ord(DONE)))
+    place = np.arange(len(codes) + 1)
+    place[1:-1] += np.cumsum(cut)
+    place[-1] = place[-2] + 1
+    marked = np.full(place[-1], ord(SEP), dtype=np.uint32)
+    marked[place[:-1]] = codes
+    whole = marked.tobytes().decode("utf-32-le")
+    out, at = [], 0
+    for t in rows:
+        out.append(whole[place[at]:place[at + len(t) - 1] + 1] if t else t)
+        at += len(t or "")
+    return pa.array(out, pa.string())
+
+
+def _blocks(schema: pa.Schema, pairs: tuple[np.ndarray, np.ndarray] | None = None):
     """Rows ``(row, text)``, segments joined by a separator -> blocks ``(block, rows, segs, texts)``: the distinct segments
-    once, and the texts as their places in them."""
-    def packed(block: int, waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+    once, and the texts as their places in them.  A block's first row has the segments, and each row a part of the texts, so that no
+    value is as large as the block (writers and readers of tables and shuffles keep buffers of the largest value).  ``pairs``: the symbols between which texts are not cut into segments (none: no more cuts)."""
+    def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside = np.zeros(batches.MAP, dtype=bool)
+        if pairs is not None:
+            inside[batches._places(*pairs)] = True
+        for b in parts:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            start = 0
+            while start < b.num_rows:
+                end = max(start + 1, int(np.searchsorted(ends, (int(ends[start - 1]) if start else 0) + SLICE_BYTES, side="right")))
+                part = b.slice(start, end - start)
+                start = end
+                yield part if pairs is None else pa.RecordBatch.from_arrays([part.column("row"), _cut(part.column("text"), inside)], names=["row", "text"])
+
+    def packed(block: int, waiting: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(waiting).combine_chunks()
         rows, texts = (_whole(table.column(c)) for c in ("row", "text"))
         cut = pc.split_pattern(texts, SEP)
         coded = cut.flatten().dictionary_encode()
         counts = pc.fill_null(pc.list_value_length(cut), 0).to_numpy()
-        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), mask=np.append(texts.is_null().to_numpy(zero_copy_only=False), False))
-        one = lambda values: pa.ListArray.from_arrays(pa.array([0, table.num_rows], pa.int32()), values)
-        out = [pa.array([block], pa.int64()), one(rows), pa.array([SEP.join(coded.dictionary.to_pylist())]),
-               one(pa.ListArray.from_arrays(offsets, coded.indices.cast(pa.int32())))]
-        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends, nulls = np.cumsum(counts), texts.is_null().to_numpy(zero_copy_only=False)
+        segs, places = SEP.join(coded.dictionary.to_pylist()), coded.indices.cast(pa.int32())
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW)
+        start = 0
+        while start < table.num_rows:
+            end = max(start + 1, int(np.searchsorted(sizes, (int(sizes[start - 1]) if start else 0) + PART, side="right")))
+            first = int(ends[start - 1]) if start else 0
+            offsets = pa.array(np.concatenate(([0], ends[start:end] - first)).astype(np.int32), mask=np.append(nulls[start:end], False))
+            own = pa.ListArray.from_arrays(offsets, places.slice(first, int(ends[end - 1]) - first))
+            one = lambda values, n=end - start: pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), values)
+            out = [pa.array([block], pa.int64()), one(rows.slice(start, end - start)), pa.array([None if start else segs], pa.string()), one(own)]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+            start = end
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32  # numbers hold for the one table they are written to
         waiting: list[pa.RecordBatch] = []
         size = 0
-        for b in batches:
+        for b in slices(parts):
             ends = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy().astype(np.int64) + ROW)
             start = 0
             while start < b.num_rows:
@@ -341,10 +364,10 @@ def _blocks(schema: pa.Schema):
                 size += int(ends[end - 1]) - before
                 start = end
                 if size >= BLOCK:
-                    yield packed(block, waiting)
+                    yield from packed(block, waiting)
                     block, waiting, size = block + 1, [], 0
         if waiting:
-            yield packed(block, waiting)
+            yield from packed(block, waiting)
 
     return run
 
@@ -358,7 +381,7 @@ def _rebuilt(schema: pa.Schema):
     """A block and the symbols of its segments, by place -> the rows of its texts."""
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         rows, segs, texts = (_whole(blocks.column(c)) for c in ("rows", "segs", "texts"))
-        known = [s[1:] if s.startswith(DONE) else "" for s in segs[0].as_py().split(SEP)]
+        known = [s[1:] if s.startswith(DONE) else "" for s in segs.drop_null()[0].as_py().split(SEP)]
         for at, symbols in zip(answers.column("at").to_pylist(), answers.column("sym").to_pylist(), strict=True):
             known[at] = symbols
         cut = texts.flatten()
@@ -379,12 +402,12 @@ def _by_dictionary(df, model, text_col, id_col, allowed_special, keep) -> DataFr
         text = F.when(contains_special(text, model.specials), F.raise_error(
             F.lit("special token found in text; pass allowed_special='all' or a set"))).otherwise(text)
     allowed = allowed_specials(model, allowed_special) if model.kind != "char" else {}
-    segs = F.transform(_segments(text, model, allowed), lambda x: F.when(x["done"], F.concat(F.lit(DONE), x["seg"])).otherwise(x["seg"]))
-    rows = df.select(F.struct(F.col(id_col).alias("doc_id"), *keep).alias("row"), F.array_join(segs, SEP).alias("text"))
+    rows = df.select(F.struct(F.col(id_col).alias("doc_id"), *keep).alias("row"), _joined(text, model, allowed).alias("text"))
     row, ids = rows.schema["row"].dataType, T.ArrayType(T.IntegerType())
     shape = T.StructType([T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(row)), T.StructField("segs", T.StringType()), T.StructField("texts", T.ArrayType(ids))])
-    blocks = write_once(rows.mapInArrow(_blocks(to_arrow_schema(shape)), shape))
-    n = max(spark.sparkContext.defaultParallelism, blocks.count())
+    with arrow_rows(spark, BATCH_ROWS):
+        blocks = write_once(rows.mapInArrow(_blocks(to_arrow_schema(shape), None if model.kind == "regex" else _adjacent(model)), shape), large_rows=True)
+    n = max(spark.sparkContext.defaultParallelism, blocks.where(F.col("segs").isNotNull()).count())
     words = blocks.select(F.col("block").alias("to"), F.posexplode(F.split("segs", SEP)).alias("at", "seg")).where(~F.col("seg").startswith(DONE) & (F.col("seg") != ""))
     dealt = words.repartition(n, "seg")
     counts = words.select("seg").repartition(n, "seg").groupBy("seg").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
